@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK = "_chunk"
+_CHUNK = "__tp_chunk"
 
 
 def _cols(xs) -> list[str]:
@@ -52,23 +52,23 @@ def lag_by_key(
     rows = (
         df.withColumn(_CHUNK, chunk)
         .withColumn(out, F.lag(value).over(w))
-        .withColumn("_first_in_chunk", F.row_number().over(w) == 1)
+        .withColumn("__tp_first_in_chunk", F.row_number().over(w) == 1)
     )
     # one row per (key, chunk): its last value, and the previous chunk's
     per_chunk = rows.groupBy(*part).agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("_last")
+        F.max_by(F.col(value), F.struct(*order)).alias("__tp_last")
     )
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
     per_chunk = per_chunk.select(
         *part,
-        F.lag("_last").over(wc).alias("_prev_last"),
-        F.lag(_CHUNK).over(wc).isNotNull().alias("_prev_chunk"),
+        F.lag("__tp_last").over(wc).alias("__tp_prev_last"),
+        F.lag(_CHUNK).over(wc).isNotNull().alias("__tp_prev_chunk"),
     )
     return (
         rows.join(per_chunk, part, "left")
-        .withColumn(out, F.when(F.col("_first_in_chunk"), F.col("_prev_last")).otherwise(F.col(out)))
-        .withColumn(has_prev, ~F.col("_first_in_chunk") | F.col("_prev_chunk"))
-        .drop(_CHUNK, "_first_in_chunk", "_prev_last", "_prev_chunk")
+        .withColumn(out, F.when(F.col("__tp_first_in_chunk"), F.col("__tp_prev_last")).otherwise(F.col(out)))
+        .withColumn(has_prev, ~F.col("__tp_first_in_chunk") | F.col("__tp_prev_chunk"))
+        .drop(_CHUNK, "__tp_first_in_chunk", "__tp_prev_last", "__tp_prev_chunk")
     )
 
 
@@ -129,14 +129,14 @@ def row_number_by_key(
     keys, order = _cols(keys), _cols(order)
     part = [*keys, _CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
-    rows = df.withColumn(_CHUNK, chunk).withColumn("_rn", F.row_number().over(w).cast("bigint"))
-    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.withColumn(_CHUNK, chunk).withColumn("__tp_rn", F.row_number().over(w).cast("bigint"))
+    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("__tp_n"))
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*part, F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_before"))
+    counts = counts.select(*part, F.coalesce(F.sum("__tp_n").over(wc), F.lit(0)).alias("__tp_before"))
     return (
         rows.join(counts, part, "left")
-        .withColumn(out, F.col("_rn") + F.col("_before"))
-        .drop(_CHUNK, "_rn", "_before")
+        .withColumn(out, F.col("__tp_rn") + F.col("__tp_before"))
+        .drop(_CHUNK, "__tp_rn", "__tp_before")
     )
 
 
@@ -155,16 +155,16 @@ def running_count_by_key(
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = (
         df.withColumn(_CHUNK, chunk)
-        .withColumn("_f", flag.cast("int"))
-        .withColumn("_in", F.coalesce(F.sum("_f").over(w), F.lit(0)))
+        .withColumn("__tp_f", flag.cast("int"))
+        .withColumn("__tp_in", F.coalesce(F.sum("__tp_f").over(w), F.lit(0)))
     )
-    counts = rows.groupBy(*part).agg(F.sum("_f").alias("_n"))
+    counts = rows.groupBy(*part).agg(F.sum("__tp_f").alias("__tp_n"))
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*part, F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_before"))
+    counts = counts.select(*part, F.coalesce(F.sum("__tp_n").over(wc), F.lit(0)).alias("__tp_before"))
     return (
         rows.join(counts, part, "left")
-        .withColumn(out, (F.col("_in") + F.col("_before")).cast("bigint"))
-        .drop(_CHUNK, "_f", "_in", "_before")
+        .withColumn(out, (F.col("__tp_in") + F.col("__tp_before")).cast("bigint"))
+        .drop(_CHUNK, "__tp_f", "__tp_in", "__tp_before")
     )
 
 
@@ -192,18 +192,18 @@ def carry_forward(
         return df.withColumn(out, F.coalesce(c, default) if default is not None else c)
     part = [*keys, _CHUNK]
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = df.withColumn(_CHUNK, chunk).withColumn("_v", value).withColumn("_in", F.last("_v", ignorenulls=True).over(w))
+    rows = df.withColumn(_CHUNK, chunk).withColumn("__tp_v", value).withColumn("__tp_in", F.last("__tp_v", ignorenulls=True).over(w))
     # every chunk gets a row (NULL when it holds no value), so the carry into
     # a chunk skips over earlier chunks without values
     per_chunk = rows.groupBy(*part).agg(
-        F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_last")
+        F.max_by(F.col("__tp_v"), F.when(F.col("__tp_v").isNotNull(), F.struct(*order))).alias("__tp_last")
     )
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = per_chunk.select(*part, F.last("_last", ignorenulls=True).over(wc).alias("_carry"))
+    per_chunk = per_chunk.select(*part, F.last("__tp_last", ignorenulls=True).over(wc).alias("__tp_carry"))
     filled = rows.join(per_chunk, part, "left")
-    c = F.coalesce(F.col("_in"), F.col("_carry"))
+    c = F.coalesce(F.col("__tp_in"), F.col("__tp_carry"))
     res = filled.withColumn(out, F.coalesce(c, default) if default is not None else c)
-    return res.drop(_CHUNK, "_v", "_in", "_carry")
+    return res.drop(_CHUNK, "__tp_v", "__tp_in", "__tp_carry")
 
 
 def bucket_rows(df: DataFrame, row_num: str, width: int | Column, out: str = "row_group") -> DataFrame:
