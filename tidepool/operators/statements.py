@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.dates import period_from_name
@@ -39,6 +39,7 @@ from tidepool.functions.strings import (
     strip_leading_number,
 )
 from tidepool.operators.windows import carry_forward, row_number_by_key, running_count_by_key
+from tidepool.session import checkpoint_root
 
 # The amount-line pattern (label, blank(s), "$", amount, "$",
 # amount), the section marker line and the section end line.
@@ -139,19 +140,19 @@ def document_lines(lines: DataFrame) -> DataFrame:
 def section_bounds(doc: DataFrame, marker: str = SECTION_MARKER, end_line: str = SECTION_END) -> DataFrame:
     """Per document ``(path, start, end)``: ``end`` is the first ``end_line``
     after the first marker; ``start`` is three lines after the last marker
-    before ``end``.  Documents without both are absent.  Works on the few
-    marker/end lines only."""
+    before ``end``.  Documents without both are absent.
+
+    Works on the marker/end candidate lines only (a few per document): one
+    shuffle of those by ``path``, three window aggregates, no joins."""
     cand = doc.where((F.col("line") == marker) | (F.col("line") == end_line)).select(
         "path", "gidx", (F.col("line") == marker).alias("_mk")
     )
-    first = cand.where("_mk").groupBy("path").agg(F.min("gidx").alias("_first"))
-    c = cand.join(first, "path")
-    end = c.where(~F.col("_mk") & (F.col("gidx") > F.col("_first"))).groupBy("path").agg(F.min("gidx").alias("end"))
-    start = (
-        c.where("_mk").join(end, "path").where(F.col("gidx") < F.col("end"))
-        .groupBy("path").agg((F.max("gidx") + 3).alias("start"))
-    )
-    return start.join(end, "path")
+    w = Window.partitionBy("path")
+    first = F.min(F.when(F.col("_mk"), F.col("gidx"))).over(w)
+    c = cand.withColumn("_first", first)
+    c = c.withColumn("end", F.min(F.when(~F.col("_mk") & (F.col("gidx") > F.col("_first")), F.col("gidx"))).over(w))
+    c = c.withColumn("start", F.max(F.when(F.col("_mk") & (F.col("gidx") < F.col("end")), F.col("gidx"))).over(w) + 3)
+    return c.where(F.col("end").isNotNull() & F.col("start").isNotNull()).select("path", "start", "end").distinct()
 
 
 def positional_parse(
@@ -176,7 +177,11 @@ def positional_parse(
     Records longer than ``max_record_lines`` are rejected without being
     collected, so no group grows without bound.
     """
-    doc = document_lines(lines)
+    # numbered lines feed both the bounds and the section: cut the lineage
+    # once (reliable checkpoint in spark.checkpoint.dir) instead of
+    # recomputing the numbering in every branch of the plan
+    checkpoint_root(lines.sparkSession)
+    doc = document_lines(lines).checkpoint(eager=True)
     bounds = section_bounds(doc, marker=marker)
     sec = doc.join(bounds, "path").where((F.col("gidx") >= F.col("start")) & (F.col("gidx") < F.col("end")))
     sec = sec.select("path", "page", "line_no", "gidx", "line", starts_with_dollar(F.col("line")).alias("_dollar"))
@@ -187,14 +192,11 @@ def positional_parse(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("_dollar").cast("int")).alias("n_dollar"),
     )
-    sec = sec.join(stats, key)
-    small = sec.where(F.col("n") <= max_record_lines)
-    too_long = (
-        stats.where(F.col("n") > max_record_lines)
-        .select(*key, F.lit("record too long").alias("reject_reason"))
-    )
-    recs = small.groupBy(*key, "n", "n_dollar").agg(
-        F.array_sort(F.collect_list(F.struct("gidx", "line"))).alias("_ls")
+    # records longer than the bound keep their counts but collect no lines
+    recs = sec.join(stats, key).groupBy(*key, "n", "n_dollar").agg(
+        F.array_sort(
+            F.collect_list(F.when(F.col("n") <= max_record_lines, F.struct("gidx", "line")))
+        ).alias("_ls")
     )
     ls = F.transform(F.col("_ls"), lambda x: x["line"])
     recs = recs.withColumn("_lines", ls).withColumn("_first", F.get(F.col("_lines"), 0))
@@ -223,7 +225,8 @@ def positional_parse(
     periodo = period_from_name(F.col("path"))
     number_ok = F.col("_first").try_cast("int").isNotNull() if number_required else F.lit(True)
     reason = (
-        F.when(F.col("n_dollar") < 2, F.lit("incomplete record"))
+        F.when(n > max_record_lines, F.lit("record too long"))
+        .when(F.col("n_dollar") < 2, F.lit("incomplete record"))
         .when(n < F.col("_skip") + 4, F.lit("record too short"))
         .when(~number_ok, F.lit("record number is not an integer"))
         .when(periodo.isNull(), F.lit("no period in file name"))
@@ -240,14 +243,7 @@ def positional_parse(
         v2.alias("valor_comunidad"),
         reason.alias("reject_reason"),
     )
-    rejected_long = too_long.select(
-        *key, *[F.lit(None).cast(t).alias(c) for c, t in [
-            ("periodo", "date"), ("concepto_principal", "string"), ("concepto_secundario", "string"),
-            ("item", "string"), ("cuenta", "string"), ("valor_101", "decimal(18,2)"),
-            ("valor_comunidad", "decimal(18,2)")]],
-        "reject_reason",
-    )
-    return out.unionByName(rejected_long)
+    return out
 
 
 def positional_expenses(lines: DataFrame, dedupe: bool = True, **kw) -> DataFrame:

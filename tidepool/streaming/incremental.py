@@ -16,6 +16,8 @@ duplicates":
   once through the checkpoint, so a lost executor or a re-run never writes a
   batch twice.  Size the delay to the re-delivery window: a repeat arriving
   later than the watermark is treated as late and dropped, not re-added.
+  (Event times at or before the epoch compare as late even in the first
+  micro-batch, whose watermark starts at 0.)
 """
 
 from __future__ import annotations
