@@ -130,6 +130,27 @@ def outline_rejects(lines: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+def numbered_lines(pages: DataFrame, text: str = "text", space_before_dollar: bool = False) -> DataFrame:
+    """``(path, page, text)`` -> ``(path, page, line_no, line, gidx)`` where
+    ``gidx`` is the 1-based line position in the whole document.
+
+    Numbered from the pages, not the lines: line counts per page, a running
+    sum over the (small) page table gives each page's offset, and the lines
+    are exploded with ``gidx = offset + line_no + 1``.  No line-level shuffle.
+    """
+    t = F.col(text)
+    if space_before_dollar:
+        t = F.replace(t, F.lit("$"), F.lit(" $"))
+    pg = pages.select("path", "page", F.split(t, "\n", -1).alias("_ls"))
+    w = Window.partitionBy("path").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    off = pg.select("path", "page", F.size("_ls").alias("_n")).select(
+        "path", "page", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")
+    )
+    return pg.join(off, ["path", "page"]).select(
+        "path", "page", "_off", F.posexplode("_ls").alias("line_no", "line")
+    ).select("path", "page", "line_no", "line", (F.col("_off") + F.col("line_no") + 1).cast("bigint").alias("gidx"))
+
+
 def document_lines(lines: DataFrame) -> DataFrame:
     """Adds ``gidx``: the 1-based line position in the whole document
     (``path``), in ``(page, line_no)`` order.  Skew-safe: counted per page,
@@ -167,6 +188,10 @@ def positional_parse(
     """Records of the positional layout, one row per record, with
     ``reject_reason`` (NULL for good records).
 
+    ``lines`` are best given by :func:`numbered_lines` (numbered from the
+    pages); plain :func:`page_lines` are numbered here with a chunked window
+    and checkpointed, since both the bounds and the section read them.
+
     A record ends at its second ``$`` line.  Its first ``lead_lines`` lines
     are skipped (the record number; a Column may depend on ``_first`` = the
     record's first line, e.g. four lines when it is digit-led), then come the
@@ -180,8 +205,11 @@ def positional_parse(
     # numbered lines feed both the bounds and the section: cut the lineage
     # once (reliable checkpoint in spark.checkpoint.dir) instead of
     # recomputing the numbering in every branch of the plan
-    checkpoint_root(lines.sparkSession)
-    doc = document_lines(lines).checkpoint(eager=True)
+    if "gidx" in lines.columns:  # already numbered (numbered_lines): no shuffle
+        doc = lines
+    else:
+        checkpoint_root(lines.sparkSession)
+        doc = document_lines(lines).checkpoint(eager=True)
     bounds = section_bounds(doc, marker=marker)
     sec = doc.join(bounds, "path").where((F.col("gidx") >= F.col("start")) & (F.col("gidx") < F.col("end")))
     sec = sec.select("path", "page", "line_no", "gidx", "line", starts_with_dollar(F.col("line")).alias("_dollar"))

@@ -199,7 +199,7 @@ def txt_rejects(spark, sf):
     a = ST.outline_rejects(ST.page_lines(outline_pages(spark, sf))).select(
         F.col("page").cast("bigint").alias("page"), "reject_reason"
     )
-    b = ST.positional_rejects(ST.page_lines(positional_pages(spark, sf), space_before_dollar=False)).select(
+    b = ST.positional_rejects(ST.numbered_lines(positional_pages(spark, sf))).select(
         F.lit(None).cast("bigint").alias("page"), "reject_reason"
     )
     return a.unionByName(b)
@@ -266,7 +266,7 @@ _POS_ITEM_SQL = (
     """,
 )
 def txt_section_slice(spark, sf):
-    doc = ST.document_lines(ST.page_lines(positional_pages(spark, sf), space_before_dollar=False))
+    doc = ST.numbered_lines(positional_pages(spark, sf))
     b = ST.section_bounds(doc)
     return b.select("path", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
 
@@ -285,7 +285,7 @@ def txt_section_slice(spark, sf):
     """,
 )
 def txt_position_records(spark, sf):
-    lines = ST.page_lines(positional_pages(spark, sf), space_before_dollar=False)
+    lines = ST.numbered_lines(positional_pages(spark, sf))
     return ST.positional_expenses(lines)
 
 
@@ -301,7 +301,7 @@ def txt_position_records(spark, sf):
     """,
 )
 def txt_position_accounts(spark, sf):
-    lines = ST.page_lines(positional_pages(spark, sf), space_before_dollar=False)
+    lines = ST.numbered_lines(positional_pages(spark, sf))
     p = ST.positional_parse(lines).where(F.col("reject_reason").isNull())
     return p.select("concepto_secundario", F.substring_index("item", " ", 2).alias("part"), "cuenta")
 
@@ -319,7 +319,7 @@ def txt_position_accounts(spark, sf):
     """,
 )
 def txt_position_records_layout2(spark, sf):
-    lines = ST.page_lines(positional_pages(spark, sf, layout=2), space_before_dollar=False)
+    lines = ST.numbered_lines(positional_pages(spark, sf, layout=2))
     return ST.positional_expenses(lines, lead_lines=ST.layout2_lead_lines(), number_required=False)
 
 
@@ -328,7 +328,7 @@ def txt_position_records_layout2(spark, sf):
     "SELECT CAST(2 * COUNT(*) AS BIGINT) AS n_lines FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey",
 )
 def str_starts_with_dollar(spark, sf):
-    lines = ST.page_lines(positional_pages(spark, sf), space_before_dollar=False)
+    lines = ST.numbered_lines(positional_pages(spark, sf))
     return lines.where(S.starts_with_dollar("line")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -372,7 +372,7 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
 def report_adjusted_expenses(spark, sf):
     out_lines = ST.page_lines(outline_pages(spark, sf))
     e3 = ST.outline_expenses(out_lines, min_period="1998-01-01").where(F.col("concepto_secundario") != F.col("item"))
-    pos = ST.positional_expenses(ST.page_lines(positional_pages(spark, sf), space_before_dollar=False))
+    pos = ST.positional_expenses(ST.numbered_lines(positional_pages(spark, sf)))
     e2 = pos.where(F.col("periodo") == F.lit("1997-12-01").cast("date"))
     e1 = pos.where(F.col("periodo") < F.lit("1997-12-01").cast("date"))
     return ST.adjusted_expenses([e3, e2, e1], _RELABEL, ["Supplier 3"])
