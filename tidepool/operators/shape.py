@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Up to this many mapping entries a relabel is a CASE expression inside the
@@ -56,8 +56,7 @@ def relabel(df: DataFrame, column: str, mapping: Mapping[str, str], out: str | N
     out = out or column
     if len(mapping) <= CASE_LIMIT:
         return df.withColumn(out, relabel_expr(column, mapping))
-    spark = SparkSession.getActiveSession()
-    table = spark.createDataFrame(list(mapping.items()), "_rk string, _rv string")
+    table = df.sparkSession.createDataFrame(list(mapping.items()), "_rk string, _rv string")
     joined = df.join(F.broadcast(table), F.col(column) == F.col("_rk"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_rv"), F.col(column))).drop("_rk", "_rv")
 
