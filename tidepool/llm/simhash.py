@@ -280,8 +280,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE
     joined = distinct.join(found, F.col("fp") == F.col("v")).select("fp", "p", "least_id")
     least = joined.groupBy(F.col("p").alias("group_p")).agg(F.min("least_id").alias("component_id"))
     moved = joined.join(least, F.col("p") == F.col("group_p")).select(F.col("fp").alias("moved_fp"), "component_id")
-    by_fp = distinct.join(moved, F.col("fp") == F.col("moved_fp"), "left").select(
-        F.col("fp").alias("own_fp"), F.coalesce("component_id", "least_id").alias("component_id"))
+    # landed, so that the join below has a shuffle on either side and AQE can split a hot fingerprint
+    by_fp = landed(spark, distinct.join(moved, F.col("fp") == F.col("moved_fp"), "left").select(
+        F.col("fp").alias("own_fp"), F.coalesce("component_id", "least_id").alias("component_id")), "simhash-groups")
     return rows.join(by_fp, F.col("fp") == F.col("own_fp")).select(
         "doc_id", "text_hash", "fp", "component_id")
 
