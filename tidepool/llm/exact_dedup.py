@@ -69,9 +69,10 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
         columns.append(_full_hash(text).alias("text_sha256"))
     rows = landed(spark, _marked(spark, docs.select(id_col, text_col), text_col, columns), "exact-rows")
     extra = ["text_sha256"] if digest else []
-    groups = (rows.where("hash is not null").groupBy("hash")
-              .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-              .where("group_size > 1").withColumnRenamed("hash", "group_hash"))
+    # landed, so that the join has a shuffle on either side and AQE can split a hot hash
+    groups = landed(spark, rows.where("hash is not null").groupBy("hash")
+                    .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+                    .where("group_size > 1").withColumnRenamed("hash", "group_hash"), "exact-groups")
     alone = rows.where("hash is null").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), *extra)
