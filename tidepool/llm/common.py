@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +45,33 @@ def join_keys(df: DataFrame, keys: DataFrame, on: Column, how: str,
     if keys.count() <= broadcast_rows:
         keys = F.broadcast(keys)
     return df.join(keys, on, how)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, as ``--py-files`` would.
+
+    The driver packs a small archive once per application and Spark's own file
+    transfer brings it to the executors, so they need no copy of the library.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tidepool-")), "tidepool_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import landed
+from tidepool.llm.common import landed, ship_package
 
 UNKNOWN = "und"
 MARK = "▁"
@@ -164,6 +164,7 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Co
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Fit on the labelled rows for which ``training`` holds."""
+    ship_package(spark)
     pieces = vocabulary(vocabulary_path)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                        (F.lit(True) if training is None else training).alias("training"))
@@ -270,6 +271,7 @@ class Scorer:
 
 def predict(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
     """Struct of ``lang_pred`` and ``score`` for a text column."""
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

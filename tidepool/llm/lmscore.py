@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import join_keys, landed, text_or_empty
+from tidepool.llm.common import join_keys, landed, map_arrow, text_or_empty
 
 GRAMS = 1 << 24
 BYTES_PER_STEP = 4_000_000
@@ -72,7 +72,7 @@ def count_trigrams(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_
                     background[:], target[:], seen = 0, 0, 0
         yield told()
 
-    parts = rows.mapInArrow(count, "gram int, target long, background long")
+    parts = map_arrow(rows, count, "gram int, target long, background long")
     return landed(spark, parts.groupBy("gram").agg(F.sum("target").alias("target"),
                                                    F.sum("background").alias("background")), "lm-counts")
 
@@ -133,5 +133,4 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: Data
                  pa.array(mean[1], mask=empty), pa.array(mean[0] - mean[1], mask=empty)],
                 names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return rows.mapInArrow(
-        score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+    return map_arrow(rows, score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")

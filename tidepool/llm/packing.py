@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.bpe import encoder
-from tidepool.llm.common import landed, text_or_empty
+from tidepool.llm.common import landed, map_arrow, ship_package, text_or_empty
 
 WINDOW = 2048
 PIECES_PER_SHARD = 50_000
@@ -64,7 +64,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
                     names=["doc_id", "start", "length", "doc_tokens", "ids"])
                 lo = hi
 
-    return rows.mapInArrow(cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
+    return map_arrow(rows, cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
 
 
 class OpenWindows:
@@ -134,6 +134,7 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = WINDOW,
         pdf["offset"] = offsets
         return pdf.drop(columns=["shard", "piece_row"])
 
+    ship_package(spark)
     schema = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
     return dealt.groupBy("shard").applyInPandas(fill, schema)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import text_or_empty
+from tidepool.llm.common import map_arrow, text_or_empty
 
 # Fixed patterns of the base and their least lengths.
 ASSIGN = re.compile(
@@ -121,7 +121,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["doc_id", "base", "spans"])
 
     spans = "array<struct<kind:string,start:bigint,end:bigint>>"
-    return rows.mapInArrow(scan, f"doc_id {kind}, base {spans}, spans {spans}")
+    return map_arrow(rows, scan, f"doc_id {kind}, base {spans}, spans {spans}")
 
 
 def spans_text(name: str):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import join_keys, landed, text_or_empty
+from tidepool.llm.common import join_keys, landed, map_arrow, text_or_empty
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "d
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(fps.view(np.int64))],
                 names=["doc_id", "text_hash", "fp"])
 
-    return rows.mapInArrow(hashed, f"doc_id {kind}, text_hash long, fp long")
+    return map_arrow(rows, hashed, f"doc_id {kind}, text_hash long, fp long")
 
 
 def _distance(a, b) -> np.ndarray:
@@ -245,7 +245,7 @@ def linked_pairs(spark: SparkSession, distinct: DataFrame, max_bits: int = MAX_B
         child = np.flatnonzero(label != np.arange(len(fps)))
         return pd.DataFrame({"fp": fps[child], "root": fps[label[child]]})
 
-    dealt = distinct.select("fp").mapInArrow(deal, "shard long, fp long, home boolean")
+    dealt = map_arrow(distinct.select("fp"), deal, "shard long, fp long, home boolean")
     return dealt.groupBy("shard").applyInPandas(linked, "fp long, root long")
 
 

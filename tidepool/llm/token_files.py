@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.bpe import encoder
-from tidepool.llm.common import landed, text_or_empty
+from tidepool.llm.common import landed, map_arrow, text_or_empty
 from tidepool.session import scratch_path
 
 NO_ID = np.iinfo(np.int64).min
@@ -88,7 +88,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, end_
 
     kinds = "part long, name string, n_docs long, n_ids long, width long"
     # one short row per part: the number of tasks bounds it, not the data
-    parts = sorted(landed(spark, rows.mapInArrow(write, kinds), "token-parts").collect())
+    parts = sorted(landed(spark, map_arrow(rows, write, kinds), "token-parts").collect())
     bases = np.cumsum([0, *[p["n_ids"] for p in parts]])
     table = [(p["part"], p["name"], p["n_docs"], p["n_ids"], int(b), p["width"], folder)
              for p, b in zip(parts, bases, strict=False)]
@@ -135,4 +135,4 @@ def read_token_files(parts: DataFrame) -> DataFrame:
                     lo = hi
 
     spread = parts.repartition(n)
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return map_arrow(spread, read, "doc_id long, start long, n_tokens long, ids binary")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import join_keys, landed
+from tidepool.llm.common import join_keys, landed, map_arrow
 from tidepool.llm.token_files import shared_fs
 from tidepool.session import scratch_path
 
@@ -146,7 +146,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, captured: Column, fold
                  pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())],
                 names=["url_key", "captured", "page_id", "record_type", "run", "place", "offset", "length"])
 
-    return landed(spark, rows.mapInArrow(write, ENTRY), "warc-runs"), folder
+    return landed(spark, map_arrow(rows, write, ENTRY), "warc-runs"), folder
 
 
 def _order(entry) -> tuple:
@@ -225,7 +225,7 @@ def merge_runs(spark: SparkSession, runs: DataFrame) -> DataFrame:
         table = table.append_column("position", pa.array(np.arange(len(rows))))
         yield from table.to_batches(max_chunksize=100_000)
 
-    return landed(spark, dealt.mapInArrow(merge, ENTRY + ", range_no long, position long"), "warc-index")
+    return landed(spark, map_arrow(dealt, merge, ENTRY + ", range_no long, position long"), "warc-index")
 
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
@@ -267,7 +267,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, shape)
 
-    return wanted.mapInArrow(read, schema)
+    return map_arrow(wanted, read, schema)
 
 
 def payload_digest() -> Column:
