@@ -22,9 +22,9 @@ import pyarrow.compute as pc
 CUT = re.compile(r" (?=\S)(?<!\s )")
 
 #: Chunks kept per Python worker, chunks in one tokenizer call, characters in one step.
-MAX_CHUNKS = 1_000_000
+MAX_CHUNKS = 500_000
 CHUNKS_PER_CALL = 1_000
-CHARS_PER_STEP = 8_000_000
+CHARS_PER_STEP = 4_000_000
 
 
 class ChunkEncoder:

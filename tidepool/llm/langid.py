@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,7 @@ MAX_LANGUAGES = 200
 PIECE_CHARS = 10
 OUTSIDE = 1e-7
 #: Tokens whose scores a task remembers.
-MEMORY = 400_000
+MEMORY = 250_000
 
 
 def vocabulary(path: str) -> list[str]:
@@ -242,7 +243,7 @@ class Scorer:
             counts[k] = len(tokens)
             codes += [code.setdefault(t, len(code)) for t in tokens]
         if len(code) > known:
-            fresh = list(code)[known:]
+            fresh = list(islice(reversed(code), len(code) - known))[::-1]
             self.score = np.vstack([self.score, self._learn(fresh)])
         total = np.zeros((len(texts), len(self.languages)))
         filled = np.flatnonzero(counts)
@@ -256,7 +257,7 @@ class Scorer:
         for k, text in enumerate(texts):
             step.append(text or "")
             chars += len(text or "")
-            if chars >= 4_000_000 or k == len(texts) - 1:
+            if chars >= 2_000_000 or k == len(texts) - 1:
                 for own, total in zip(step, self._some(step) if self.languages else step, strict=True):
                     if not self.languages or not LETTERS.search(own):
                         langs.append(UNKNOWN)

@@ -44,9 +44,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
 
         for batch in batches:
             texts, lo = batch.column("text").to_pylist(), 0
-            while lo < len(texts):  # ids of about 16 million characters at once
+            while lo < len(texts):  # ids of about 4 million characters at once
                 hi, chars = lo, 0
-                while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 16_000_000):
+                while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 4_000_000):
                     chars += len(texts[hi])
                     hi += 1
                 ids, n = encoder(tokenizer).encode(texts[lo:hi], end_id)
@@ -63,6 +63,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
                      pa.array(length), pa.array(n[doc]), blob.cast(pa.binary())],
                     names=["doc_id", "start", "length", "doc_tokens", "ids"])
                 lo = hi
+            del batch, texts
+            pa.default_memory_pool().release_unused()
 
     return map_arrow(rows, cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
 
