@@ -240,6 +240,7 @@ def linked_pairs(spark: SparkSession, distinct: DataFrame, max_bits: int = MAX_B
     def linked(pdf):
         import pandas as pd
 
+        pdf = pdf.sort_values("fp", ignore_index=True)  # the forest must not depend on the order of arrival
         fps = np.ascontiguousarray(pdf["fp"].to_numpy())
         label = link(fps.view(np.uint64), pdf["home"].to_numpy(), max_bits)
         child = np.flatnonzero(label != np.arange(len(fps)))
@@ -256,7 +257,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     the neighbours and then the label of that label; rounds go on until none
     changes.  Each is two joins and one aggregate, landed to cut the lineage.
     """
-    pairs = links.toDF("a", "b")
+    # landed before they are turned round: both directions must come from one run of the links
+    pairs = landed(spark, links.toDF("a", "b"), "simhash-links")
     edges = landed(spark, pairs.union(pairs.select("b", "a")).distinct(), "simhash-edges")
     label = landed(spark, edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
                    .select("v", F.least("v", "m").alias("p")), "simhash-labels")
