@@ -90,3 +90,13 @@ def test_collect_ordered_and_sets(spark):
 def test_generate_rows(spark):
     rows = generate_rows(spark, 5).collect()
     assert [r.name for r in rows] == [f"Name_{i}" for i in range(5)]
+
+
+def test_relabel_gives_one_answer_at_any_size(spark):
+    from tidepool.operators.shape import relabel
+
+    df = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "c string")
+    small = {"a": "A", "b": None}
+    large = small | {f"k{i}": str(i) for i in range(200)}
+    for mapping in (small, large):
+        assert [r["c"] for r in relabel(df, "c", mapping).collect()] == ["A", None, "z", None]

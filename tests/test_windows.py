@@ -55,3 +55,16 @@ def test_running_count_and_bucket(spark):
     assert [got[i] for i in range(10)] == [0, 1, 1, 1, 2, 2, 2, 3, 3, 3]
     b = W.bucket_rows(spark.range(1, 8).withColumnRenamed("id", "rn"), "rn", 3).collect()
     assert [r["row_group"] for r in sorted(b)] == [0, 0, 0, 1, 1, 1, 2]
+
+
+def test_null_keys_and_times(spark):
+    rows = [(1, None, 10.0, 0), (1, 1, 13.0, 1), (1, 2, 20.0, 2), (None, 1, 1.0, 3), (None, 1, 5.0, 4), (None, None, 9.0, 5)]
+    df = spark.createDataFrame(rows, "k int, t int, v double, id int")
+    from pyspark.sql import functions as F
+
+    from tidepool.operators import windows as win
+
+    numbered = {r["id"]: r["row_num"] for r in win.row_number_by_key(df, "k", ["t", "id"], F.col("t")).collect()}
+    assert numbered == {0: 1, 1: 2, 2: 3, 5: 1, 3: 2, 4: 3}
+    changes = win.consecutive_changes(df, "k", ["t", "id"], "v", F.col("t")).collect()
+    assert sorted(r["change"] for r in changes) == [3.0, 7.0]

@@ -14,11 +14,10 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.joins import bounded_broadcast
 
 
 def assemble(df: DataFrame, input_cols: Sequence[str], out: str = "features", handle_invalid: str = "error") -> DataFrame:
@@ -87,41 +86,29 @@ def k_sweep(spark: SparkSession, df: DataFrame, k_values: Sequence[int], seed: i
 
 
 def elbow_point(metrics: DataFrame, k_col: str = "k", wcss_col: str = "wcss", out: str = "optimal_k") -> DataFrame:
-    """k whose (k, wcss) point is farthest from the chord between the first
-    and the last point of the curve (the first such k on ties).
+    """k with the largest gap between the curve and the straight line from its
+    first to its last point (the first such k on ties).  The distance to the
+    line is this gap times one factor for all k, so both pick the same k.
 
     Uses the real first and last k of the table.  The table has one row per
     k tried, so the global window here is over a handful of rows.
     """
-    w = Window.orderBy(k_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    x0, y0 = F.col(k_col).cast("double"), F.col(wcss_col)
-    x1, y1 = F.first(k_col).over(w).cast("double"), F.first(wcss_col).over(w)
-    x2, y2 = F.last(k_col).over(w).cast("double"), F.last(wcss_col).over(w)
-    num = F.abs((y2 - y1) * x0 - (x2 - x1) * y0 + x2 * y1 - y2 * x1)
-    den = F.sqrt((y2 - y1) ** 2 + (x2 - x1) ** 2)
-    d = metrics.select(F.col(k_col), (num / den).alias("_d"))
-    # max distance; smallest k among equal distances
-    return d.agg(F.max_by(F.col(k_col), F.struct(F.col("_d"), -F.col(k_col))).alias(out))
-
-
-def wcss_by_label(df: DataFrame, array_col: str, label_col: str, max_centroid_rows: int = 5_000_000) -> DataFrame:
+    every = Window.orderBy(k_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    k, drop = F.col(k_col).cast("double"), F.first(wcss_col).over(every) - F.last(wcss_col).over(every)
+    span = F.last(k_col).over(every) - F.first(k_col).over(every)
+    line = F.first(wcss_col).over(every) - F.try_divide(drop, span) * (k - F.first(k_col).over(every))
+    gaps = metrics.select(F.col(k_col), F.coalesce(F.abs(line - F.col(wcss_col)), F.lit(0.0)).alias("_gap"))
+    return gaps.agg(F.max_by(F.col(k_col), F.struct(F.col("_gap"), -F.col(k_col))).alias(out))
+
+
+def wcss_by_label(df: DataFrame, array_col: str, label_col: str) -> DataFrame:
     """Within-cluster sum of squares of a given assignment: per label, the sum
     over points of the squared distance to the label's mean.
 
-    Two passes: per-(label, dimension) means (a partial aggregate), then the
-    squared deviations.  The means table has labels x dimensions rows; it is
-    broadcast only when it is proven to be under ``max_centroid_rows`` rows,
-    otherwise joined by shuffle.
+    One pass: per label and dimension the squared deviations are the
+    population variance times the count, a partial aggregate; no join.
     """
     pts = df.select(F.col(label_col).alias("_label"), F.posexplode(array_col).alias("_pos", "_x"))
     pts = pts.withColumn("_x", F.col("_x").cast("double"))
-    means = pts.groupBy("_label", "_pos").agg(F.avg("_x").alias("_mean"))
-    means, _ = bounded_broadcast(means, max_centroid_rows)
-    dev = pts.join(means, ["_label", "_pos"])
-    return dev.groupBy(F.col("_label").alias(label_col)).agg(
-        F.sum((F.col("_x") - F.col("_mean")) ** 2).alias("wcss")
-    )
-
-
-def vector_column_to_array(df: DataFrame, col: str, out: str) -> DataFrame:
-    return df.withColumn(out, vector_to_array(F.col(col)))
+    dev = pts.groupBy("_label", "_pos").agg((F.var_pop("_x") * F.count("_x")).alias("_dev"))
+    return dev.groupBy(F.col("_label").alias(label_col)).agg(F.sum("_dev").alias("wcss"))

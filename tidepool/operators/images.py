@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from tidepool.operators.clustering import assemble, centers, kmeans
 
 
+#: Bytes of a pixel that the decoder knows: grey, BGR, BGRA.
+CHANNELS = (1, 3, 4)
+
+
 def _byte(data: Column, offset: Column) -> Column:
     """Unsigned byte at 0-based ``offset`` of a binary column."""
     return F.conv(F.hex(F.substring(data, offset + 1, 1)), 16, 10).cast("int")
@@ -24,21 +28,29 @@ def _byte(data: Column, offset: Column) -> Column:
 def image_pixels(images: DataFrame) -> DataFrame:
     """Spark ``image`` source rows -> ``(origin, y, x, r, g, b)``.
 
-    The source stores bytes row-major in BGR(A) order; alpha is ignored."""
+    The source stores bytes row-major in BGR(A) order, or one grey byte; alpha
+    is ignored.  Images that could not be read give no pixel, see
+    :func:`image_rejects`.  Each image is cut into rows before the pixels, so a
+    pixel never carries more than its row.
+    """
     im = images.select(
         F.col("image.origin").alias("origin"), F.col("image.height").alias("h"),
         F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"), F.col("image.data").alias("data"),
-    )
-    px = im.select("origin", "w", "c", "data", F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)).alias("i"))
-    off = F.col("i") * F.col("c")
-    return px.select(
-        "origin",
-        (F.col("i") / F.col("w")).cast("int").alias("y"),
-        (F.col("i") % F.col("w")).alias("x"),
-        _byte(F.col("data"), off + 2).alias("r"),
-        _byte(F.col("data"), off + 1).alias("g"),
-        _byte(F.col("data"), off).alias("b"),
-    )
+    ).where(F.col("c").isin(*CHANNELS) & (F.col("h") > 0) & (F.col("w") > 0))
+    rows = im.select("origin", "w", "c", "data", F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("y"))
+    step = F.col("w") * F.col("c")
+    rows = rows.select("origin", "w", "c", "y", F.substring(F.col("data"), F.col("y") * step + 1, step).alias("line"))
+    px = rows.select("origin", "y", "c", "line", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("x"))
+    at = lambda k: _byte(F.col("line"), F.col("x") * F.col("c") + F.when(F.col("c") == 1, 0).otherwise(k))
+    return px.select("origin", "y", "x", at(2).alias("r"), at(1).alias("g"), at(0).alias("b"))
+
+
+def image_rejects(images: DataFrame) -> DataFrame:
+    """``(origin, n_channels)`` of the images that give no pixel."""
+    im = images.select(F.col("image.origin").alias("origin"), F.col("image.nChannels").alias("n_channels"),
+                       F.col("image.height").alias("h"), F.col("image.width").alias("w"))
+    fits = F.col("n_channels").isin(*CHANNELS) & (F.col("h") > 0) & (F.col("w") > 0)
+    return im.where(~F.coalesce(fits, F.lit(False))).select("origin", "n_channels")
 
 
 def image_dimensions(pixels: DataFrame) -> DataFrame:

@@ -5,45 +5,19 @@ small; with AQE on, a side whose *measured* shuffle output is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold`` is switched to a broadcast
 at run time, and skewed partitions are split (``skewJoin``).  An explicit
 broadcast hint is only given where the side's size is bounded by
-construction (a mapping literal, k cluster centres, a month calendar), or
-behind :func:`bounded_broadcast`'s row check.
+construction (k cluster centres, a month calendar).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 JOIN_TYPES = {"inner": "inner", "left": "left", "right": "right", "full outer": "full"}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast hint only when ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded ``limit`` job);
-    above the bound the DataFrame is returned unhinted and the join falls back
-    to a shuffle join (AQE may still broadcast it from runtime statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
-def join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    small_right_rows: int | None = None,
-) -> DataFrame:
-    """Equi-join; with ``small_right_rows`` the right side is broadcast when
-    it is proven to be that small (legal for inner/left/semi/anti joins)."""
-    if small_right_rows is not None and how in ("inner", "left", "left_semi", "left_anti", "cross"):
-        right, _ = bounded_broadcast(right, small_right_rows)
-    return left.join(right, on, how)
-
-
 def join_type_counts(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> DataFrame:
     """Row counts of ``a JOIN b ON a_key = b_key`` for inner, left, right
     and full outer joins, as ``(join_type, count)``.

@@ -7,12 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many mapping entries a relabel is a CASE expression inside the
-# projection (stays in whole-stage codegen); above it the mapping becomes a
-# small table joined by broadcast.
-CASE_LIMIT = 32
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -49,16 +43,15 @@ def relabel_expr(c, mapping: Mapping[str, str]) -> Column:
 def relabel(df: DataFrame, column: str, mapping: Mapping[str, str], out: str | None = None) -> DataFrame:
     """Replace values of ``column`` by ``mapping``; unmapped values stay.
 
-    Few entries: a CASE expression.  Many entries: the mapping becomes a
-    literal table (its size is the mapping's, fixed by the caller) joined by
-    broadcast, then ``coalesce(mapped, original)``.
+    One map literal, whatever the number of entries; an entry with the target
+    None gives NULL.
     """
     out = out or column
-    if len(mapping) <= CASE_LIMIT:
-        return df.withColumn(out, relabel_expr(column, mapping))
-    table = df.sparkSession.createDataFrame(list(mapping.items()), "_rk string, _rv string")
-    joined = df.join(F.broadcast(table), F.col(column) == F.col("_rk"), "left")
-    return joined.withColumn(out, F.coalesce(F.col("_rv"), F.col(column))).drop("_rk", "_rv")
+    if not mapping:
+        return df.withColumn(out, _c(column))
+    pairs = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v).cast("string"))])
+    c = _c(column)
+    return df.withColumn(out, F.when(F.map_contains_key(pairs, c), pairs[c]).otherwise(c))
 
 
 def choose(cond: Column, when_true, otherwise) -> Column:

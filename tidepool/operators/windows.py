@@ -30,6 +30,15 @@ def day_chunk(ts_col: str) -> Column:
     return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(86_400_000_000))
 
 
+def _with_chunk(rows: DataFrame, table: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Rows plus the values of their (key, chunk); NULL keys and times match."""
+    named = table.withColumnsRenamed({c: f"__tp_{i}" for i, c in enumerate(part)})
+    same = F.lit(True)
+    for i, c in enumerate(part):
+        same = same & F.col(c).eqNullSafe(F.col(f"__tp_{i}"))
+    return rows.join(named, same, "left").drop(*[f"__tp_{i}" for i in range(len(part))])
+
+
 def lag_by_key(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -62,10 +71,10 @@ def lag_by_key(
     per_chunk = per_chunk.select(
         *part,
         F.lag("__tp_last").over(wc).alias("__tp_prev_last"),
-        F.lag(_CHUNK).over(wc).isNotNull().alias("__tp_prev_chunk"),
+        F.lag(F.lit(True)).over(wc).isNotNull().alias("__tp_prev_chunk"),
     )
     return (
-        rows.join(per_chunk, part, "left")
+        _with_chunk(rows, per_chunk, part)
         .withColumn(out, F.when(F.col("__tp_first_in_chunk"), F.col("__tp_prev_last")).otherwise(F.col(out)))
         .withColumn(has_prev, ~F.col("__tp_first_in_chunk") | F.col("__tp_prev_chunk"))
         .drop(_CHUNK, "__tp_first_in_chunk", "__tp_prev_last", "__tp_prev_chunk")
@@ -84,9 +93,11 @@ def consecutive_changes(
     ``abs(value - previous value)``; NULL when either value is NULL.
 
     Same rows as the self-join ``a.row_num = b.row_num + 1`` on row numbers
-    per key, without the join.
+    per key, without the join; rows with a NULL key pair with none.
     """
     keys = _cols(keys)
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
     lagged = lag_by_key(df, keys, order, value, chunk, out="_prev", has_prev="_has_prev")
     return (
         lagged.where("_has_prev")
@@ -134,7 +145,7 @@ def row_number_by_key(
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*part, F.coalesce(F.sum("__tp_n").over(wc), F.lit(0)).alias("__tp_before"))
     return (
-        rows.join(counts, part, "left")
+        _with_chunk(rows, counts, part)
         .withColumn(out, F.col("__tp_rn") + F.col("__tp_before"))
         .drop(_CHUNK, "__tp_rn", "__tp_before")
     )
@@ -162,7 +173,7 @@ def running_count_by_key(
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*part, F.coalesce(F.sum("__tp_n").over(wc), F.lit(0)).alias("__tp_before"))
     return (
-        rows.join(counts, part, "left")
+        _with_chunk(rows, counts, part)
         .withColumn(out, (F.col("__tp_in") + F.col("__tp_before")).cast("bigint"))
         .drop(_CHUNK, "__tp_f", "__tp_in", "__tp_before")
     )
@@ -200,7 +211,7 @@ def carry_forward(
     )
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = per_chunk.select(*part, F.last("__tp_last", ignorenulls=True).over(wc).alias("__tp_carry"))
-    filled = rows.join(per_chunk, part, "left")
+    filled = _with_chunk(rows, per_chunk, part)
     c = F.coalesce(F.col("__tp_in"), F.col("__tp_carry"))
     res = filled.withColumn(out, F.coalesce(c, default) if default is not None else c)
     return res.drop(_CHUNK, "__tp_v", "__tp_in", "__tp_carry")

@@ -208,7 +208,7 @@ def proj_case_relabel(spark, sf):
     """,
 )
 def proj_case_relabel_table(spark, sf):
-    # 40 entries: above CASE_LIMIT, so the mapping is a broadcast literal table
+    # 40 entries in one map literal
     mapping = {f"Brand#{i}": f"B{i:03d}" for i in range(1, 41)}
     p = _t(spark, sf, "part")
     return SH.relabel(p, "p_brand", mapping, out="brand").select("p_partkey", "brand")
@@ -336,9 +336,10 @@ def filter_last_calendar_week(spark, sf):
     """,
 )
 def filter_period(spark, sf):
-    o = _t(spark, sf, "orders").select("o_orderkey", D.first_of_month("o_orderdate").alias("periodo"))
-    ref = F.lit("1998-04-01").cast("date")
-    return o.where(F.col("periodo") >= ref).withColumn("is_layout_2", F.col("periodo") == ref)
+    ref = F.lit("1998-04-01").cast("date")  # a month is on or after it if its days are: the filter reaches the scan
+    o = _t(spark, sf, "orders").where(F.col("o_orderdate") >= ref)
+    o = o.select("o_orderkey", D.first_of_month("o_orderdate").alias("periodo"))
+    return o.withColumn("is_layout_2", F.col("periodo") == ref)
 
 
 @register(

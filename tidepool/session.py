@@ -54,9 +54,8 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of our
-    own is created and registered, so lineage can still be cut with
-    ``checkpoint()``.
+    Read from the session.  Where it is unset, a session on one machine
+    (``local[...]``) gets a folder of its own; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -64,7 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if conf:
             sc.setCheckpointDir(conf)
-        else:  # unset: local/test session only
+        elif not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        else:  # unset in a local session: driver and executors are one machine
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-ckpt-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")

@@ -83,6 +83,8 @@ def csv_folder_views(spark: SparkSession, folder: str, suffix: str = ".csv") ->
     for n in names:
         df = read_csv_header(spark, f"{prefix}/{n}")
         v = view_name(n[: -len(suffix)])
+        if v in out:
+            raise ValueError(f"two entries of {folder} would both become the view {v}")
         df.createOrReplaceTempView(v)
         out[v] = df
     return out

@@ -23,10 +23,14 @@ duplicates":
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.session import checkpoint_root
+
 
 def create_keyed_table(
     df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str, fmt: str = "parquet"
@@ -41,7 +45,13 @@ def create_keyed_table(
 
 def new_rows(spark: SparkSession, batch: DataFrame, target: str, key: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in table ``target`` (one per key)."""
-    return batch.dropDuplicates(list(key)).join(spark.table(target).select(*key), list(key), "left_anti")
+    rows, known = batch.dropDuplicates(list(key)), spark.table(target).select(*key)
+    whole = reduce(and_, [F.col(k).isNotNull() for k in key])
+    fresh = rows.where(whole).join(known, list(key), "left_anti")
+    # keys with a NULL match null-safe, and apart: only such rows of the target are read for them
+    partial = known.where(~whole).toDF(*[f"_known_{k}" for k in key])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in key])
+    return fresh.unionByName(rows.where(~whole).join(partial, same, "left_anti"))
 
 
 def append_new_only(spark: SparkSession, batch: DataFrame, target: str, key: Sequence[str]) -> None:
@@ -51,6 +61,7 @@ def append_new_only(spark: SparkSession, batch: DataFrame, target: str, key: Seq
     checkpoint folder via ``checkpoint()``), because the anti-join reads the
     table it appends to.
     """
+    checkpoint_root(spark)
     fresh = new_rows(spark, batch, target, key).checkpoint(eager=True)
     cols = spark.table(target).columns
     fresh.select(*cols).write.insertInto(target)
