@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
