@@ -85,6 +85,24 @@ def test_positional_fixture(spark):
     assert (b.start, b.end) == (5, 16)
 
 
+def test_positional_long_record_over_pages(spark):
+    more = [f"word{i}" for i in range(40)]
+    doc = ["CONSUMOS BÁSICOS", "a", "b", "1", "Co", "Desc", *more, "acct", "$1", "$2", "2", "Co2", "D2", "$3", "$4", " "]
+    pages = [(NAME, k, "\n".join(doc[i:i + 7])) for k, i in enumerate(range(0, len(doc), 7))]
+    # tests read the pages in another order than the document's
+    got = ST.positional_parse(_pages(spark, pages[::-1]), continuation_pattern="^word").orderBy("record").collect()
+    assert [r.reject_reason for r in got] == [None, None]
+    assert got[0].item == " ".join(["Desc", *more]) and got[0].cuenta == "acct"
+    assert (got[1].concepto_secundario, got[1].item, got[1].valor_comunidad) == ("Co2", "D2", Decimal("4.00"))
+
+
+def test_repeated_pages_do_not_multiply_lines(spark):
+    page = (NAME, 1, "\n".join(str(i) for i in range(12)))
+    doc = ST.numbered_lines(_pages(spark, [page, page, (NAME, 2, None), ("other", 1, "")]))
+    assert sorted(r.gidx for r in doc.where(F.col("path") == NAME).collect()) == list(range(1, 25))
+    assert doc.where("path = 'other'").count() == 1
+
+
 def test_positional_continuations_and_rejects(spark):
     doc = ["CONSUMOS BÁSICOS", "a", "b",
            "1", "Co", "Desc", "Prov", "123-4", "26-10-2023", "$1", "$2",

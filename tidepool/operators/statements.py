@@ -39,7 +39,7 @@ from tidepool.functions.strings import (
     strip_leading_number,
 )
 from tidepool.operators.windows import carry_forward, row_number_by_key, running_count_by_key
-from tidepool.session import checkpoint_root
+from tidepool.session import scratch_path
 
 # The amount-line pattern (label, blank(s), "$", amount, "$",
 # amount), the section marker line and the section end line.
@@ -130,25 +130,76 @@ def outline_rejects(lines: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+def _landed_pages(pages: DataFrame, marker: str, end_line: str, text: str = "text",
+                  space_before_dollar: bool = False) -> DataFrame:
+    """``(row, path, page, lines, n, marks, ends, dollars)``, landed in the
+    shared scratch folder: each page split once, with the 0-based places of
+    its marker, end and ``$`` lines.  ``row`` tells repeated pages apart; as
+    the table is written, all later scans see the same rows.
+
+    ``pages`` are ``(path, page, text)`` or lines of :func:`page_lines`, which
+    are put together by page again.  A NULL text has no line.
+    """
+    if "line" in pages.columns:
+        placed = pages.groupBy("path", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_ls"))
+        split = placed.select("path", "page", F.transform("_ls", lambda x: x["line"]).alias("lines"))
+    else:
+        t = F.coalesce(F.col(text), F.lit(""))
+        if space_before_dollar:
+            t = F.replace(t, F.lit("$"), F.lit(" $"))
+        none = F.array().cast("array<string>")
+        split = pages.select("path", "page", F.when(F.col(text).isNull(), none)
+                             .otherwise(F.split(t, "\n", -1)).alias("lines"))
+
+    def places(test) -> Column:
+        return F.filter(F.transform("lines", lambda x, i: F.when(test(x), i)), lambda i: i.isNotNull())
+
+    out = split.select(
+        F.monotonically_increasing_id().alias("row"), "path", "page", "lines", F.size("lines").alias("n"),
+        places(lambda x: x == marker).alias("marks"),
+        places(lambda x: x == end_line).alias("ends"),
+        places(lambda x: x.contains("$") & starts_with_dollar(x)).alias("dollars"),
+    )
+    spark, folder = pages.sparkSession, scratch_path(pages.sparkSession, "statement_pages")
+    out.write.parquet(folder)
+    return spark.read.schema(out.schema).parquet(folder)
+
+
+def _before() -> Window:
+    return Window.partitionBy("path").orderBy("page", "row").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _sections(landed: DataFrame) -> DataFrame:
+    """One narrow row per page: its line offset in the document (``off``) and
+    the document's section (``start``, ``end``; 1-based, end exclusive).
+
+    ``end`` is the first end line after the first marker; ``start`` is three
+    lines after the last marker before ``end``; both NULL without such a pair.
+    No text goes through the windows, only counts and places.
+    """
+    every = Window.partitionBy("path")
+    off = F.coalesce(F.sum("n").over(_before()), F.lit(0)).cast("bigint")
+    s = landed.select("row", "path", "page", "n", "marks", "ends", "dollars", off.alias("off"))
+    for c in ("marks", "ends"):
+        s = s.withColumn(c, F.transform(c, lambda i: i + F.col("off") + 1))
+    s = s.withColumn("_first", F.min(F.array_min("marks")).over(every))
+    s = s.withColumn("end", F.min(F.array_min(F.filter("ends", lambda e: e > F.col("_first")))).over(every))
+    return s.withColumn("start", F.max(F.array_max(F.filter("marks", lambda m: m < F.col("end")))).over(every) + 3)
+
+
 def numbered_lines(pages: DataFrame, text: str = "text", space_before_dollar: bool = False) -> DataFrame:
     """``(path, page, text)`` -> ``(path, page, line_no, line, gidx)`` where
     ``gidx`` is the 1-based line position in the whole document.
 
-    Numbered from the pages, not the lines: line counts per page, a running
-    sum over the (small) page table gives each page's offset, and the lines
-    are exploded with ``gidx = offset + line_no + 1``.  No line-level shuffle.
+    Numbered from the pages, not the lines: a running sum of the line counts
+    over one narrow row per page gives each page's offset.  Pages that repeat
+    a (path, page) follow one another.
     """
-    t = F.col(text)
-    if space_before_dollar:
-        t = F.replace(t, F.lit("$"), F.lit(" $"))
-    pg = pages.select("path", "page", F.split(t, "\n", -1).alias("_ls"))
-    w = Window.partitionBy("path").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    off = pg.select("path", "page", F.size("_ls").alias("_n")).select(
-        "path", "page", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")
-    )
-    return pg.join(off, ["path", "page"]).select(
-        "path", "page", "_off", F.posexplode("_ls").alias("line_no", "line")
-    ).select("path", "page", "line_no", "line", (F.col("_off") + F.col("line_no") + 1).cast("bigint").alias("gidx"))
+    landed = _landed_pages(pages, SECTION_MARKER, SECTION_END, text, space_before_dollar)
+    off = landed.select("row", F.coalesce(F.sum("n").over(_before()), F.lit(0)).cast("bigint").alias("off"))
+    return landed.select("row", "path", "page", "lines").join(off, "row").select(
+        "path", "page", "off", F.posexplode("lines").alias("line_no", "line")
+    ).select("path", "page", "line_no", "line", (F.col("off") + F.col("line_no") + 1).alias("gidx"))
 
 
 def document_lines(lines: DataFrame) -> DataFrame:
@@ -158,39 +209,60 @@ def document_lines(lines: DataFrame) -> DataFrame:
     return row_number_by_key(lines, "path", ["page", "line_no"], chunk=F.col("page"), out="gidx")
 
 
-def section_bounds(doc: DataFrame, marker: str = SECTION_MARKER, end_line: str = SECTION_END) -> DataFrame:
-    """Per document ``(path, start, end)``: ``end`` is the first ``end_line``
-    after the first marker; ``start`` is three lines after the last marker
-    before ``end``.  Documents without both are absent.
+def section_bounds(pages: DataFrame, marker: str = SECTION_MARKER, end_line: str = SECTION_END) -> DataFrame:
+    """Per document ``(path, start, end)``, as in :func:`positional_parse`;
+    documents without both lines are absent."""
+    s = _sections(_landed_pages(pages, marker, end_line))
+    return s.where(F.col("start").isNotNull()).select("path", "start", "end").distinct()
+
 
-    Works on the marker/end candidate lines only (a few per document): one
-    shuffle of those by ``path``, three window aggregates, no joins."""
-    cand = doc.where((F.col("line") == marker) | (F.col("line") == end_line)).select(
-        "path", "gidx", (F.col("line") == marker).alias("_mk")
+def _records(landed: DataFrame) -> DataFrame:
+    """``(path, record, _lines, n_dollar)``: the section's lines, cut after
+    every second ``$`` line.
+
+    The cuts are found on the narrow page rows; each page is then sliced where
+    its lines are, and the slices of a record meet by (path, record).  A hot
+    document is spread over its records.
+    """
+    s = _sections(landed).where(F.col("start").isNotNull())
+    lo = F.greatest(F.lit(0), F.col("start") - F.col("off") - 1)
+    hi = F.least(F.col("n"), F.col("end") - F.col("off") - 1)
+    s = s.withColumn("lo", lo).withColumn("hi", hi)
+    s = s.withColumn("dollars", F.filter("dollars", lambda i: (i >= F.col("lo")) & (i < F.col("hi"))))
+    s = s.withColumn("nd", F.coalesce(F.sum(F.size("dollars")).over(_before()), F.lit(0)).cast("bigint"))
+    second = F.filter("dollars", lambda i, j: (F.col("nd") + j) % 2 == 1)
+    cuts = F.transform(second, lambda i: (i + 1).cast("bigint"))
+    s = s.where("hi > lo").withColumn("cuts", F.concat(F.array("lo"), cuts, F.array("hi")))
+    piece = F.transform(
+        F.slice("cuts", F.lit(1), F.size("cuts") - 1),
+        lambda x, k: F.struct((F.floor(F.col("nd") / 2) + k).cast("bigint").alias("record"), x.alias("a"),
+                              F.get("cuts", k + 1).alias("b")),
     )
-    w = Window.partitionBy("path")
-    first = F.min(F.when(F.col("_mk"), F.col("gidx"))).over(w)
-    c = cand.withColumn("_first", first)
-    c = c.withColumn("end", F.min(F.when(~F.col("_mk") & (F.col("gidx") > F.col("_first")), F.col("gidx"))).over(w))
-    c = c.withColumn("start", F.max(F.when(F.col("_mk") & (F.col("gidx") < F.col("end")), F.col("gidx"))).over(w) + 3)
-    return c.where(F.col("end").isNotNull() & F.col("start").isNotNull()).select("path", "start", "end").distinct()
+    s = s.select("row", "path", "page", "dollars", F.filter(piece, lambda p: p["b"] > p["a"]).alias("pieces"))
+    cut = landed.select("row", "lines").join(s, "row").select(
+        "path", "page", "row", "lines", "dollars", F.explode("pieces").alias("p"))
+    inside = F.filter("dollars", lambda i: (i >= F.col("p.a")) & (i < F.col("p.b")))
+    cut = cut.select(
+        "path", "page", "row", F.col("p.record").alias("record"), F.size(inside).alias("_d"),
+        F.slice("lines", (F.col("p.a") + 1).cast("int"), (F.col("p.b") - F.col("p.a")).cast("int")).alias("_ls"))
+    whole = F.array_sort(F.collect_list(F.struct("page", "row", "_ls")))
+    return cut.groupBy("path", "record").agg(
+        F.flatten(F.transform(whole, lambda x: x["_ls"])).alias("_lines"), F.sum("_d").alias("n_dollar"))
 
 
 def positional_parse(
-    lines: DataFrame,
+    pages: DataFrame,
     lead_lines: Column | int = 1,
     number_required: bool = True,
     continuation_values: Sequence[str] = (),
     continuation_pattern: str | None = DATE_LINE,
-    max_record_lines: int = 16,
     marker: str = SECTION_MARKER,
 ) -> DataFrame:
     """Records of the positional layout, one row per record, with
     ``reject_reason`` (NULL for good records).
 
-    ``lines`` are best given by :func:`numbered_lines` (numbered from the
-    pages); plain :func:`page_lines` are numbered here with a chunked window
-    and checkpointed, since both the bounds and the section read them.
+    ``pages`` are ``(path, page, text)`` rows; lines of :func:`page_lines`
+    are taken too and put together by page first.
 
     A record ends at its second ``$`` line.  Its first ``lead_lines`` lines
     are skipped (the record number; a Column may depend on ``_first`` = the
@@ -199,35 +271,11 @@ def positional_parse(
     are the account (the last of them that is not a continuation line) and
     continuation lines, which are appended to the description.
     ``number_required``: the first line must be an integer.
-    Records longer than ``max_record_lines`` are rejected without being
-    collected, so no group grows without bound.
+    A record may have any number of lines: all of them go into its one row.
     """
-    # numbered lines feed both the bounds and the section: cut the lineage
-    # once (reliable checkpoint in spark.checkpoint.dir) instead of
-    # recomputing the numbering in every branch of the plan
-    if "gidx" in lines.columns:  # already numbered (numbered_lines): no shuffle
-        doc = lines
-    else:
-        checkpoint_root(lines.sparkSession)
-        doc = document_lines(lines).checkpoint(eager=True)
-    bounds = section_bounds(doc, marker=marker)
-    sec = doc.join(bounds, "path").where((F.col("gidx") >= F.col("start")) & (F.col("gidx") < F.col("end")))
-    sec = sec.select("path", "page", "line_no", "gidx", "line", starts_with_dollar(F.col("line")).alias("_dollar"))
-    sec = running_count_by_key(sec, "path", ["gidx"], F.col("_dollar"), chunk=F.col("page"), out="_nd")
-    sec = sec.withColumn("record", F.floor(F.col("_nd") / 2).cast("bigint"))
     key = ["path", "record"]
-    stats = sec.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("_dollar").cast("int")).alias("n_dollar"),
-    )
-    # records longer than the bound keep their counts but collect no lines
-    recs = sec.join(stats, key).groupBy(*key, "n", "n_dollar").agg(
-        F.array_sort(
-            F.collect_list(F.when(F.col("n") <= max_record_lines, F.struct("gidx", "line")))
-        ).alias("_ls")
-    )
-    ls = F.transform(F.col("_ls"), lambda x: x["line"])
-    recs = recs.withColumn("_lines", ls).withColumn("_first", F.get(F.col("_lines"), 0))
+    recs = _records(_landed_pages(pages, marker, SECTION_END))
+    recs = recs.withColumn("n", F.size("_lines")).withColumn("_first", F.get(F.col("_lines"), 0))
     skip = lead_lines if isinstance(lead_lines, Column) else F.lit(lead_lines)
     recs = recs.withColumn("_skip", skip)
     n = F.col("n")
@@ -253,8 +301,7 @@ def positional_parse(
     periodo = period_from_name(F.col("path"))
     number_ok = F.col("_first").try_cast("int").isNotNull() if number_required else F.lit(True)
     reason = (
-        F.when(n > max_record_lines, F.lit("record too long"))
-        .when(F.col("n_dollar") < 2, F.lit("incomplete record"))
+        F.when(F.col("n_dollar") < 2, F.lit("incomplete record"))
         .when(n < F.col("_skip") + 4, F.lit("record too short"))
         .when(~number_ok, F.lit("record number is not an integer"))
         .when(periodo.isNull(), F.lit("no period in file name"))
@@ -274,15 +321,15 @@ def positional_parse(
     return out
 
 
-def positional_expenses(lines: DataFrame, dedupe: bool = True, **kw) -> DataFrame:
+def positional_expenses(pages: DataFrame, dedupe: bool = True, **kw) -> DataFrame:
     """Good positional records as expense rows (duplicates dropped, as the
     statements list a charge once per period)."""
-    p = positional_parse(lines, **kw).where(F.col("reject_reason").isNull()).select(*EXPENSE_COLUMNS)
+    p = positional_parse(pages, **kw).where(F.col("reject_reason").isNull()).select(*EXPENSE_COLUMNS)
     return p.dropDuplicates() if dedupe else p
 
 
-def positional_rejects(lines: DataFrame, **kw) -> DataFrame:
-    return positional_parse(lines, **kw).where(F.col("reject_reason").isNotNull())
+def positional_rejects(pages: DataFrame, **kw) -> DataFrame:
+    return positional_parse(pages, **kw).where(F.col("reject_reason").isNotNull())
 
 
 def layout2_lead_lines() -> Column:

@@ -199,7 +199,7 @@ def txt_rejects(spark, sf):
     a = ST.outline_rejects(ST.page_lines(outline_pages(spark, sf))).select(
         F.col("page").cast("bigint").alias("page"), "reject_reason"
     )
-    b = ST.positional_rejects(ST.numbered_lines(positional_pages(spark, sf))).select(
+    b = ST.positional_rejects(positional_pages(spark, sf)).select(
         F.lit(None).cast("bigint").alias("page"), "reject_reason"
     )
     return a.unionByName(b)
@@ -266,8 +266,7 @@ _POS_ITEM_SQL = (
     """,
 )
 def txt_section_slice(spark, sf):
-    doc = ST.numbered_lines(positional_pages(spark, sf))
-    b = ST.section_bounds(doc)
+    b = ST.section_bounds(positional_pages(spark, sf))
     return b.select("path", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
 
 
@@ -285,8 +284,7 @@ def txt_section_slice(spark, sf):
     """,
 )
 def txt_position_records(spark, sf):
-    lines = ST.numbered_lines(positional_pages(spark, sf))
-    return ST.positional_expenses(lines)
+    return ST.positional_expenses(positional_pages(spark, sf))
 
 
 @register(
@@ -301,8 +299,7 @@ def txt_position_records(spark, sf):
     """,
 )
 def txt_position_accounts(spark, sf):
-    lines = ST.numbered_lines(positional_pages(spark, sf))
-    p = ST.positional_parse(lines).where(F.col("reject_reason").isNull())
+    p = ST.positional_parse(positional_pages(spark, sf)).where(F.col("reject_reason").isNull())
     return p.select("concepto_secundario", F.substring_index("item", " ", 2).alias("part"), "cuenta")
 
 
@@ -319,8 +316,8 @@ def txt_position_accounts(spark, sf):
     """,
 )
 def txt_position_records_layout2(spark, sf):
-    lines = ST.numbered_lines(positional_pages(spark, sf, layout=2))
-    return ST.positional_expenses(lines, lead_lines=ST.layout2_lead_lines(), number_required=False)
+    pages = positional_pages(spark, sf, layout=2)
+    return ST.positional_expenses(pages, lead_lines=ST.layout2_lead_lines(), number_required=False)
 
 
 @register(
@@ -328,7 +325,7 @@ def txt_position_records_layout2(spark, sf):
     "SELECT CAST(2 * COUNT(*) AS BIGINT) AS n_lines FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey",
 )
 def str_starts_with_dollar(spark, sf):
-    lines = ST.numbered_lines(positional_pages(spark, sf))
+    lines = ST.page_lines(positional_pages(spark, sf), space_before_dollar=False)
     return lines.where(S.starts_with_dollar("line")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -353,11 +350,12 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
              'Supplier ' || CAST(l.l_suppkey AS VARCHAR) AS concepto_secundario,
              {_POS_ITEM_SQL} AS item,
              CAST(l.l_quantity AS DECIMAL(18,2)) AS valor_101,
-             CAST(l.l_extendedprice AS DECIMAL(18,2)) AS valor_comunidad
-      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-      WHERE NOT (o.o_orderstatus = 'P' AND l.l_linenumber = 3)),
-    e2 AS (SELECT * FROM pos WHERE periodo = DATE '1997-12-01'),
-    e1 AS (SELECT * FROM pos WHERE periodo < DATE '1997-12-01'),
+             CAST(l.l_extendedprice AS DECIMAL(18,2)) AS valor_comunidad,
+             NOT (o.o_orderstatus = 'P' AND l.l_linenumber = 3) AS first_layout
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+    -- the record number that the first layout can't read is no line of the second
+    e2 AS (SELECT DISTINCT * EXCLUDE (first_layout) FROM pos WHERE first_layout AND periodo = DATE '1997-12-01'),
+    e1 AS (SELECT DISTINCT * EXCLUDE (first_layout) FROM pos WHERE periodo < DATE '1997-12-01'),
     u AS (SELECT * FROM e3 UNION ALL SELECT * FROM e2 UNION ALL SELECT * FROM e1)
     SELECT periodo, concepto_principal,
            CASE WHEN concepto_secundario = 'Supplier 1' THEN 'Luz'
@@ -372,7 +370,8 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
 def report_adjusted_expenses(spark, sf):
     out_lines = ST.page_lines(outline_pages(spark, sf))
     e3 = ST.outline_expenses(out_lines, min_period="1998-01-01").where(F.col("concepto_secundario") != F.col("item"))
-    pos = ST.positional_expenses(ST.numbered_lines(positional_pages(spark, sf)))
-    e2 = pos.where(F.col("periodo") == F.lit("1997-12-01").cast("date"))
-    e1 = pos.where(F.col("periodo") < F.lit("1997-12-01").cast("date"))
+    e2 = ST.positional_expenses(positional_pages(spark, sf)).where(F.col("periodo") == F.lit("1997-12-01").cast("date"))
+    second = positional_pages(spark, sf, layout=2)
+    e1 = ST.positional_expenses(second, lead_lines=ST.layout2_lead_lines(), number_required=False)
+    e1 = e1.where(F.col("periodo") < F.lit("1997-12-01").cast("date"))
     return ST.adjusted_expenses([e3, e2, e1], _RELABEL, ["Supplier 3"])
