@@ -162,12 +162,13 @@ def sink_save_table(spark, sf):
     return spark.table(name)
 
 
-@register("sink_append", _ORDERS_SLICE_SQL + " WHERE o_orderstatus IN ('F', 'O')")
+@register("sink_append", _ORDERS_SLICE_SQL)
 def sink_append(spark, sf):
     name = _name("append")
     df = _orders_slice(spark, sf)
-    T.save_table(df.where(F.col("o_orderstatus") == "F"), name, path=scratch_path(spark, name))
-    T.append_table(df.where(F.col("o_orderstatus") == "O"), name)
+    first = F.col("o_orderstatus").eqNullSafe("F")
+    T.save_table(df.where(first), name, path=scratch_path(spark, name))
+    T.append_table(df.where(~first), name)
     return spark.table(name)
 
 
@@ -243,10 +244,10 @@ def ddl_register_external(spark, sf):
     return spark.table(name)
 
 
-@register("ddl_replace_table", _ORDERS_SLICE_SQL + " WHERE o_orderstatus = 'O' AND o_totalprice > 1000")
+@register("ddl_replace_table", _ORDERS_SLICE_SQL + " WHERE o_totalprice > 1000")
 def ddl_replace_table(spark, sf):
     name = _name("replace")
-    T.replace_table(spark, name, _orders_slice(spark, sf).where(F.col("o_orderstatus") == "O"))
+    T.replace_table(spark, name, _orders_slice(spark, sf))
     # replace from a query over the table itself (no overwrite-own-input error)
     T.replace_table(spark, name, spark.table(name).where(F.col("o_totalprice") > 1000))
     return spark.table(name)
@@ -255,25 +256,32 @@ def ddl_replace_table(spark, sf):
 @register(
     "ddl_insert_select",
     f"""
-    SELECT * FROM ({_ORDERS_SLICE_SQL} WHERE o_orderstatus = 'P')
+    SELECT * FROM ({_ORDERS_SLICE_SQL})
     UNION ALL
-    SELECT * FROM ({_ORDERS_SLICE_SQL} WHERE o_orderstatus = 'P' ORDER BY o_orderkey LIMIT 1)
+    SELECT * FROM ({_ORDERS_SLICE_SQL} ORDER BY o_orderkey LIMIT 1)
     """,
 )
 def ddl_insert_select(spark, sf):
     name = _name("ins")
-    T.save_table(_orders_slice(spark, sf).where(F.col("o_orderstatus") == "P"), name, path=scratch_path(spark, name))
+    T.save_table(_orders_slice(spark, sf), name, path=scratch_path(spark, name))
     T.insert_select(spark, name, f"SELECT * FROM {name} ORDER BY o_orderkey LIMIT 1")
     return spark.table(name)
 
 
-@register("ddl_table_properties")
+@register(
+    "ddl_table_properties",
+    """
+    SELECT * FROM (VALUES ('layer', 'curated'), ('change_feed', 'false')) AS p(key, value)
+    UNION ALL SELECT 'source_rows', CAST(COUNT(*) AS VARCHAR) FROM customer
+    """,
+)
 def ddl_table_properties(spark, sf):
     name = _name("props")
     loc = scratch_path(spark, name)
-    read_table(spark, sf, "region").createOrReplaceTempView(f"{name}_src")
+    source = read_table(spark, sf, "customer")
+    source.createOrReplaceTempView(f"{name}_src")
     spark.sql(
         f"CREATE TABLE {name} USING parquet LOCATION '{loc}' "
-        f"TBLPROPERTIES ('layer' = 'curated', 'change_feed' = 'false') AS SELECT * FROM {name}_src"
+        f"TBLPROPERTIES ('layer' = 'curated', 'change_feed' = 'false', 'source_rows' = '{source.count()}') AS SELECT * FROM {name}_src"
     )
-    return T.table_properties(spark, name).where(F.col("key").isin("layer", "change_feed"))
+    return T.table_properties(spark, name).where(F.col("key").isin("layer", "change_feed", "source_rows"))

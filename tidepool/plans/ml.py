@@ -165,14 +165,14 @@ def img_rows(spark, sf):
     return rows.select("origin", "y", F.hex("row_bytes").alias("row_hex"))
 
 
-@register(
-    "img_size_check",
-    f"""
+_SIZES_SQL = f"""
     SELECT origin, CAST(3 * COUNT(*) AS BIGINT) AS expected_bytes, CAST(3 * COUNT(*) AS BIGINT) AS actual_bytes,
            true AS size_ok
     FROM ({_PIXELS_SQL}) GROUP BY origin
-    """,
-)
+"""
+
+
+@register("img_size_check", _SIZES_SQL)
 def img_size_check(spark, sf):
     px = embedding_pixels(spark, sf)
     return I.size_check(I.encode_rows(px), I.image_dimensions(px))
@@ -190,7 +190,7 @@ def img_recolor(spark, sf):
     return I.recolor(spark, clustered, model)
 
 
-@register("img_recolor_size_check")
+@register("img_recolor_size_check", _SIZES_SQL)
 def img_recolor_size_check(spark, sf):
     px = embedding_pixels(spark, sf)
     model, clustered = I.cluster_pixels(px, k=5, seed=1)

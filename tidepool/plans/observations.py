@@ -136,7 +136,7 @@ _ORDERS_KEYED = (
 )
 
 
-@register("inc_append_new_only", _ORDERS_KEYED + " WHERE o_orderstatus IN ('F', 'O')")
+@register("inc_append_new_only", _ORDERS_KEYED)
 def inc_append_new_only(spark, sf):
     from tidepool.functions.numbers import money
 
@@ -145,8 +145,7 @@ def inc_append_new_only(spark, sf):
     )
     name = f"tp_inc_{uuid.uuid4().hex[:8]}"
     INC.create_keyed_table(o.where(F.col("o_orderstatus") == "F"), name, ["o_orderkey"], 8, scratch_path(spark, name))
-    batch = o.where(F.col("o_orderstatus").isin("F", "O"))
-    batch = batch.unionByName(batch.where(F.col("o_orderstatus") == "O"))  # re-delivered rows inside the batch
+    batch = o.unionByName(o.where(F.col("o_orderstatus") == "O"))  # re-delivered rows inside the batch
     INC.append_new_only(spark, batch, name, ["o_orderkey"])
     INC.append_new_only(spark, batch, name, ["o_orderkey"])  # re-run: appends nothing
     return spark.table(name)

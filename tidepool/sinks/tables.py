@@ -85,17 +85,32 @@ def register_external(spark: SparkSession, name: str, location: str, fmt: str =
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
 
 
+def _same_shape(spark: SparkSession, name: str, df: DataFrame, fmt: str) -> bool:
+    """Whether ``name`` is an unpartitioned external table with the columns of ``df`` in format ``fmt``."""
+    if not spark.catalog.tableExists(name) or spark.table(name).dtypes != df.dtypes:
+        return False
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return (about.get("Type") == "EXTERNAL" and about.get("Provider", "").lower() == fmt.lower()
+            and "# Partition Information" not in about)
+
+
 def replace_table(
     spark: SparkSession, name: str, df: DataFrame, fmt: str = "parquet", location_root: str | None = None
 ) -> str:
     """``CREATE OR REPLACE TABLE name [LOCATION ...] AS <df>`` for formats
-    without it: write a fresh version folder, then swap the catalog entry.
+    without it: write a fresh version folder, then point the catalog entry to
+    it.  An external table of the same columns and format only changes its
+    location, so readers always find it; any other is dropped and created.
     ``df`` may read ``name`` itself.  Returns the new location."""
     root = (location_root or f"{checkpoint_root(spark)}/tidepool/tables/{name}").rstrip("/")
     loc = f"{root}/v-{uuid.uuid4().hex[:12]}"
     write_path(df, loc, fmt=fmt)
-    drop_if_exists(spark, name)
-    register_external(spark, name, loc, fmt)
+    if _same_shape(spark, name, df, fmt):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
+        spark.catalog.refreshTable(name)
+    else:
+        drop_if_exists(spark, name)
+        register_external(spark, name, loc, fmt)
     return loc
 
 
