@@ -12,6 +12,7 @@ FAST = [
     "agg_avg", "agg_collect_ordered", "fn_round", "date_month_calendar", "json_path", "arr_explode",
     "src_csv_infer", "sink_formats", "ddl_replace_table", "json_observations", "txt_outline_expenses",
     "txt_position_records", "img_rows", "ml_wcss_by_label",
+    "img_decode", "img_rejects", "ml_kmeans_check", "ml_silhouette_by_label", "ml_elbow_by_label",
 ]
 
 

@@ -23,10 +23,23 @@ def test_stream_dedupe_reruns(spark):
     schema = "k bigint, ts timestamp"
     mk = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000).alias("ts"))
     mk(0, 100).write.parquet(f"{src}/d1")
-    kw = dict(key=["k"], event_time="ts", delay="1 day", target=out, checkpoint=ckpt)
+    kw = dict(key=["k"], target=out, checkpoint=ckpt)
     INC.stream_dedupe(spark, f"{src}/*", schema, **kw)
     INC.stream_dedupe(spark, f"{src}/*", schema, **kw)
     assert spark.read.parquet(out).count() == 100
     mk(50, 150).write.parquet(f"{src}/d2")  # 50 seen + 50 new
     INC.stream_dedupe(spark, f"{src}/*", schema, **kw)
     assert spark.read.parquet(out).count() == 150
+    # new records years older than all before are inserted, repeats of them are not
+    old = spark.range(1000, 1010).select(F.col("id").alias("k"), F.timestamp_seconds(F.col("id")).alias("ts"))
+    old.unionByName(old).unionByName(mk(0, 150)).write.parquet(f"{src}/d3")
+    INC.stream_dedupe(spark, f"{src}/*", schema, **kw)
+    assert spark.read.parquet(out).count() == 160
+
+
+def test_stream_dedupe_with_a_bounded_state(spark):
+    src, out, ckpt = (scratch_path(spark, n) for n in ("s_src", "s_out", "s_ck"))
+    rows = spark.range(0, 50).select(F.col("id").alias("k"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"))
+    rows.unionByName(rows).write.parquet(f"{src}/d1")
+    INC.stream_dedupe(spark, f"{src}/*", "k bigint, ts timestamp", ["k"], out, ckpt, event_time="ts", delay="1 day")
+    assert spark.read.parquet(out).count() == 50

@@ -50,8 +50,10 @@ def test_round_half_up_and_ratio(spark):
     r = spark.range(1).select(
         N.round_half_up(F.lit(1.005), 2).alias("a"), N.ratio(F.lit(1), F.lit(0)).alias("b"),
         N.ratio(F.lit("1"), F.lit("8")).alias("c"), N.truncate_int(F.lit(-2.7)).alias("d"),
+        N.round_half_up(F.lit(0.0049999996), 2).alias("e"), N.round_half_up(F.lit(-2.675), 2).alias("f"),
     ).collect()[0]
     assert r.a == 1.01 and r.b is None and r.c == 0.13 and r.d == -2
+    assert r.e == 0.0 and r.f == -2.68  # one rounding step
 
 
 def test_month_calendar_and_left_join(spark):

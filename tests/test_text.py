@@ -61,6 +61,25 @@ def test_outline_fixture(spark):
     assert reset.concepto_secundario == ""
 
 
+def test_outline_pages_need_no_shuffle(spark):
+    long = "\n".join(["A $ 1 $ 1", "1Sub $ 1 $ 1", *[f"Item{i} $ 1 $ 2" for i in range(200)], "B $ 1 $ 1", "Last $ 1 $ 2"])
+    pages = _pages(spark, [(NAME, 1, OUTLINE), (NAME, 2, long), (NAME, 2, OUTLINE), (NAME, 3, None), (NAME, 4, "")])
+    got = ST.outline_expenses(pages)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = [(r.concepto_principal, r.concepto_secundario, r.item) for r in got.collect()]
+    assert rows.count(("CONSUMOS BÁSICOS", "Energía Eléctrica", "Consumo Mayo")) == 2  # a repeated page is read by itself
+    assert ("A", "Sub", "Item199") in rows and ("B", "Sub", "Last") in rows and len(rows) == 3 + 3 + 1 + 200 + 1
+    reset = ST.outline_expenses(pages, reset_sub_on_category=True).where("item = 'Last'").collect()[0]
+    assert (reset.concepto_principal, reset.concepto_secundario) == ("B", "")
+    assert ST.outline_expenses(pages, dedupe=True).count() == len(set(rows))
+
+
+def test_swap_label_item(spark):
+    df = spark.createDataFrame([("Riego Abril", "x"), ("Luz", "y"), (None, "z")], "concepto_secundario string, item string")
+    got = ST.swap_label_item(df, "Riego Abril", "Aguas").collect()
+    assert [tuple(r) for r in got] == [("Aguas", "Riego Abril"), ("Luz", "y"), (None, "z")]
+
+
 def test_outline_rejects(spark):
     lines = ST.page_lines(_pages(spark, [("nope.pdf", 1, "Item $ 1 $ 2"), (NAME, 1, "Item $ 1.2.3,4,5 $ 2")]))
     reasons = sorted(r.reject_reason for r in ST.outline_rejects(lines).collect())

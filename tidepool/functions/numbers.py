@@ -11,13 +11,9 @@ def _c(x) -> Column:
 
 
 def round_half_up(x, scale: int = 2) -> Column:
-    """``round(x, scale)`` half-up on the decimal value, returned as double.
-
-    The value goes through ``decimal(38,6)`` first: rounding a double directly
-    depends on its binary expansion (1.005 is stored as 1.00499...), and the
-    SQL oracle does the same decimal step, so both agree on ties.
-    """
-    return F.round(_c(x).cast("decimal(38,6)"), scale).cast("double")
+    """``round(x, scale)`` as a double: one step, half away from zero on the
+    shortest decimal text of the value (1.005 gives 1.01, 0.0049999996 gives 0.0)."""
+    return F.round(_c(x).cast("double"), scale)
 
 
 def ratio(a, b, scale: int = 2) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +62,25 @@ def silhouette(predictions: DataFrame, features_col: str = "features", predictio
     return ev.evaluate(predictions)
 
 
+def check_assignment(data: DataFrame, model: KMeansModel, features_col: str = "features",
+                     prediction_col: str = "prediction") -> DataFrame:
+    """One row ``(n_points, n_misplaced, cost_ok)``: points that another centre
+    is nearer to than their own, and whether the squared distances to the own
+    centres add up to the training cost."""
+    ctr = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
+    point = vector_to_array(features_col)
+    far = F.transform(ctr, lambda c: F.aggregate(
+        F.zip_with(c, point, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    d = model.transform(data).select(far.alias("_d"), F.col(prediction_col).alias("_own"))
+    d = d.select(F.get("_d", F.col("_own")).alias("_own_d"), F.array_min("_d").alias("_least"))
+    cost = float(model.summary.trainingCost)
+    return d.agg(
+        F.count(F.lit(1)).alias("n_points"),
+        F.count(F.when(F.col("_own_d") > F.col("_least") * (1 + 1e-9) + 1e-9, 1)).alias("n_misplaced"),
+        (F.abs(F.sum("_own_d") - cost) <= 1e-6 * max(1.0, cost)).alias("cost_ok"),
+    )
+
+
 def metric_table(spark: SparkSession, metric: str, value: float) -> DataFrame:
     """One-row ``(metric, value)`` table."""
     return spark.createDataFrame([(metric, float(value))], "metric string, value double")

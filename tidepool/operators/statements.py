@@ -38,7 +38,7 @@ from tidepool.functions.strings import (
     starts_with_dollar,
     strip_leading_number,
 )
-from tidepool.operators.windows import carry_forward, row_number_by_key, running_count_by_key
+from tidepool.operators.windows import row_number_by_key
 from tidepool.session import scratch_path
 
 # The amount-line pattern (label, blank(s), "$", amount, "$",
@@ -48,6 +48,8 @@ SECTION_MARKER = "CONSUMOS BÁSICOS"
 SECTION_END = " "
 # Continuation lines appended to a positional record's description: dates.
 DATE_LINE = r"^\d{2}-\d{2}-\d{4}$"
+#: Amount lines of a page that are folded at once.
+BLOCK_LINES = 64
 
 EXPENSE_COLUMNS = ["periodo", "concepto_principal", "concepto_secundario", "item", "valor_101", "valor_comunidad"]
 
@@ -67,62 +69,101 @@ def page_lines(pages: DataFrame, text: str = "text", space_before_dollar: bool =
 # --------------------------------------------------------------------------
 
 
-def outline_parse(lines: DataFrame, reset_sub_on_category: bool = False) -> DataFrame:
+def _amount_rows(text_lines: Column, reset_sub_on_category: bool) -> Column:
+    """Classified amount lines of one page, each with the category and
+    sub-category in force: ``array<struct>`` from an array of (line_no, line).
+
+    Everything happens inside the page's row.  The fold over the lines goes in
+    blocks of ``BLOCK_LINES``, so that appending stays cheap on long pages.
+    """
+    stripped = F.transform(text_lines, lambda x: F.struct(x["line_no"].alias("line_no"), py_strip(x["line"]).alias("s")))
+    hits = F.filter(stripped, lambda x: x["s"].contains("$") & x["s"].rlike(AMOUNT_LINE))
+    parts = F.transform(hits, lambda x: F.struct(x["line_no"].alias("line_no"), *[
+        F.regexp_extract(x["s"], AMOUNT_LINE, k).alias(n) for k, n in enumerate(("label", "a1", "a2"), 1)]))
+
+    def classified(x: Column) -> Column:
+        header = is_upper(x["label"])
+        digit = ~header & starts_with_digit(x["label"])
+        return F.struct(x["line_no"].alias("line_no"), parse_amount(x["a1"]).alias("v1"), parse_amount(x["a2"]).alias("v2"),
+                        header.alias("header"), digit.alias("digit"),
+                        F.when(digit, strip_leading_number(x["label"])).otherwise(x["label"]).alias("item"))
+
+    row = "struct<line_no:int,header:boolean,category:string,sub:string,item:string,v1:decimal(18,2),v2:decimal(18,2)>"
+    no_rows, no_blocks = F.array().cast(f"array<{row}>"), F.array().cast(f"array<array<{row}>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        category = F.when(x["header"], x["item"]).otherwise(acc["category"])
+        sub = F.when(x["digit"], x["item"]).otherwise(
+            F.when(x["header"] & F.lit(reset_sub_on_category), F.lit("")).otherwise(acc["sub"]))
+        told = F.struct(x["line_no"].alias("line_no"), x["header"].alias("header"), category.alias("category"),
+                        sub.alias("sub"), x["item"].alias("item"), x["v1"].alias("v1"), x["v2"].alias("v2"))
+        return F.struct(category.alias("category"), sub.alias("sub"), F.concat(acc["out"], F.array(told)).alias("out"))
+
+    def block_step(acc: Column, block: Column) -> Column:
+        start = F.struct(acc["category"].alias("category"), acc["sub"].alias("sub"), no_rows.alias("out"))
+        done = F.array(F.aggregate(block, start, step))  # an array of one, to be evaluated once
+        return F.transform(done, lambda d: F.struct(d["category"].alias("category"), d["sub"].alias("sub"),
+                                                    F.concat(acc["out"], F.array(d["out"])).alias("out")))[0]
+
+    def fold(rows: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(rows), F.lit(1)), F.lit(BLOCK_LINES))
+        blocks = F.transform(starts, lambda i: F.slice(rows, i, F.lit(BLOCK_LINES)))
+        empty = F.struct(F.lit("").alias("category"), F.lit("").alias("sub"), no_blocks.alias("out"))
+        return F.flatten(F.aggregate(blocks, empty, block_step)["out"])
+
+    return F.transform(F.array(F.transform(parts, classified)), fold)[0]
+
+
+def outline_parse(pages: DataFrame, reset_sub_on_category: bool = False) -> DataFrame:
     """Every amount line of the outline layout, classified, with the category
     and sub-category in force; header lines and non-matching lines are
     dropped.  Adds ``reject_reason`` (NULL for good rows).
 
+    ``pages`` are ``(path, page, text)`` rows, which no shuffle moves; lines of
+    :func:`page_lines` are taken too and put together by page first.
     Category and sub-category start empty on every page.  As in the source
     statements' reading, a new category does *not* reset the sub-category
-    unless ``reset_sub_on_category``.
+    unless ``reset_sub_on_category``.  A NULL text has no line.
     """
-    s = py_strip(F.col("line"))
-    df = lines.select(
-        "path", "page", "line_no",
-        s.rlike(AMOUNT_LINE).alias("_m"),
-        F.regexp_extract(s, AMOUNT_LINE, 1).alias("_label"),
-        F.regexp_extract(s, AMOUNT_LINE, 2).alias("_a1"),
-        F.regexp_extract(s, AMOUNT_LINE, 3).alias("_a2"),
-    ).where("_m")
-    header = is_upper(F.col("_label"))
-    digit = ~header & starts_with_digit(F.col("_label"))
-    df = df.withColumn("_header", header).withColumn(
-        "_item", F.when(digit, strip_leading_number(F.col("_label"))).otherwise(F.col("_label"))
-    )
-    page = ["path", "page"]
-    df = carry_forward(df, page, ["line_no"], F.when(F.col("_header"), F.col("_label")), "concepto_principal", F.lit(""))
-    sub_part = page
-    if reset_sub_on_category:
-        df = running_count_by_key(df, page, ["line_no"], F.col("_header"), chunk=F.lit(0), out="_seg")
-        df = df.withColumn("_seg", F.col("_seg") + F.col("_header").cast("int"))
-        sub_part = [*page, "_seg"]
-    df = carry_forward(df, sub_part, ["line_no"], F.when(digit, F.col("_item")), "concepto_secundario", F.lit(""))
-    v1, v2 = parse_amount(F.col("_a1")), parse_amount(F.col("_a2"))
-    periodo = period_from_name(F.col("path"))
+    if "line" in pages.columns:
+        placed = pages.groupBy("path", "page").agg(
+            F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_ls"))
+    else:
+        text = F.replace(F.col("text"), F.lit("$"), F.lit(" $"))
+        placed = pages.select("path", "page", F.transform(
+            F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))).alias("_ls"))
+    # period and amounts are read before the explode: once per page, once per line.  An outer explode, as
+    # Spark checks the array of a plain one for emptiness first, which would build it twice; the row of an
+    # empty page has a NULL header and goes with the headers.
+    df = placed.select("path", "page", period_from_name(F.col("path")).alias("periodo"),
+                       F.explode_outer(_amount_rows(F.col("_ls"), reset_sub_on_category)).alias("r"))
     reason = (
-        F.when(periodo.isNull(), F.lit("no period in file name"))
-        .when(v1.isNull() | v2.isNull(), F.lit("unreadable amount"))
+        F.when(F.col("periodo").isNull(), F.lit("no period in file name"))
+        .when(F.col("r.v1").isNull() | F.col("r.v2").isNull(), F.lit("unreadable amount"))
     )
-    return df.where(~F.col("_header")).select(
-        "path", "page", "line_no",
-        periodo.alias("periodo"),
-        "concepto_principal", "concepto_secundario",
-        F.col("_item").alias("item"),
-        v1.alias("valor_101"), v2.alias("valor_comunidad"),
+    return df.where(~F.col("r.header")).select(
+        "path", "page", F.col("r.line_no").alias("line_no"),
+        "periodo",
+        F.col("r.category").alias("concepto_principal"), F.col("r.sub").alias("concepto_secundario"),
+        F.col("r.item").alias("item"),
+        F.col("r.v1").alias("valor_101"), F.col("r.v2").alias("valor_comunidad"),
         reason.alias("reject_reason"),
     )
 
 
-def outline_expenses(lines: DataFrame, min_period: str | None = None, reset_sub_on_category: bool = False) -> DataFrame:
-    """Expense rows of the outline layout (optionally only periods >= ``min_period``)."""
-    p = outline_parse(lines, reset_sub_on_category).where(F.col("reject_reason").isNull())
+def outline_expenses(pages: DataFrame, min_period: str | None = None, reset_sub_on_category: bool = False,
+                     dedupe: bool = False) -> DataFrame:
+    """Expense rows of the outline layout (optionally only periods >=
+    ``min_period``, optionally without duplicates)."""
+    p = outline_parse(pages, reset_sub_on_category).where(F.col("reject_reason").isNull())
     if min_period:
         p = p.where(F.col("periodo") >= F.lit(min_period).cast("date"))
-    return p.select(*EXPENSE_COLUMNS)
+    p = p.select(*EXPENSE_COLUMNS)
+    return p.dropDuplicates() if dedupe else p
 
 
-def outline_rejects(lines: DataFrame) -> DataFrame:
-    return outline_parse(lines).where(F.col("reject_reason").isNotNull())
+def outline_rejects(pages: DataFrame) -> DataFrame:
+    return outline_parse(pages).where(F.col("reject_reason").isNotNull())
 
 
 # --------------------------------------------------------------------------
@@ -338,6 +379,16 @@ def layout2_lead_lines() -> Column:
     return F.when(starts_with_digit(F.col("_first")), F.lit(4)).otherwise(F.lit(1))
 
 
+def swap_label_item(expenses: DataFrame, label: str, new_label: str) -> DataFrame:
+    """Rows filed under ``label`` that names the item: the item takes the label
+    and the label becomes ``new_label``; all others stay."""
+    hit = F.col("concepto_secundario").eqNullSafe(F.lit(label))
+    return expenses.withColumns({
+        "concepto_secundario": F.when(hit, F.lit(new_label)).otherwise(F.col("concepto_secundario")),
+        "item": F.when(hit, F.col("concepto_secundario")).otherwise(F.col("item")),
+    })
+
+
 # --------------------------------------------------------------------------
 # report
 # --------------------------------------------------------------------------
@@ -362,6 +413,7 @@ def adjusted_expenses(
 
 __all__ = [
     "page_lines", "outline_parse", "outline_expenses", "outline_rejects", "document_lines", "section_bounds",
-    "positional_parse", "positional_expenses", "positional_rejects", "layout2_lead_lines", "adjusted_expenses",
+    "positional_parse", "positional_expenses", "positional_rejects", "layout2_lead_lines", "swap_label_item",
+    "adjusted_expenses",
     "join_words",
 ]

@@ -55,7 +55,7 @@ def ml_assemble(spark, sf):
              CAST(unnest(embedding) AS DOUBLE) AS v
       FROM embeddings)
     SELECT vec_id, pos,
-           CAST(ROUND(CAST(v / stddev_samp(v) OVER (PARTITION BY pos) AS DECIMAL(38,6)), 4) AS DOUBLE) AS scaled
+           CAST(ROUND(CAST(CAST(v / stddev_samp(v) OVER (PARTITION BY pos) AS VARCHAR) AS DECIMAL(38,17)), 4) AS DOUBLE) AS scaled
     FROM x
     """,
 )
@@ -73,7 +73,7 @@ def ml_standard_scale(spark, sf):
       SELECT label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
       FROM embeddings),
     m AS (SELECT label, pos, AVG(v) AS mu FROM x GROUP BY label, pos)
-    SELECT x.label, CAST(ROUND(CAST(SUM((x.v - m.mu) * (x.v - m.mu)) AS DECIMAL(38,6)), 3) AS DOUBLE) AS wcss
+    SELECT x.label, CAST(ROUND(CAST(CAST(SUM((x.v - m.mu) * (x.v - m.mu)) AS VARCHAR) AS DECIMAL(38,17)), 3) AS DOUBLE) AS wcss
     FROM x JOIN m ON x.label = m.label AND x.pos = m.pos
     GROUP BY x.label
     """,
@@ -117,11 +117,109 @@ def ml_elbow_point(spark, sf):
     return C.elbow_point(C.k_sweep(spark, _features(spark, sf), K_VALUES, seed=0))
 
 
+@register(
+    "ml_kmeans_check",
+    "SELECT COUNT(*) AS n_points, CAST(0 AS BIGINT) AS n_misplaced, true AS cost_ok FROM embeddings",
+)
+def ml_kmeans_check(spark, sf):
+    data = _features(spark, sf)
+    return C.check_assignment(data, C.fit_kmeans(data, k=5, seed=0))
+
+
+@register(
+    "ml_silhouette_by_label",
+    """
+    WITH x AS (
+      SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings),
+    n AS (SELECT vec_id, label, SUM(v * v) AS sq FROM x GROUP BY vec_id, label),
+    c AS (SELECT label, COUNT(*) AS n, SUM(sq) AS sq FROM n GROUP BY label),
+    s AS (SELECT label, pos, SUM(v) AS v FROM x GROUP BY label, pos),
+    p AS (SELECT x.vec_id, x.label, s.label AS other, SUM(x.v * s.v) AS prod
+          FROM x JOIN s ON s.pos = x.pos GROUP BY x.vec_id, x.label, s.label),
+    m AS (SELECT p.vec_id, p.label = p.other AS own, c.n, n.sq + (c.sq - 2 * p.prod) / c.n AS mean_sq
+          FROM p JOIN c ON c.label = p.other JOIN n ON n.vec_id = p.vec_id),
+    ab AS (SELECT vec_id, MAX(CASE WHEN own THEN n END) AS n, MIN(CASE WHEN NOT own THEN mean_sq END) AS b,
+                  MAX(CASE WHEN own THEN mean_sq * n / NULLIF(n - 1, 0) END) AS a
+           FROM m GROUP BY vec_id),
+    f AS (SELECT AVG(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS score FROM ab)
+    SELECT 'Silhouette Score' AS metric, CAST(ROUND(CAST(CAST(score AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) AS value
+    FROM f
+    """,
+)
+def ml_silhouette_by_label(spark, sf):
+    by_label = _features(spark, sf).withColumn("cluster", F.col("label").cast("double"))
+    return C.metric_table(spark, "Silhouette Score", round(C.silhouette(by_label, prediction_col="cluster"), 2))
+
+
+@register(
+    "ml_elbow_by_label",
+    """
+    WITH x AS (
+      SELECT label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings),
+    w AS (SELECT label AS k, SUM(dev) AS wcss
+          FROM (SELECT label, pos, var_pop(v) * COUNT(v) AS dev FROM x GROUP BY label, pos) GROUP BY label),
+    e AS (SELECT MIN(k) AS k1, MAX(k) AS k2, arg_min(wcss, k) AS w1, arg_max(wcss, k) AS w2 FROM w),
+    g AS (SELECT k, abs(w1 + (w2 - w1) * (k - k1) / (k2 - k1) - wcss) AS gap FROM w, e)
+    SELECT k AS optimal_k FROM g ORDER BY gap DESC, k LIMIT 1
+    """,
+)
+def ml_elbow_by_label(spark, sf):
+    curve = C.wcss_by_label(read_table(spark, sf, "embeddings"), "embedding", "label")
+    return C.elbow_point(curve, k_col="label")
+
+
 # --------------------------------------------------------------------------
 # image pixels
 # --------------------------------------------------------------------------
 
 
+def embedding_images(spark, sf):
+    """``image`` rows as Spark's image source gives them, one per vector: 8 rows
+    of 8 pixels, with 1, 3 or 4 channels by ``vec_id``; every fourth is unreadable."""
+    e = read_table(spark, sf, "embeddings")
+    kind = F.pmod("vec_id", F.lit(4))
+    channels = F.when(kind == 0, 1).when(kind == 1, 3).when(kind == 2, 4).otherwise(-1)
+    value = lambda v: F.least(F.greatest(F.floor((v.cast("double") + 4) * 32), F.lit(0)), F.lit(255)).cast("int")
+    two = lambda v: F.lpad(F.hex(v), 2, "0")
+
+    def pixel(v, i):
+        grey, bgr = two(value(v)), F.concat(two(value(v)), two(255 - value(v)), two(i))
+        return F.when(kind == 0, grey).when(kind == 1, bgr).when(kind == 2, F.concat(bgr, F.lit("FF"))).otherwise("")
+
+    size = F.when(channels > 0, 8).otherwise(-1)
+    return e.select(F.struct(
+        F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("origin"), size.alias("height"),
+        size.alias("width"), channels.alias("nChannels"), F.lit(16).alias("mode"),
+        F.unhex(F.array_join(F.transform("embedding", pixel), "")).alias("data"),
+    ).alias("image"))
+
+
+@register(
+    "img_decode",
+    """
+    WITH x AS (
+      SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS i, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM embeddings WHERE vec_id % 4 <> 3),
+    p AS (SELECT vec_id, i, CAST(least(greatest(floor((v + 4) * 32), 0), 255) AS INTEGER) AS b FROM x)
+    SELECT 'vec-' || CAST(vec_id AS VARCHAR) AS origin, CAST(i // 8 AS INTEGER) AS y, CAST(i % 8 AS INTEGER) AS x,
+           CASE WHEN vec_id % 4 = 0 THEN b ELSE i END AS r, CASE WHEN vec_id % 4 = 0 THEN b ELSE 255 - b END AS g, b
+    FROM p
+    """,
+)
+def img_decode(spark, sf):
+    return I.image_pixels(embedding_images(spark, sf))
+
+
+@register(
+    "img_rejects",
+    "SELECT 'vec-' || CAST(vec_id AS VARCHAR) AS origin, -1 AS n_channels FROM embeddings WHERE vec_id % 4 = 3",
+)
+def img_rejects(spark, sf):
+    return I.image_rejects(embedding_images(spark, sf))
+
+
 def embedding_pixels(spark, sf):
     """Pixel table ``(origin, y, x, r, g, b)`` derived from ``embeddings``."""
     e = read_table(spark, sf, "embeddings")

@@ -56,10 +56,10 @@ _CLEAN_SQL = """
     SELECT CAST(user_id AS VARCHAR) AS station_id, 'obs-' || CAST(event_id AS VARCHAR) AS station_name,
            -70.0 - user_id / 4.0 AS longitude, -33.0 + (event_id % 8) / 8.0 AS latitude,
            strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS observation_timestamp, 'UTC' AS station_timezone,
-           CAST(ROUND(CAST(value AS DECIMAL(38,6)), 2) AS DOUBLE) AS temperature,
-           CAST(ROUND(CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS DECIMAL(38,6)), 2) AS DOUBLE)
+           CAST(ROUND(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) AS temperature,
+           CAST(ROUND(CAST(CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE)
              AS wind_speed,
-           CASE WHEN event_type <> 'view' THEN CAST(ROUND(CAST(value / 2 AS DECIMAL(38,6)), 2) AS DOUBLE) END
+           CASE WHEN event_type <> 'view' THEN CAST(ROUND(CAST(CAST(value / 2 AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) END
              AS humidity,
            ts, event_id
     FROM events WHERE event_type <> 'error'
@@ -97,8 +97,7 @@ def agg_distinct_observations(spark, sf):
 @register(
     "obs_avg_temperature",
     f"""
-    SELECT CAST(ROUND(CAST(CAST(SUM(CAST(temperature AS DECIMAL(18,2))) AS DOUBLE) / COUNT(temperature)
-                           AS DECIMAL(38,6)), 4) AS DOUBLE) AS avg_temperature_last_week
+    SELECT CAST(ROUND(CAST(CAST(CAST(SUM(CAST(temperature AS DECIMAL(18,2))) AS DOUBLE) / COUNT(temperature) AS VARCHAR) AS DECIMAL(38,17)), 4) AS DOUBLE) AS avg_temperature_last_week
     FROM ({_CLEAN_SQL}) WHERE ts >= DATE '2024-01-20' - INTERVAL 7 DAY AND ts <= DATE '2024-01-20'
     """,
 )
@@ -159,11 +158,13 @@ def inc_stream_dedupe(spark, sf):
     ev = read_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     src, out, ckpt = (scratch_path(spark, n) for n in ("stream_src", "stream_out", "stream_ckpt"))
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
-    # first delivery: events before the 16th; second: from the 10th on (6 days delivered twice)
-    write_path(ev.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), f"{src}/delivery1")
-    kw = dict(key=["event_id"], event_time="ts", delay="8 days", target=out, checkpoint=ckpt)
+    # first delivery: events before the 16th but those of type error; second: the error events, however
+    # old, and all from the 10th on (6 days delivered twice)
+    late = F.col("event_type").eqNullSafe("error")
+    write_path(ev.where((F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")) & ~late), f"{src}/delivery1")
+    kw = dict(key=["event_id"], target=out, checkpoint=ckpt)
     INC.stream_dedupe(spark, f"{src}/*", schema, **kw)
-    write_path(ev.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")), f"{src}/delivery2")
+    write_path(ev.where(F.coalesce(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"), F.lit(True)) | late), f"{src}/delivery2")
     INC.stream_dedupe(spark, f"{src}/*", schema, **kw)
     INC.stream_dedupe(spark, f"{src}/*", schema, **kw)  # nothing new: no-op
     return spark.read.schema(schema).parquet(out).select("event_id", "user_id", "event_type", "value")

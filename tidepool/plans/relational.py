@@ -463,10 +463,8 @@ def report_calendar_left_join(spark, sf):
 @register(
     "agg_avg",
     """
-    SELECT CAST(ROUND(CAST(CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_quantity)
-                           AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_quantity,
-           CAST(ROUND(CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice)
-                           AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_price
+    SELECT CAST(ROUND(CAST(CAST(CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_quantity) AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) AS avg_quantity,
+           CAST(ROUND(CAST(CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) AS avg_price
     FROM lineitem
     """,
 )
@@ -592,7 +590,7 @@ def set_union_all_labelled(spark, sf):
     "fn_round",
     """
     SELECT l_orderkey, l_linenumber,
-           CAST(ROUND(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(38,6)), 2) AS DOUBLE) AS revenue
+           CAST(ROUND(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) AS revenue
     FROM lineitem
     """,
 )
@@ -608,7 +606,7 @@ def fn_round(spark, sf):
     "fn_ratio",
     """
     SELECT l_orderkey, l_linenumber,
-           CAST(ROUND(CAST(l_discount / NULLIF(l_tax, 0) AS DECIMAL(38,6)), 2) AS DOUBLE) AS ratio
+           CAST(ROUND(CAST(CAST(l_discount / NULLIF(l_tax, 0) AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) AS ratio
     FROM lineitem
     """,
 )

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import dates as D
 from tidepool.functions import strings as S
+from tidepool.operators import shape as SH
 from tidepool.operators import statements as ST
 from tidepool.plans.registry import register
 from tidepool.session import read_table, scratch_path
@@ -179,8 +180,7 @@ _OUTLINE_ROWS_SQL = f"""
     """,
 )
 def txt_outline_expenses(spark, sf):
-    lines = ST.page_lines(outline_pages(spark, sf))
-    return ST.outline_expenses(lines)
+    return ST.outline_expenses(outline_pages(spark, sf))
 
 
 @register(
@@ -196,7 +196,7 @@ def txt_outline_expenses(spark, sf):
     """,
 )
 def txt_rejects(spark, sf):
-    a = ST.outline_rejects(ST.page_lines(outline_pages(spark, sf))).select(
+    a = ST.outline_rejects(outline_pages(spark, sf)).select(
         F.col("page").cast("bigint").alias("page"), "reject_reason"
     )
     b = ST.positional_rejects(positional_pages(spark, sf)).select(
@@ -340,7 +340,10 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
     "report_adjusted_expenses",
     f"""
     WITH e3 AS (
-      SELECT periodo, concepto_principal, concepto_secundario, item, valor_101, valor_comunidad
+      SELECT DISTINCT periodo, concepto_principal,
+             CASE WHEN concepto_secundario = 'Part 1' THEN 'Parte Uno' ELSE concepto_secundario END
+               AS concepto_secundario,
+             item, valor_101, valor_comunidad
       FROM ({_OUTLINE_ROWS_SQL})
       WHERE NOT (o_orderstatus = 'P' AND l_linenumber = 2) AND periodo >= DATE '1998-01-01'
         AND concepto_secundario <> item),
@@ -355,7 +358,13 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
     -- the record number that the first layout can't read is no line of the second
     e2 AS (SELECT DISTINCT * EXCLUDE (first_layout) FROM pos WHERE first_layout AND periodo = DATE '1997-12-01'),
-    e1 AS (SELECT DISTINCT * EXCLUDE (first_layout) FROM pos WHERE periodo < DATE '1997-12-01'),
+    e1 AS (
+      SELECT periodo, concepto_principal,
+             CASE WHEN concepto_secundario = 'Supplier 4' THEN 'Riego' ELSE concepto_secundario END AS concepto_secundario,
+             CASE WHEN concepto_secundario = 'Supplier 4' THEN concepto_secundario ELSE item END AS item,
+             valor_101, valor_comunidad
+      FROM (SELECT DISTINCT * EXCLUDE (first_layout) FROM pos WHERE periodo < DATE '1997-12-01')
+      WHERE concepto_secundario <> item),
     u AS (SELECT * FROM e3 UNION ALL SELECT * FROM e2 UNION ALL SELECT * FROM e1)
     SELECT periodo, concepto_principal,
            CASE WHEN concepto_secundario = 'Supplier 1' THEN 'Luz'
@@ -368,10 +377,11 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
     """,
 )
 def report_adjusted_expenses(spark, sf):
-    out_lines = ST.page_lines(outline_pages(spark, sf))
-    e3 = ST.outline_expenses(out_lines, min_period="1998-01-01").where(F.col("concepto_secundario") != F.col("item"))
+    named = F.col("concepto_secundario") != F.col("item")
+    e3 = ST.outline_expenses(outline_pages(spark, sf), min_period="1998-01-01", dedupe=True).where(named)
+    e3 = SH.relabel(e3, "concepto_secundario", {"Part 1": "Parte Uno"})
     e2 = ST.positional_expenses(positional_pages(spark, sf)).where(F.col("periodo") == F.lit("1997-12-01").cast("date"))
     second = positional_pages(spark, sf, layout=2)
     e1 = ST.positional_expenses(second, lead_lines=ST.layout2_lead_lines(), number_required=False)
-    e1 = e1.where(F.col("periodo") < F.lit("1997-12-01").cast("date"))
+    e1 = ST.swap_label_item(e1.where((F.col("periodo") < F.lit("1997-12-01").cast("date")) & named), "Supplier 4", "Riego")
     return ST.adjusted_expenses([e3, e2, e1], _RELABEL, ["Supplier 3"])

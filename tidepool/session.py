@@ -27,6 +27,7 @@ def build_session(
     * UTC session time zone so that timestamps compare like the SQL oracle.
     * ANSI mode stays at Spark's default (on in Spark 4); operators that read
       dirty text use ``try_*`` functions explicitly.
+    * Streaming state lies in RocksDB, so that it isn't bounded by the heap.
     * The Spark UI stays off: no web server is opened.
     """
     b = SparkSession.builder.appName(app_name)
@@ -40,6 +41,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

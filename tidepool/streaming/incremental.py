@@ -9,15 +9,16 @@ duplicates":
   bucketed on the key (:func:`create_keyed_table`), the anti-join reads the
   target without shuffling it; only the (small) batch is shuffled.
 * **streaming** (:func:`stream_dedupe`): a file-source stream with
-  ``dropDuplicatesWithinWatermark`` on the key, run with
-  ``trigger(availableNow=True)``: each run processes only files not seen by
-  the checkpoint, and the de-duplication state (kept for the watermark delay)
-  drops re-delivered records.  The file sink commits each micro-batch exactly
-  once through the checkpoint, so a lost executor or a re-run never writes a
-  batch twice.  Size the delay to the re-delivery window: a repeat arriving
-  later than the watermark is treated as late and dropped, not re-added.
-  (Event times at or before the epoch compare as late even in the first
-  micro-batch, whose watermark starts at 0.)
+  ``dropDuplicates`` on the key, run with ``trigger(availableNow=True)``: each
+  run processes only files not seen by the checkpoint, and the keys seen so
+  far, held as state, drop re-delivered records.  A record that was never seen
+  is inserted however late it comes.  The file sink commits each micro-batch
+  exactly once through the checkpoint, so a lost executor or a re-run never
+  writes a batch twice.  The state holds one entry per key, spread over the
+  shuffle partitions of the first run; :func:`tidepool.session.build_session`
+  keeps it in RocksDB, outside the heap.  Where records can't come later than
+  some delay after the newest one, ``delay`` bounds the state by a watermark;
+  a record beyond it is then dropped, seen or not.
 """
 
 from __future__ import annotations
@@ -72,21 +73,21 @@ def stream_dedupe(
     source: str,
     schema: str,
     key: Sequence[str],
-    event_time: str,
-    delay: str,
     target: str,
     checkpoint: str,
     fmt: str = "parquet",
+    event_time: str | None = None,
+    delay: str | None = None,
 ) -> None:
     """Run one incremental pass over new files in ``source`` and append the
-    records whose ``key`` was not seen within ``delay`` to ``target``."""
-    stream = (
-        spark.readStream.format(fmt).schema(schema).load(source)
-        .withColumn("_event_time", F.col(event_time).cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(list(key))
-        .drop("_event_time")
-    )
+    records whose ``key`` was not seen before to ``target``.  With
+    ``event_time`` and ``delay`` keys are remembered for that delay only."""
+    stream = spark.readStream.format(fmt).schema(schema).load(source)
+    if event_time and delay:
+        timed = stream.withColumn("_event_time", F.col(event_time).cast("timestamp")).withWatermark("_event_time", delay)
+        stream = timed.dropDuplicatesWithinWatermark(list(key)).drop("_event_time")
+    else:
+        stream = stream.dropDuplicates(list(key))
     q = (
         stream.writeStream.format(fmt)
         .option("path", target)
