@@ -135,8 +135,9 @@ def outline_parse(pages: DataFrame, reset_sub_on_category: bool = False) -> Data
     # period and amounts are read before the explode: once per page, once per line.  An outer explode, as
     # Spark checks the array of a plain one for emptiness first, which would build it twice; the row of an
     # empty page has a NULL header and goes with the headers.
-    df = placed.select("path", "page", period_from_name(F.col("path")).alias("periodo"),
-                       F.explode_outer(_amount_rows(F.col("_ls"), reset_sub_on_category)).alias("r"))
+    placed = placed.withColumn("periodo", period_from_name(F.col("path")))
+    df = placed.select("path", "page", "periodo", F.explode_outer(
+        _amount_rows(F.col("_ls"), reset_sub_on_category)).alias("r"))
     reason = (
         F.when(F.col("periodo").isNull(), F.lit("no period in file name"))
         .when(F.col("r.v1").isNull() | F.col("r.v2").isNull(), F.lit("unreadable amount"))
@@ -173,7 +174,7 @@ def outline_rejects(pages: DataFrame) -> DataFrame:
 
 def _landed_pages(pages: DataFrame, marker: str, end_line: str, text: str = "text",
                   space_before_dollar: bool = False) -> DataFrame:
-    """``(row, path, page, lines, n, marks, ends, dollars)``, landed in the
+    """``(row, path, periodo, page, lines, n, marks, ends, dollars)``, landed in the
     shared scratch folder: each page split once, with the 0-based places of
     its marker, end and ``$`` lines.  ``row`` tells repeated pages apart; as
     the table is written, all later scans see the same rows.
@@ -196,7 +197,8 @@ def _landed_pages(pages: DataFrame, marker: str, end_line: str, text: str = "tex
         return F.filter(F.transform("lines", lambda x, i: F.when(test(x), i)), lambda i: i.isNotNull())
 
     out = split.select(
-        F.monotonically_increasing_id().alias("row"), "path", "page", "lines", F.size("lines").alias("n"),
+        F.monotonically_increasing_id().alias("row"), "path", period_from_name(F.col("path")).alias("periodo"), "page",
+        "lines", F.size("lines").alias("n"),
         places(lambda x: x == marker).alias("marks"),
         places(lambda x: x == end_line).alias("ends"),
         places(lambda x: x.contains("$") & starts_with_dollar(x)).alias("dollars"),
@@ -220,7 +222,7 @@ def _sections(landed: DataFrame) -> DataFrame:
     """
     every = Window.partitionBy("path")
     off = F.coalesce(F.sum("n").over(_before()), F.lit(0)).cast("bigint")
-    s = landed.select("row", "path", "page", "n", "marks", "ends", "dollars", off.alias("off"))
+    s = landed.select("row", "path", "periodo", "page", "n", "marks", "ends", "dollars", off.alias("off"))
     for c in ("marks", "ends"):
         s = s.withColumn(c, F.transform(c, lambda i: i + F.col("off") + 1))
     s = s.withColumn("_first", F.min(F.array_min("marks")).over(every))
@@ -258,7 +260,7 @@ def section_bounds(pages: DataFrame, marker: str = SECTION_MARKER, end_line: str
 
 
 def _records(landed: DataFrame) -> DataFrame:
-    """``(path, record, _lines, n_dollar)``: the section's lines, cut after
+    """``(path, periodo, record, _lines, n_dollar)``: the section's lines, cut after
     every second ``$`` line.
 
     The cuts are found on the narrow page rows; each page is then sliced where
@@ -279,15 +281,15 @@ def _records(landed: DataFrame) -> DataFrame:
         lambda x, k: F.struct((F.floor(F.col("nd") / 2) + k).cast("bigint").alias("record"), x.alias("a"),
                               F.get("cuts", k + 1).alias("b")),
     )
-    s = s.select("row", "path", "page", "dollars", F.filter(piece, lambda p: p["b"] > p["a"]).alias("pieces"))
+    s = s.select("row", "path", "periodo", "page", "dollars", F.filter(piece, lambda p: p["b"] > p["a"]).alias("pieces"))
     cut = landed.select("row", "lines").join(s, "row").select(
-        "path", "page", "row", "lines", "dollars", F.explode("pieces").alias("p"))
+        "path", "periodo", "page", "row", "lines", "dollars", F.explode("pieces").alias("p"))
     inside = F.filter("dollars", lambda i: (i >= F.col("p.a")) & (i < F.col("p.b")))
     cut = cut.select(
-        "path", "page", "row", F.col("p.record").alias("record"), F.size(inside).alias("_d"),
+        "path", "periodo", "page", "row", F.col("p.record").alias("record"), F.size(inside).alias("_d"),
         F.slice("lines", (F.col("p.a") + 1).cast("int"), (F.col("p.b") - F.col("p.a")).cast("int")).alias("_ls"))
     whole = F.array_sort(F.collect_list(F.struct("page", "row", "_ls")))
-    return cut.groupBy("path", "record").agg(
+    return cut.groupBy("path", "periodo", "record").agg(
         F.flatten(F.transform(whole, lambda x: x["_ls"])).alias("_lines"), F.sum("_d").alias("n_dollar"))
 
 
@@ -339,18 +341,17 @@ def positional_parse(
     description = F.get(F.col("_lines"), F.col("_skip") + 1)
     a1, a2 = F.get(F.col("_lines"), n - 2), F.get(F.col("_lines"), n - 1)
     v1, v2 = parse_amount(a1), parse_amount(a2)
-    periodo = period_from_name(F.col("path"))
     number_ok = F.col("_first").try_cast("int").isNotNull() if number_required else F.lit(True)
     reason = (
         F.when(F.col("n_dollar") < 2, F.lit("incomplete record"))
         .when(n < F.col("_skip") + 4, F.lit("record too short"))
         .when(~number_ok, F.lit("record number is not an integer"))
-        .when(periodo.isNull(), F.lit("no period in file name"))
+        .when(F.col("periodo").isNull(), F.lit("no period in file name"))
         .when(v1.isNull() | v2.isNull(), F.lit("unreadable amount"))
     )
     out = recs.select(
         *key,
-        periodo.alias("periodo"),
+        "periodo",
         F.lit(marker).alias("concepto_principal"),
         F.get(F.col("_lines"), F.col("_skip")).alias("concepto_secundario"),
         F.array_join(F.concat(F.array(description), extra), " ").alias("item"),
