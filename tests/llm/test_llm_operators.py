@@ -353,6 +353,51 @@ def test_cross_entropy_difference(spark, empty):
     assert lmscore.cross_entropy_difference(spark, empty, target).count() == 0
 
 
+def brute_pair_loss(rows, size):
+    """Witten-Bell pairs of ids from their definition."""
+    pair, one = Counter(), Counter()
+    for ids in rows:
+        pair.update(zip([None, *ids], ids))
+        one.update(ids)
+
+    def p(a, b):
+        n, kinds = sum(v for g, v in pair.items() if g[0] == a), sum(g[0] == a for g in pair)
+        back = (one[b] + 1) / (one.total() + size)
+        return (pair[a, b] + kinds * back) / (n + kinds) if n else back
+
+    return lambda ids: -sum(math.log(p(a, b)) for a, b in zip([None, *ids], ids)) / len(ids)
+
+
+def test_subword_difference(spark, empty, monkeypatch):
+    texts = ["the cat sat on the mat", "the cat", "été on the mat 日本", "", None, "zzzz", "the cat", "<|endoftext|> the"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "null the"), (1, "cat mat")], "doc_id long, text string")
+    target = spark.createDataFrame([(0,), (2,), (None,), (0,)], "target_id long")
+    rows = [(r["doc_id"], ids_of(r["text"])) for r in docs.collect()]
+    for chars in (lmscore.CHARS_PER_BLOCK, 10):  # one block a task, and many
+        monkeypatch.setattr(lmscore, "CHARS_PER_BLOCK", chars)
+        for chosen, goal in (((0, 2), target), ((), target.limit(0))):
+            size = encoder(TOKENIZER).size
+            t_loss, b_loss = (brute_pair_loss(x, size) for x in ([ids for i, ids in rows if i in chosen], [ids for _, ids in rows]))
+            want = [(i, len(ids), *((t_loss(ids), b_loss(ids), t_loss(ids) - b_loss(ids)) if ids else (None,) * 3))
+                    for i, ids in rows]
+            got = [tuple(r) for r in lmscore.subword_difference(spark, docs, goal, TOKENIZER).collect()]
+            for g, w in zip(key(got), key(want), strict=True):
+                assert g[:2] == w[:2] and all(x == y or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) for x, y in zip(g, w, strict=True))
+    assert lmscore.subword_difference(spark, empty, target, TOKENIZER).count() == 0
+
+
+def test_lm_query_tells_wording_beyond_three_bytes(spark, tmp_path):
+    """Two documents with the same byte trigrams, in another order of words, and a model that grows with the text."""
+    from tidepool.llm.queries import QUERIES
+
+    rows = [(1, "a b c a c b a"), (2, "a c b a b c a")] + [(10 + i, f"word{i} next{i * 7} thing{i * i}") for i in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op7_lm_scoring"](spark, str(tmp_path)).collect()}
+    assert {i: r["n_tokens"] for i, r in got.items()} == {i: len(ids_of(t)) for i, t in rows}
+    assert got[1]["target_loss"] < got[2]["target_loss"] < got[10]["target_loss"]
+
+
 # --- secrets ----------------------------------------------------------------------------------------------------------
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""

@@ -1,15 +1,22 @@
 """Cross-entropy difference between two n-gram language models.
 
 A target model is counted over the documents of a target domain and a
-background model over all documents.  Both are byte trigram models over one
-vocabulary, the 256 bytes of UTF-8, so no text has an unknown token, and both
-are smoothed alike (Witten-Bell, down to single bytes).  A document scores the
+background model over all documents.  Both share one vocabulary and are
+smoothed alike (Witten-Bell, down to single tokens).  A document scores the
 mean over its tokens of target loss minus background loss; lower is closer to
 the target.
 
-All texts are counted whole: each task adds up its own trigrams and one row
-per trigram leaves it.  The model has at most 2^24 rows, whatever the size of
-the corpus, which bounds what is broadcast.
+``subword_difference`` counts pairs of ids of a public byte-level vocabulary,
+so no text has an unknown token.  The pairs are a landed table that grows with
+the corpus and is never broadcast or collected; only what has one row per id of
+the vocabulary is broadcast.  Texts are landed as blocks of ids; each block
+sends every pair it holds once to be counted and gets its two losses back by a
+join, so a frequent pair meets in one row per block, not per document.
+
+``cross_entropy_difference`` is the small model over byte trigrams.  All texts
+are counted whole: each task adds up its own trigrams and one row per trigram
+leaves it.  It has at most 2^24 rows, whatever the size of the corpus, which
+bounds what is broadcast.
 
 Defined results: a NULL or empty text has no token and NULL losses; without
 target documents the target model is uniform; a NULL id is never a target;
@@ -26,10 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.llm.bpe import encoder
 from tidepool.llm.common import join_keys, landed, map_arrow, text_or_empty
 
 GRAMS = 1 << 24
 BYTES_PER_STEP = 4_000_000
+#: Characters of a block of texts; stands before the first id of a text.
+CHARS_PER_BLOCK = 4_000_000
+FRONT = (1 << 16) - 1
 
 
 def trigrams(text: bytes):
@@ -40,15 +51,20 @@ def trigrams(text: bytes):
         yield (part[:-2] << 16) | (part[1:-1] << 8) | part[2:]
 
 
+def marked_rows(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text, chosen``; ``targets`` has the column ``target_id``."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    keys = landed(spark, targets.select("target_id").where("target_id is not null").distinct(), "lm-targets") \
+        .withColumn("chosen", F.lit(True))
+    return join_keys(rows, keys, F.col("doc_id") == F.col("target_id"), "left") \
+        .select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+
+
 def count_trigrams(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Landed ``gram, target, background`` counts over all documents;
     ``targets`` is a landed table with the column ``target_id``."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
-    keys = landed(spark, targets.select("target_id").where("target_id is not null").distinct(), "lm-targets") \
-        .withColumn("chosen", F.lit(True))
-    rows = join_keys(rows, keys, F.col("doc_id") == F.col("target_id"), "left") \
-        .select("text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    rows = marked_rows(spark, docs, targets, id_col, text_col).select(F.col("text").cast("binary").alias("text"), "chosen")
 
     def count(batches):
         background, target = np.zeros(GRAMS, dtype=np.int32), np.zeros(GRAMS, dtype=np.int32)
@@ -134,3 +150,128 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: Data
                 names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
     return map_arrow(rows, score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+
+
+def token_blocks(spark: SparkSession, docs: DataFrame, targets: DataFrame, tokenizer: str, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """Landed ``block, doc_ids, chosen, sizes, ids``: each row holds the ids of some
+    documents one after the other as unsigned 16-bit binary."""
+    rows = marked_rows(spark, docs, targets, id_col, text_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        tok, block = encoder(tokenizer), TaskContext.get().partitionId() << 32
+        if tok.size > FRONT:
+            raise ValueError(f"more than {FRONT} ids")
+        for batch in batches:
+            texts, lo = batch.column("text").to_pylist(), 0
+            while lo < len(texts):
+                hi, chars = lo, 0
+                while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= CHARS_PER_BLOCK):
+                    chars += len(texts[hi])
+                    hi += 1
+                ids, sizes = tok.encode(texts[lo:hi])
+                whole = np.array([0, hi - lo], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block]), pa.ListArray.from_arrays(whole, batch.column("doc_id").slice(lo, hi - lo)),
+                     pa.ListArray.from_arrays(whole, batch.column("chosen").slice(lo, hi - lo)),
+                     pa.ListArray.from_arrays(whole, pa.array(sizes.astype(np.int64))),
+                     pa.array([ids.astype("<u2").tobytes()], pa.binary())],
+                    names=["block", "doc_ids", "chosen", "sizes", "ids"])
+                block, lo = block + 1, hi
+
+    kinds = f"block long, doc_ids array<{kind}>, chosen array<boolean>, sizes array<long>, ids binary"
+    return landed(spark, map_arrow(rows, write, kinds), "lm-blocks")
+
+
+def pairs(ids: bytes, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs that end at each id of a block; ``FRONT`` comes before each text."""
+    ids = np.frombuffer(ids, dtype="<u2").astype(np.int64)
+    before = np.concatenate([np.full(min(1, len(ids)), FRONT), ids[:-1]])
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = FRONT
+    return before << 16 | ids
+
+
+def block_pairs(spark: SparkSession, blocks: DataFrame) -> DataFrame:
+    """Landed ``block, gram, target, background``: each block's distinct pairs and their counts."""
+
+    def count(batches):
+        for batch in batches:
+            for block, chosen, sizes, ids in zip(*(batch.column(c).to_pylist() for c in ("block", "chosen", "sizes", "ids")),
+                                                 strict=True):
+                sizes = np.array(sizes, dtype=np.int64)
+                grams = pairs(ids, sizes)
+                every, background = np.unique(grams, return_counts=True)
+                own, n = np.unique(grams[np.repeat(np.array(chosen, dtype=bool), sizes)], return_counts=True)
+                target = np.zeros_like(background)
+                target[np.searchsorted(every, own)] = n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(every), block)), pa.array(every), pa.array(target), pa.array(background)],
+                    names=["block", "gram", "target", "background"])
+
+    counted = map_arrow(blocks.select("block", "chosen", "sizes", "ids"), count,
+                        "block long, gram long, target long, background long")
+    return landed(spark, counted, "lm-block-pairs")
+
+
+def pair_losses(spark: SparkSession, counts: DataFrame, n_ids: int) -> DataFrame:
+    """``gram, target_loss, background_loss`` of landed counts, Witten-Bell smoothed."""
+    context, last = F.shiftright("gram", 16).alias("context"), F.col("gram").bitwiseAND(FRONT).alias("last")
+    sums = [F.sum("target").alias("t_last"), F.sum("background").alias("b_last")]
+    # one row per id of the vocabulary at most: these may be broadcast
+    lasts = landed(spark, counts.groupBy(last).agg(*sums), "lm-ids")
+    contexts = landed(spark, counts.groupBy(context).agg(
+        F.sum("target").alias("t_sum"), F.count_if(F.col("target") > 0).alias("t_kinds"),
+        F.sum("background").alias("b_sum"), F.count("*").alias("b_kinds")), "lm-contexts")
+    totals = lasts.agg(F.sum("t_last"), F.sum("b_last")).first()
+    rows = counts.select("*", context, last).join(F.broadcast(contexts), "context").join(F.broadcast(lasts), "last")
+
+    def loss(count, m, total):
+        one = (F.col(f"{m}_last") + 1.0) / ((total or 0) + n_ids)
+        seen = F.col(f"{m}_sum") + F.col(f"{m}_kinds")
+        return -F.log(F.when(seen > 0, (F.col(count) + F.col(f"{m}_kinds") * one) / seen).otherwise(one))
+
+    return rows.select("gram", loss("target", "t", totals[0]).alias("target_loss"),
+                       loss("background", "b", totals[1]).alias("background_loss"))
+
+
+def subword_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame, tokenizer: str,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_tokens, target_loss, background_loss, score``."""
+    blocks = token_blocks(spark, docs, targets, tokenizer, id_col, text_col)
+    held = block_pairs(spark, blocks)
+    counts = landed(spark, held.groupBy("gram").agg(F.sum("target").alias("target"),
+                                                    F.sum("background").alias("background")), "lm-pairs")
+    losses = held.select("block", "gram").join(pair_losses(spark, counts, encoder(tokenizer).size), "gram")
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    # the losses of a block come first, in order of the pair, and then its texts
+    rows = losses.unionByName(blocks.select("block", "doc_ids", "sizes", "ids"), allowMissingColumns=True) \
+        .repartition("block").sortWithinPartitions("block", F.col("gram").asc_nulls_last())
+
+    def score(batches):
+        known = []
+        for batch in batches:
+            lo = 0
+            ends = np.flatnonzero(batch.column("gram").is_null().to_numpy(zero_copy_only=False)).tolist()
+            for end in [*ends, batch.num_rows]:
+                part = batch.slice(lo, end - lo)
+                known.append([part.column(c).to_numpy() for c in ("gram", "target_loss", "background_loss")])
+                if end == batch.num_rows:
+                    break
+                grams, *loss = (np.concatenate(x) for x in zip(*known, strict=True))
+                known, lo = [], end + 1
+                sizes = batch.column("sizes")[end].values.to_numpy()
+                at = np.searchsorted(grams, pairs(batch.column("ids")[end].as_py(), sizes))
+                empty, starts = sizes == 0, np.cumsum(sizes) - sizes
+                mean = np.zeros((2, len(sizes)))
+                if len(at):
+                    for m in (0, 1):
+                        mean[m, ~empty] = np.add.reduceat(loss[m][at], starts[~empty]) / sizes[~empty]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_ids")[end].values, pa.array(sizes), pa.array(mean[0], mask=empty),
+                     pa.array(mean[1], mask=empty), pa.array(mean[0] - mean[1], mask=empty)],
+                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return map_arrow(rows, score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")

@@ -63,7 +63,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = read_table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("target_id"))
-    return lmscore.cross_entropy_difference(spark, read_table(spark, sf_dir, "documents"), good)
+    return lmscore.subword_difference(spark, read_table(spark, sf_dir, "documents"), good, TOKENIZER)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
