@@ -247,7 +247,9 @@ def subword_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame,
     losses = held.select("block", "gram").join(pair_losses(spark, counts, encoder(tokenizer).size), "gram")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     # the losses of a block come first, in order of the pair, and then its texts
-    rows = losses.unionByName(blocks.select("block", "doc_ids", "sizes", "ids"), allowMissingColumns=True) \
+    # (empty arrays, as Spark's Arrow writer takes time with the square of the rows where lists are NULL)
+    none = [F.array().cast(blocks.schema[c].dataType).alias(c) for c in ("doc_ids", "sizes")]
+    rows = losses.select("*", *none).unionByName(blocks.select("block", "doc_ids", "sizes", "ids"), allowMissingColumns=True) \
         .repartition("block").sortWithinPartitions("block", F.col("gram").asc_nulls_last())
 
     def score(batches):
