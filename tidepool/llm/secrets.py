@@ -1,8 +1,9 @@
 """Secret scan: patterns plus dictionary-primed novelty.
 
 The patterns find assignments of a secret-like name, access key ids and long
-hexadecimal runs.  Beyond them, every long token that follows a sensitive word
-on its line is measured: zstandard, primed with a dictionary of common
+hexadecimal runs.  Beyond them, every long token with a sensitive word in the
+text around it (before or after, on any line), or between a private key's header
+and its END line, is measured: zstandard, primed with a dictionary of common
 identifiers, compresses the surrounding text with and without the token.  The
 bytes the token adds, per character, tell random strings from words and code.
 
@@ -15,6 +16,7 @@ never overlaps one of the patterns.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,12 +33,15 @@ LEAST_ASSIGN = 12
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words that make a line sensitive, and how far after them a token may begin.
+#: Words that make the text around them sensitive.
 SENSITIVE = re.compile(
     r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|credential|private[_ -]?key|access[_-]?key|"
     r"bearer|signature|client[_-]?id|auth", re.I | re.A)
-REACH = 64
+LEAST_NOVEL = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.A)
+#: The text from a key's header to its END line is sensitive as a whole.
+HEADER = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z0-9 ]*-----")
+FOOTER = "-----END "
 #: Added bytes per character from which a token is novel; characters of text on either side.
 NOVELTY = 0.6
 AROUND = 256
@@ -83,22 +88,46 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
-    found, taken = [], 0
-    for m in SENSITIVE.finditer(text):
-        stop = text.find("\n", m.end(), m.end() + REACH)
-        stop = m.end() + REACH if stop < 0 else stop
-        for c in CANDIDATE.finditer(text, m.end()):
-            if c.start() >= stop:
-                break
-            if c.start() < taken or any(s < c.end() and c.start() < e for s, _, e in base):
-                continue
-            taken = c.end()
-            if novelty(text, c.start(), c.end()) >= NOVELTY:
-                found.append((c.start(), 3, c.end()))
+def candidates(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the tokens with a sensitive word around them or a key
+    header before.  Of a run that holds sensitive words, what follows each of
+    them comes first and then the whole run."""
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    starts, keys, found = [w[0] for w in words], [], []
+    for m in HEADER.finditer(text):
+        end = text.find(FOOTER, m.end())
+        keys.append((m.end(), len(text) if end < 0 else end))
+
+    def near(start: int, end: int) -> bool:
+        k = bisect_left(starts, start - AROUND)
+        while k < len(words) and words[k][0] < end + AROUND:
+            s, e = words[k]
+            if e <= start or end <= s and e <= end + AROUND:
+                return True
+            k += 1
+        return any(s <= start and end <= e for s, e in keys)
+
+    for c in CANDIDATE.finditer(text):
+        k = bisect_left(starts, c.start())
+        for _, e in words[max(0, k - 1):bisect_left(starts, c.end())]:
+            if e > c.start() and c.end() - e >= LEAST_NOVEL:
+                found.append((e, c.end()))
+        if near(c.start(), c.end()):
+            found.append(c.span())
     return found
 
 
+def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
+    found = []
+    for start, end in candidates(text):
+        if any(s < end and start < e for s, _, e in [*base, *found]):
+            continue
+        if novelty(text, start, end) >= NOVELTY:
+            found.append((start, 3, end))
+    return found
+
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base`` and ``spans`` (arrays of kind, start, end), in order of
