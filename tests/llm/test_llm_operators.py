@@ -457,6 +457,21 @@ def test_tokens_on_every_side_of_a_sensitive_word_are_measured():
     assert novel_texts(key + after) == body
 
 
+@pytest.mark.parametrize("n", [20, 40])
+def test_a_repeated_secret_is_found_at_every_place(n):
+    one = random_token(3, n)
+    far = " and many other plain words" * 30
+    for text, copies in ((f"our credential {one} is sent as bearer {one} here", 2), (f"credential={one}\nbearer {one}\n", 2),
+                         (f"bearer {one} " * 5, 5), (f"credential {one} {far} {one} {far}", 2)):
+        assert [t.strip("=") for t in novel_texts(text)] == [one] * copies
+    text = f"x{one} a credential {one} b{one[:5]} {one}"
+    plain = [text[i] for i in range(0, 25 + n)]  # characters before a place, less those of each whole copy
+    for k in [i for i in range(len(plain)) if text[i:i + n] == one and i + n <= 25 + n]:
+        plain[k:k + n] = [""] * n
+    assert secrets.without(text, 0, 25 + n, one, 0, 25 + n) == "".join(plain)
+    assert secrets.without(text, 4, n, one, 0, n + 1) == ""  # a copy that reaches over both ends
+
+
 # --- WARC -------------------------------------------------------------------------------------------------------------
 
 def test_warc_round_trip(spark):

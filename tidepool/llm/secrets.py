@@ -6,6 +6,8 @@ text around it (before or after, on any line), or between a private key's header
 and its END line, is measured: zstandard, primed with a dictionary of common
 identifiers, compresses the surrounding text with and without the token.  The
 bytes the token adds, per character, tell random strings from words and code.
+Other copies of the token are taken out of the surrounding text first, and all
+copies in the text are reported when one is novel.
 
 Spans are in code points, end exclusive, over whole texts.  Defined results: a
 NULL text is empty and has no span; repeated rows are scanned alike; an empty
@@ -59,8 +61,26 @@ IDENTIFIERS = (
 )
 
 
+def core(token: str) -> str:
+    """A token without the signs that join it to its neighbours."""
+    return token.strip("=_/+-") or token
+
+
+def without(text: str, lo: int, hi: int, token: str, least: int, most: int) -> str:
+    """``text[lo:hi]`` without the characters of the copies of ``token`` that lie within ``least`` and ``most``."""
+    parts, reach = [], len(token) - 1
+    first, last = max(least, lo - reach), min(most, hi + reach)
+    k = text.find(token, first, last)
+    while k >= 0:
+        parts.append(text[lo:max(lo, k)])
+        lo = k + len(token)
+        k = text.find(token, lo, last)
+    return "".join([*parts, text[lo:hi]])
+
+
 class Novelty:
-    """Added compressed bytes per character of a string in its surroundings."""
+    """Added compressed bytes per character of a string in its surroundings,
+    from which other copies of the string are taken out."""
 
     def __init__(self, dictionary: str = IDENTIFIERS):
         import zstandard as zstd
@@ -70,7 +90,9 @@ class Novelty:
                                        write_dict_id=False)
 
     def __call__(self, text: str, start: int, end: int) -> float:
-        before, after = text[max(0, start - AROUND):start], text[end:end + AROUND]
+        token = core(text[start:end])
+        before = without(text, max(0, start - AROUND), start, token, 0, start)
+        after = without(text, end, min(len(text), end + AROUND), token, end, len(text))
         whole = self.zip.compress((before + text[start:end] + after).encode("utf-8", "replace"))
         rest = self.zip.compress((before + after).encode("utf-8", "replace"))
         return (len(whole) - len(rest)) / (end - start)
@@ -120,13 +142,20 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
-    found = []
+    """Novel candidates, and wherever else in the text one of them stands."""
+    found, taken = [], [(s, e) for s, _, e in base]
     for start, end in candidates(text):
-        if any(s < end and start < e for s, _, e in [*base, *found]):
-            continue
-        if novelty(text, start, end) >= NOVELTY:
-            found.append((start, 3, end))
-    return found
+        if all(e <= start or end <= s for s, e in taken) and novelty(text, start, end) >= NOVELTY:
+            found.append((start, end))
+            taken.append((start, end))
+    for token in dict.fromkeys(core(text[s:e]) for s, e in found):
+        k = text.find(token)
+        while k >= 0:
+            if all(e <= k or k + len(token) <= s for s, e in taken):
+                found.append((k, k + len(token)))
+                taken.append(found[-1])
+            k = text.find(token, k + len(token))
+    return [(s, 3, e) for s, e in sorted(found)]
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
