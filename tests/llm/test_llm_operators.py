@@ -310,6 +310,15 @@ def test_language_id(spark, docs, empty):
     assert {r["p"]["lang_pred"] for r in docs.select(langid.predict(spark, none, F.col("text")).alias("p")).collect()} == {"und"}
 
 
+def test_rows_without_id_are_drawn_one_by_one(spark, monkeypatch):
+    docs = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("en").alias("lang"),
+                                    F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij").alias("text"))
+    words = []
+    monkeypatch.setattr(langid, "landed", lambda spark, df, name: words.append(df.count()) or df)
+    langid.fit(spark, docs, PIECES, sample_rows=200, rounds=0)
+    assert 100 < words[0] < 300
+
+
 # --- LM scoring -------------------------------------------------------------------------------------------------------
 
 def brute_loss(texts):

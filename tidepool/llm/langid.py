@@ -8,7 +8,7 @@ score of a prediction is the posterior under equal priors.
 
 The piece probabilities are fitted by expectation maximisation on a bounded
 sample of labelled rows (``sample_rows`` per language, picked by a hash of the
-id).  The model has one row per piece and language: the vocabulary and
+id and the text).  The model has one row per piece and language: the vocabulary and
 ``max_languages`` bound what is collected and broadcast.
 
 Words are runs of letters in lower case, opened by the vocabulary's word mark.
@@ -178,7 +178,7 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Co
     if not languages:
         return LanguageModel([], pieces, np.zeros((len(pieces), 0)))
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_rows / n))])
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.col("text"), F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.where(draw < share[F.col("lang")])
 
     def split(batches):
