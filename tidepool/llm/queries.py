@@ -7,13 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import (exact_dedup, langid, lmscore, mixing, packing, quality, secrets, simhash, token_files,
-                          warc)
+from tidepool.llm import (exact_dedup, langid, lexical, lmscore, mixing, packing, prefix_trie, quality, secrets, simhash,
+                          token_files, warc, word_merge)
 from tidepool.session import read_table
 
 #: Places of the public vocabularies; every executor has them under the same path.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 SPLIT = "coalesce(pmod(crc32(cast(doc_id as string)), 5), 0)"
 
@@ -84,9 +85,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(spark, read_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = word_merge.encode(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return word_merge.decode(encoded, RANKS).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(word_merge.ids_text("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = prefix_trie.with_shared_heads(spark, read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(spark, rebuilt)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_quality_rules, op3_packing, op4_token_files, op5_simhash, op6_warc, op7_lm_scoring,
-    op8_mixing, op9_secret_scan, op10_exact_dedup)}
+    op8_mixing, op9_secret_scan, op10_exact_dedup, op11_lexical_search, op12_byte_bpe, op13_prefix_trie)}
 
 
 def _stop_list() -> str:
@@ -146,4 +164,43 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW w AS (PARTITION BY t)""",
+    "op11_lexical_search": r"""
+        WITH cut AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms, row_number() OVER () AS no FROM documents),
+        ask AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        size AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS length FROM cut WHERE len(terms) > 0),
+        tf AS (SELECT no, doc_id, len(any_value(n)) AS n, term, count(*)::BIGINT AS tf
+               FROM (SELECT no, doc_id, terms AS n, unnest(terms) AS term FROM cut) GROUP BY no, doc_id, term),
+        df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+        gain AS (SELECT no, doc_id, term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+                        * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))) AS gain
+                 FROM tf JOIN df USING (term), size WHERE term IN (SELECT term FROM ask)),
+        total AS (SELECT item_id, doc_id, no, sum(gain)::BIGINT AS score FROM ask JOIN gain USING (term) GROUP BY ALL HAVING sum(gain) > 0)
+        SELECT item_id, row_number() OVER w::INTEGER AS rank, doc_id, score FROM total
+        WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+        QUALIFY row_number() OVER w <= 10""",
+    "op13_prefix_trie": r"""
+        WITH turns AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+                       FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        -- the CRC of a number's digits, bit by bit (fixed value: the polynomial of the standard, reversed)
+        crc AS (SELECT conv_id, own, xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT],
+                    list_transform(range(1, 1 + length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i::BIGINT, 1))::BIGINT)),
+                    lambda acc, byte: list_reduce(list_concat([xor(acc, byte)], range(8)),
+                        lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h FROM turns),
+        path AS (SELECT c.conv_id, list_concat(coalesce(b.own, [])[:c.h], c.own[c.h + 1:]) AS path
+                 FROM crc c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 100),
+        member AS (SELECT conv_id, d AS depth, path[:d] AS node, d = len(path) AS ends FROM path, unnest(range(0, len(path) + 1)) AS r(d)),
+        node AS (SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+                        CASE WHEN any_value(depth) = 0 THEN 0 ELSE (count(*) - 1) * length(any_value(node)[-1].text) END AS saved
+                 FROM member GROUP BY node),
+        kids AS (SELECT node[:depth - 1] AS node, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+        known AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (node)),
+        below AS (SELECT node[:d] AS node, sum(saved) AS saved_tokens, count_if(n_children = 0) AS n_leaves
+                  FROM known, unnest(range(0, depth + 1)) AS r(d) GROUP BY ALL)
+        SELECT k.conv_id, k.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, k.n_convs::BIGINT AS n_convs,
+               k.n_children::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens,
+               sha256(k.ends) AS ends_sha256
+        FROM known k JOIN below b ON b.node = k.node LEFT JOIN known p ON k.depth > 0 AND p.node = k.node[:k.depth - 1]""",
 }
