@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tidepool.llm import lexical, prefix_trie, word_merge
+from tidepool.llm import bpe, lexical, prefix_trie, word_merge
 from tidepool.llm.queries import QUERIES, RANKS
 
 # --- ranked lexical search --------------------------------------------------------------------------------------------
@@ -106,13 +106,14 @@ def odd_texts():
 
 @pytest.mark.parametrize("long, rows, memory", [(64, 3_000_000, 150_000), (4, 3_000, 40)])
 def test_bpe_equals_the_library(spark, library, monkeypatch, long, rows, memory):
-    for name, value in (("LONG", long), ("ROWS_PER_QUERY", rows), ("MEMORY", memory), ("IDS_PER_QUERY", rows // 10)):
+    for name, value in (("LONG", long), ("ROWS_PER_QUERY", rows), ("IDS_PER_QUERY", rows // 10), ("WORDS", memory)):
         monkeypatch.setattr(word_merge, name, value)
+    monkeypatch.setattr(bpe, "MAX_CHUNKS", memory)
     texts = odd_texts()
     merger = word_merge.WordMerger(RANKS, public_tokenizers.PATTERN)
     monkeypatch.setattr(word_merge, "CHARS_PER_STEP", 2_000)
     at = 0
-    for lo, hi, ids, n in merger.encode(texts):
+    for lo, hi, ids, n in merger.runs(texts):
         assert lo == at and [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library.encode_ordinary(t) for t in texts[lo:hi]]
         at = hi
     assert at == len(texts)
@@ -121,16 +122,17 @@ def test_bpe_equals_the_library(spark, library, monkeypatch, long, rows, memory)
 def test_one_place_at_a_time_equals_all_places(monkeypatch):
     rnd = random.Random(4)
     merger = word_merge.WordMerger(RANKS, public_tokenizers.PATTERN)
-    pieces = ["".join(rnd.choice("aeinrst") for _ in range(rnd.randint(1, 90))).encode() for _ in range(300)] + [b"a" * 77]
+    pieces = ["".join(rnd.choice("aeinrst") for _ in range(rnd.randint(1, 64))).encode() for _ in range(300)] + [b"a" * 64]
     one, many = (merger._contract(pieces, step) for step in (word_merge.WORD_STEP, word_merge.LONG_STEP))
     assert np.array_equal(one[0], many[0]) and np.array_equal(one[1], many[1])
 
 
 def test_bpe_round_trip_of_odd_rows(spark, docs, empty, library):
     rows = docs.collect()
-    out = word_merge.decode(word_merge.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
-    got = [(r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in out.collect()]
-    assert key(got) == key((r["doc_id"], tuple(library.encode_ordinary(r["text"] or "")), (r["text"] or "").encode()) for r in rows)
+    want = key((r["doc_id"], tuple(library.encode_ordinary(r["text"] or "")), (r["text"] or "").encode()) for r in rows)
+    for out in (word_merge.decode(word_merge.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS),
+                word_merge.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True)):
+        assert key((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in out.collect()) == want
     assert word_merge.decode(word_merge.encode(empty, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
 
 

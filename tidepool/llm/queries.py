@@ -90,8 +90,8 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = word_merge.encode(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    return word_merge.decode(encoded, RANKS).select(
+    encoded = word_merge.encode(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(word_merge.ids_text("ids").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
