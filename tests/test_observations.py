@@ -25,5 +25,4 @@ def test_max_change_on_observations(spark):
     raw = spark.createDataFrame([('{"features": [%s]}' % feats,)], "value string")
     got = O.max_change(O.clean_observations(raw), "wind_speed", "m").collect()[0].m
     assert got == 7.0
-    assert O.average_reading(O.clean_observations(raw), "wind_speed", "a").collect()[0].a == 17 / 3
     assert raw.select(O.observed_at(F.lit("junk")).alias("t")).collect()[0].t is None

@@ -100,7 +100,7 @@ def test_positional_fixture(spark):
         ("Enel", "Luz Mayo", None, Decimal("3386.00"), Decimal("460000.00"), None),
         ("Aguas", "Agua", "2908569-2", Decimal("10.00"), Decimal("20.50"), None),
     ]
-    b = ST.section_bounds(ST.document_lines(lines)).collect()[0]
+    b = ST.section_bounds(lines).collect()[0]
     assert (b.start, b.end) == (5, 16)
 
 

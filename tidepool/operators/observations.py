@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.numbers import round_half_up
-from tidepool.operators.windows import consecutive_changes, day_chunk
+from tidepool.operators.windows import max_consecutive_change
+from tidepool.session import landed
 
 # Element type of the "features" array read from a document.
 FEATURE_SCHEMA = (
@@ -63,16 +64,10 @@ def observed_at(ts_text: str | Column = "observation_timestamp") -> Column:
     return F.try_to_timestamp(c)
 
 
-def average_reading(obs: DataFrame, column: str, out: str, where: Column | None = None) -> DataFrame:
-    """One-row average of a reading (NULLs skipped), optionally filtered,
-    e.g. by :func:`tidepool.functions.dates.trailing_days`."""
-    d = obs if where is None else obs.where(where)
-    return d.agg(F.avg(column).alias(out))
-
-
 def max_change(obs: DataFrame, column: str, out: str, keys: Sequence[str] = ("station_id",)) -> DataFrame:
     """Largest absolute change of ``column`` between consecutive observations
     of a station, in observation-time order (ties broken by the feature id)."""
-    d = obs.withColumn("_t", observed_at())
-    ch = consecutive_changes(d, list(keys), ["_t", "station_name"], column, day_chunk("_t"), out="_c")
-    return ch.agg(F.max("_c").alias(out))
+    narrow = obs.select(*keys, observed_at().alias("_t"), "station_name", column)
+    # documents are parsed once, into the few columns that the sample and the window read
+    readings = landed(obs.sparkSession, narrow, "readings")
+    return max_consecutive_change(readings, list(keys), ["_t", "station_name"], column, out=out)

@@ -18,15 +18,6 @@ def union_all_labelled(parts: Mapping[str, DataFrame], label: str = "label") ->
     return out
 
 
-def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
-    """``UNION ALL`` by column name; all inputs must have the same columns
-    (a missing column is an error, not a silent NULL)."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d, allowMissingColumns=False)
-    return out
-
-
 def sort_by(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
     """Multi-key mixed-direction sort: ``[("a", "desc"), ("b", "asc")]``.
     A global sort is a range-partitioned shuffle (sampled bounds), so it

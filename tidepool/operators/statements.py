@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.dates import period_from_name
@@ -38,8 +38,8 @@ from tidepool.functions.strings import (
     starts_with_dollar,
     strip_leading_number,
 )
-from tidepool.operators.windows import row_number_by_key
-from tidepool.session import scratch_path
+from tidepool.operators.windows import running_sum_by_key
+from tidepool.session import landed as write_and_read
 
 # The amount-line pattern (label, blank(s), "$", amount, "$",
 # amount), the section marker line and the section end line.
@@ -152,14 +152,20 @@ def outline_parse(pages: DataFrame, reset_sub_on_category: bool = False) -> Data
     )
 
 
+def pages_of(pages: DataFrame, keep: Column | None) -> DataFrame:
+    """Pages whose period (``periodo``, read from the path) passes ``keep``, so that
+    no other page is split or parsed."""
+    if keep is None:
+        return pages
+    return pages.withColumn("periodo", period_from_name(F.col("path"))).where(keep).drop("periodo")
+
+
 def outline_expenses(pages: DataFrame, min_period: str | None = None, reset_sub_on_category: bool = False,
                      dedupe: bool = False) -> DataFrame:
     """Expense rows of the outline layout (optionally only periods >=
     ``min_period``, optionally without duplicates)."""
-    p = outline_parse(pages, reset_sub_on_category).where(F.col("reject_reason").isNull())
-    if min_period:
-        p = p.where(F.col("periodo") >= F.lit(min_period).cast("date"))
-    p = p.select(*EXPENSE_COLUMNS)
+    keep = F.col("periodo") >= F.lit(min_period).cast("date") if min_period else None
+    p = outline_parse(pages_of(pages, keep), reset_sub_on_category).where(F.col("reject_reason").isNull()).select(*EXPENSE_COLUMNS)
     return p.dropDuplicates() if dedupe else p
 
 
@@ -203,13 +209,12 @@ def _landed_pages(pages: DataFrame, marker: str, end_line: str, text: str = "tex
         places(lambda x: x == end_line).alias("ends"),
         places(lambda x: x.contains("$") & starts_with_dollar(x)).alias("dollars"),
     )
-    spark, folder = pages.sparkSession, scratch_path(pages.sparkSession, "statement_pages")
-    out.write.parquet(folder)
-    return spark.read.schema(out.schema).parquet(folder)
+    return write_and_read(pages.sparkSession, out, "statement_pages")
 
 
-def _before() -> Window:
-    return Window.partitionBy("path").orderBy("page", "row").rowsBetween(Window.unboundedPreceding, -1)
+def _with_offsets(landed: DataFrame, *columns: str) -> DataFrame:
+    """Narrow page rows with the lines of the document before each page (``off``)."""
+    return running_sum_by_key(landed.select("row", "path", "page", "n", *columns), "path", ["page", "row"], F.col("n"), "off")
 
 
 def _sections(landed: DataFrame) -> DataFrame:
@@ -218,16 +223,19 @@ def _sections(landed: DataFrame) -> DataFrame:
 
     ``end`` is the first end line after the first marker; ``start`` is three
     lines after the last marker before ``end``; both NULL without such a pair.
-    No text goes through the windows, only counts and places.
+    No text is moved, only counts and places, and a document is cut at any page.
     """
-    every = Window.partitionBy("path")
-    off = F.coalesce(F.sum("n").over(_before()), F.lit(0)).cast("bigint")
-    s = landed.select("row", "path", "periodo", "page", "n", "marks", "ends", "dollars", off.alias("off"))
+    s = _with_offsets(landed, "periodo", "marks", "ends", "dollars")
     for c in ("marks", "ends"):
         s = s.withColumn(c, F.transform(c, lambda i: i + F.col("off") + 1))
-    s = s.withColumn("_first", F.min(F.array_min("marks")).over(every))
-    s = s.withColumn("end", F.min(F.array_min(F.filter("ends", lambda e: e > F.col("_first")))).over(every))
-    return s.withColumn("start", F.max(F.array_max(F.filter("marks", lambda m: m < F.col("end")))).over(every) + 3)
+    s = write_and_read(landed.sparkSession, s, "statement_places")
+    # each bound is a least or greatest place, so that runs of pages are added up before they meet
+    first = s.groupBy("path").agg(F.min(F.array_min("marks")).alias("first")).where("first IS NOT NULL")
+    ends = s.where(F.size("ends") > 0).select("path", "ends").join(first, "path")
+    end = ends.groupBy("path").agg(F.min(F.array_min(F.filter("ends", lambda e: e > F.col("first")))).alias("end"))
+    marks = s.where(F.size("marks") > 0).select("path", "marks").join(end.where(F.col("end").isNotNull()), "path")
+    bounds = marks.groupBy("path", "end").agg((F.max(F.array_max(F.filter("marks", lambda m: m < F.col("end")))) + 3).alias("start"))
+    return s.join(bounds, "path", "left")
 
 
 def numbered_lines(pages: DataFrame, text: str = "text", space_before_dollar: bool = False) -> DataFrame:
@@ -239,19 +247,12 @@ def numbered_lines(pages: DataFrame, text: str = "text", space_before_dollar: bo
     a (path, page) follow one another.
     """
     landed = _landed_pages(pages, SECTION_MARKER, SECTION_END, text, space_before_dollar)
-    off = landed.select("row", F.coalesce(F.sum("n").over(_before()), F.lit(0)).cast("bigint").alias("off"))
+    off = _with_offsets(landed).select("row", "off")
     return landed.select("row", "path", "page", "lines").join(off, "row").select(
         "path", "page", "off", F.posexplode("lines").alias("line_no", "line")
     ).select("path", "page", "line_no", "line", (F.col("off") + F.col("line_no") + 1).alias("gidx"))
 
 
-def document_lines(lines: DataFrame) -> DataFrame:
-    """Adds ``gidx``: the 1-based line position in the whole document
-    (``path``), in ``(page, line_no)`` order.  Skew-safe: counted per page,
-    offset by the line counts of earlier pages."""
-    return row_number_by_key(lines, "path", ["page", "line_no"], chunk=F.col("page"), out="gidx")
-
-
 def section_bounds(pages: DataFrame, marker: str = SECTION_MARKER, end_line: str = SECTION_END) -> DataFrame:
     """Per document ``(path, start, end)``, as in :func:`positional_parse`;
     documents without both lines are absent."""
@@ -272,7 +273,8 @@ def _records(landed: DataFrame) -> DataFrame:
     hi = F.least(F.col("n"), F.col("end") - F.col("off") - 1)
     s = s.withColumn("lo", lo).withColumn("hi", hi)
     s = s.withColumn("dollars", F.filter("dollars", lambda i: (i >= F.col("lo")) & (i < F.col("hi"))))
-    s = s.withColumn("nd", F.coalesce(F.sum(F.size("dollars")).over(_before()), F.lit(0)).cast("bigint"))
+    s = write_and_read(landed.sparkSession, s.drop("marks", "ends"), "statement_section")
+    s = running_sum_by_key(s, "path", ["page", "row"], F.size("dollars"), "nd")
     second = F.filter("dollars", lambda i, j: (F.col("nd") + j) % 2 == 1)
     cuts = F.transform(second, lambda i: (i + 1).cast("bigint"))
     s = s.where("hi > lo").withColumn("cuts", F.concat(F.array("lo"), cuts, F.array("hi")))
@@ -363,10 +365,10 @@ def positional_parse(
     return out
 
 
-def positional_expenses(pages: DataFrame, dedupe: bool = True, **kw) -> DataFrame:
+def positional_expenses(pages: DataFrame, dedupe: bool = True, keep: Column | None = None, **kw) -> DataFrame:
     """Good positional records as expense rows (duplicates dropped, as the
-    statements list a charge once per period)."""
-    p = positional_parse(pages, **kw).where(F.col("reject_reason").isNull()).select(*EXPENSE_COLUMNS)
+    statements list a charge once per period), of the periods that pass ``keep``."""
+    p = positional_parse(pages_of(pages, keep), **kw).where(F.col("reject_reason").isNull()).select(*EXPENSE_COLUMNS)
     return p.dropDuplicates() if dedupe else p
 
 
@@ -413,7 +415,7 @@ def adjusted_expenses(
 
 
 __all__ = [
-    "page_lines", "outline_parse", "outline_expenses", "outline_rejects", "document_lines", "section_bounds",
+    "page_lines", "outline_parse", "outline_expenses", "outline_rejects", "section_bounds",
     "positional_parse", "positional_expenses", "positional_rejects", "layout2_lead_lines", "swap_label_item",
     "adjusted_expenses",
     "join_words",

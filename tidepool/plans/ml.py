@@ -223,7 +223,7 @@ def img_rejects(spark, sf):
 def embedding_pixels(spark, sf):
     """Pixel table ``(origin, y, x, r, g, b)`` derived from ``embeddings``."""
     e = read_table(spark, sf, "embeddings")
-    e = row_number_by_key(e, "label", ["vec_id"], chunk=F.floor(F.col("vec_id") / 4096), out="_rn")
+    e = row_number_by_key(e, "label", ["vec_id"], out="_rn")
     px = e.select(
         F.concat(F.lit("embeddings/label-"), F.col("label").cast("string")).alias("origin"),
         (F.col("_rn") - 1).cast("int").alias("y"),

@@ -114,12 +114,10 @@ def obs_avg_temperature(spark, sf):
 @register(
     "obs_max_wind_change",
     f"""
-    WITH ranked AS (
-      SELECT station_id, wind_speed,
-             ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY observation_timestamp, station_name) AS row_num
-      FROM ({_CLEAN_SQL}))
-    SELECT MAX(ABS(a.wind_speed - b.wind_speed)) AS max_wind_speed_change
-    FROM ranked a JOIN ranked b ON a.station_id = b.station_id AND a.row_num = b.row_num + 1
+    SELECT MAX(ABS(wind_speed - earlier)) AS max_wind_speed_change
+    FROM (SELECT wind_speed, any_value(wind_speed) OVER (PARTITION BY station_id ORDER BY observation_timestamp, station_name
+                                                         ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS earlier
+          FROM ({_CLEAN_SQL}))
     """,
 )
 def obs_max_wind_change(spark, sf):

@@ -38,40 +38,32 @@ def _t(spark: SparkSession, sf: str, name: str):
 @register(
     "win_consecutive_change",
     """
-    WITH ranked AS (
-      SELECT user_id AS station_id, value,
-             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS row_num
-      FROM events),
-    changes AS (
-      SELECT ABS(a.value - b.value) AS change
-      FROM ranked a JOIN ranked b
-        ON a.station_id = b.station_id AND a.row_num = b.row_num + 1)
-    SELECT MAX(change) AS max_value_change FROM changes
+    SELECT MAX(ABS(value - earlier)) AS max_value_change
+    FROM (SELECT value, any_value(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS earlier
+          FROM events WHERE user_id IS NOT NULL)
     """,
 )
 def win_consecutive_change(spark, sf):
     ev = _t(spark, sf, "events")
     return W.max_consecutive_change(
-        ev, "user_id", ["ts", "event_id"], "value", W.day_chunk("ts"), out="max_value_change"
+        ev, "user_id", ["ts", "event_id"], "value", out="max_value_change"
     )
 
 
 @register(
     "win_max_change_per_key",
     """
-    WITH ranked AS (
-      SELECT user_id, value,
-             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS row_num
-      FROM events)
-    SELECT a.user_id, MAX(ABS(a.value - b.value)) AS max_value_change
-    FROM ranked a JOIN ranked b ON a.user_id = b.user_id AND a.row_num = b.row_num + 1
-    GROUP BY a.user_id
+    SELECT user_id, MAX(ABS(value - earlier)) AS max_value_change
+    FROM (SELECT user_id, value, COUNT(*) OVER earlier_one AS has_earlier, any_value(value) OVER earlier_one AS earlier
+          FROM events WHERE user_id IS NOT NULL
+          WINDOW earlier_one AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING))
+    WHERE has_earlier > 0 GROUP BY user_id
     """,
 )
 def win_max_change_per_key(spark, sf):
     ev = _t(spark, sf, "events")
     return W.max_consecutive_change(
-        ev, "user_id", ["ts", "event_id"], "value", W.day_chunk("ts"), out="max_value_change", per_key=True
+        ev, "user_id", ["ts", "event_id"], "value", out="max_value_change", per_key=True
     )
 
 
@@ -84,10 +76,17 @@ def win_max_change_per_key(spark, sf):
     """,
 )
 def win_row_number(spark, sf):
-    ev = _t(spark, sf, "events")
-    return W.row_number_by_key(ev, "user_id", ["ts", "event_id"], W.day_chunk("ts")).select(
-        "event_id", "user_id", "row_num"
-    )
+    ev = _t(spark, sf, "events").select("event_id", "user_id", "ts")
+    return W.row_number_by_key(ev, "user_id", ["ts", "event_id"]).select("event_id", "user_id", "row_num")
+
+
+@register(
+    "win_global_row_number",
+    "SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS row_num FROM orders",
+)
+def win_global_row_number(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return W.global_row_number(o, [F.desc("o_totalprice"), F.asc("o_orderkey")]).select("o_orderkey", "row_num")
 
 
 @register(
@@ -100,8 +99,8 @@ def win_row_number(spark, sf):
     """,
 )
 def win_bucket_rows(spark, sf):
-    ev = _t(spark, sf, "events")
-    rn = W.row_number_by_key(ev, "user_id", ["ts", "event_id"], W.day_chunk("ts"))
+    ev = _t(spark, sf, "events").select("event_id", "user_id", "ts")
+    rn = W.row_number_by_key(ev, "user_id", ["ts", "event_id"])
     return W.bucket_rows(rn, "row_num", 10).select("event_id", "user_id", "row_group")
 
 
@@ -117,8 +116,7 @@ def win_bucket_rows(spark, sf):
 def win_carry_forward(spark, sf):
     cv = _t(spark, sf, "conversations")
     out = W.carry_forward(
-        cv, "conv_id", ["turn"], F.when(F.col("role") == "user", F.col("turn")), "last_user_turn",
-        chunk=F.floor(F.col("turn") / 64),
+        cv.select("conv_id", "turn", "role"), "conv_id", ["turn"], F.when(F.col("role") == "user", F.col("turn")), "last_user_turn",
     )
     return out.select("conv_id", "turn", "last_user_turn")
 

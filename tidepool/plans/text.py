@@ -380,8 +380,9 @@ def report_adjusted_expenses(spark, sf):
     named = F.col("concepto_secundario") != F.col("item")
     e3 = ST.outline_expenses(outline_pages(spark, sf), min_period="1998-01-01", dedupe=True).where(named)
     e3 = SH.relabel(e3, "concepto_secundario", {"Part 1": "Parte Uno"})
-    e2 = ST.positional_expenses(positional_pages(spark, sf)).where(F.col("periodo") == F.lit("1997-12-01").cast("date"))
-    second = positional_pages(spark, sf, layout=2)
-    e1 = ST.positional_expenses(second, lead_lines=ST.layout2_lead_lines(), number_required=False)
-    e1 = ST.swap_label_item(e1.where((F.col("periodo") < F.lit("1997-12-01").cast("date")) & named), "Supplier 4", "Riego")
+    period, change = F.col("periodo"), F.lit("1997-12-01").cast("date")
+    e2 = ST.positional_expenses(positional_pages(spark, sf), keep=period == change)
+    e1 = ST.positional_expenses(positional_pages(spark, sf, layout=2), keep=period < change,
+                                lead_lines=ST.layout2_lead_lines(), number_required=False)
+    e1 = ST.swap_label_item(e1.where(named), "Supplier 4", "Riego")
     return ST.adjusted_expenses([e3, e2, e1], _RELABEL, ["Supplier 3"])

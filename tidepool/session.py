@@ -83,9 +83,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tidepool/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local file system."""
-    return path[5:] if path.startswith("file:") else path
+def landed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared checkpoint root and read it back.
+
+    Cuts the lineage with files every executor sees, so a lost executor never
+    forces what came before to run again.
+    """
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
