@@ -321,47 +321,6 @@ def test_rows_without_id_are_drawn_one_by_one(spark, monkeypatch):
 
 # --- LM scoring -------------------------------------------------------------------------------------------------------
 
-def brute_loss(texts):
-    """Witten-Bell byte trigrams from their definition."""
-    tri, pair, one = Counter(), Counter(), Counter()
-    for t in texts:
-        b = b"\0\0" + t
-        for i in range(2, len(b)):
-            tri[b[i - 2:i + 1]] += 1
-            pair[b[i - 1:i + 1]] += 1
-            one[b[i]] += 1
-
-    def p(c, counts, back):
-        n = sum(v for g, v in counts.items() if g[:-1] == c[:-1])
-        kinds = sum(g[:-1] == c[:-1] for g in counts)
-        return (counts[c] + kinds * back) / (n + kinds) if n else back
-
-    def loss(t):
-        b = b"\0\0" + t
-        return -sum(math.log(p(b[i - 2:i + 1], tri, p(b[i - 1:i + 1], pair, (one[b[i]] + 1) / (one.total() + 256))))
-                    for i in range(2, len(b))) / len(t)
-
-    return loss
-
-
-def test_cross_entropy_difference(spark, empty):
-    texts = ["abra cadabra", "abra", "été ab", "", None, "zzzz", "abra"]
-    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "null")], "doc_id long, text string")
-    target = spark.createDataFrame([(0,), (2,), (None,), (0,)], "target_id long")
-    blob = [(t or "").encode() for t in texts]
-    t_loss, b_loss = brute_loss([blob[0], blob[2]]), brute_loss([*blob, b"null"])
-    for r in lmscore.cross_entropy_difference(spark, docs, target).collect():
-        b = b"null" if r["doc_id"] is None else blob[r["doc_id"]]
-        assert r["n_tokens"] == len(b)
-        if not b:
-            assert r["score"] is None
-        else:
-            assert math.isclose(r["target_loss"], t_loss(b), rel_tol=1e-4)
-            assert math.isclose(r["background_loss"], b_loss(b), rel_tol=1e-4)
-            assert math.isclose(r["score"], r["target_loss"] - r["background_loss"], abs_tol=1e-9)
-    assert lmscore.cross_entropy_difference(spark, empty, target).count() == 0
-
-
 def brute_pair_loss(rows, size):
     """Witten-Bell pairs of ids from their definition."""
     pair, one = Counter(), Counter()

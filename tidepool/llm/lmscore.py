@@ -1,54 +1,44 @@
 """Cross-entropy difference between two n-gram language models.
 
 A target model is counted over the documents of a target domain and a
-background model over all documents.  Both share one vocabulary and are
-smoothed alike (Witten-Bell, down to single tokens).  A document scores the
+background model over all documents.  Both share one vocabulary, that of a
+public byte-level tokenizer, so no text has an unknown token, and are smoothed
+alike (Witten-Bell, pairs of ids down to single ids).  A document scores the
 mean over its tokens of target loss minus background loss; lower is closer to
-the target.
+the target.  Target documents are scored by the model they were counted in, as
+part of the domain they define.
 
-``subword_difference`` counts pairs of ids of a public byte-level vocabulary,
-so no text has an unknown token.  The pairs are a landed table that grows with
-the corpus and is never broadcast or collected; only what has one row per id of
-the vocabulary is broadcast.  Texts are landed as blocks of ids; each block
-sends every pair it holds once to be counted and gets its two losses back by a
-join, so a frequent pair meets in one row per block, not per document.
-
-``cross_entropy_difference`` is the small model over byte trigrams.  All texts
-are counted whole: each task adds up its own trigrams and one row per trigram
-leaves it.  It has at most 2^24 rows, whatever the size of the corpus, which
-bounds what is broadcast.
+Texts are landed as blocks of ids.  A block sends the pairs it holds, each
+once, in one packed row per bucket of pairs.  The pairs' counts are a landed
+table that grows with the corpus and is never broadcast or collected (what has
+one row per id of the vocabulary is).  Bucket by bucket the losses of the
+model meet the blocks' packed pairs and go back as packed losses, which a block
+adds up per document.  A frequent pair meets in one place per block, not per
+document, and a bucket holds at most vocabulary^2 / ``BUCKETS`` pairs.
 
 Defined results: a NULL or empty text has no token and NULL losses; without
 target documents the target model is uniform; a NULL id is never a target;
 repeated rows are counted and scored each; an empty table gives no rows; other
-columns of the input are passed over.
+columns of the input are passed over.  A very long text is a block of its own
+(one row, at most Spark's 2 GiB).
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.bpe import encoder
+from tidepool.llm.bpe import ChunkEncoder, encoder
 from tidepool.llm.common import join_keys, landed, map_arrow, text_or_empty
 
-GRAMS = 1 << 24
-BYTES_PER_STEP = 4_000_000
 #: Characters of a block of texts; stands before the first id of a text.
 CHARS_PER_BLOCK = 4_000_000
 FRONT = (1 << 16) - 1
-
-
-def trigrams(text: bytes):
-    """Numbers of the trigrams that end at each byte; two zero bytes come first."""
-    whole = np.frombuffer(b"\0\0" + text, dtype=np.uint8)
-    for lo in range(0, len(text), BYTES_PER_STEP):
-        part = whole[lo:min(len(text), lo + BYTES_PER_STEP) + 2].astype(np.int32)
-        yield (part[:-2] << 16) | (part[1:-1] << 8) | part[2:]
+#: Buckets of pairs; pairs that a task adds up before it tells their counts.
+BUCKETS = 256
+PAIRS_AT_ONCE = 1_000_000
 
 
 def marked_rows(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -60,109 +50,18 @@ def marked_rows(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_col
         .select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
 
 
-def count_trigrams(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """Landed ``gram, target, background`` counts over all documents;
-    ``targets`` is a landed table with the column ``target_id``."""
-    rows = marked_rows(spark, docs, targets, id_col, text_col).select(F.col("text").cast("binary").alias("text"), "chosen")
-
-    def count(batches):
-        background, target = np.zeros(GRAMS, dtype=np.int32), np.zeros(GRAMS, dtype=np.int32)
-        seen = 0
-
-        def told():
-            used = np.flatnonzero(background)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array(target[used].astype(np.int64)),
-                 pa.array(background[used].astype(np.int64))], names=["gram", "target", "background"])
-
-        for batch in batches:
-            for text, chosen in zip(batch.column("text").to_pylist(), batch.column("chosen").to_pylist(), strict=True):
-                for grams in trigrams(text):
-                    np.add.at(background, grams, 1)
-                    if chosen:
-                        np.add.at(target, grams, 1)
-                seen += len(text)
-                if seen > 1_000_000_000:  # long before a counter is full
-                    yield told()
-                    background[:], target[:], seen = 0, 0, 0
-        yield told()
-
-    parts = map_arrow(rows, count, "gram int, target long, background long")
-    return landed(spark, parts.groupBy("gram").agg(F.sum("target").alias("target"),
-                                                   F.sum("background").alias("background")), "lm-counts")
-
-
-def log_table(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Log probability of the last byte of every trigram, Witten-Bell smoothed."""
-    held = counts > 0
-    grams, counts = grams[held], counts[held].astype(np.float64)
-    last, two, context = grams & 255, grams & 65535, grams >> 8
-    one = np.bincount(last, counts, 256)
-    p1 = (one + 1) / (one.sum() + 256)
-    pairs = np.bincount(two, counts, 65536).reshape(256, 256)
-    kinds, sums = (pairs > 0).sum(axis=1), pairs.sum(axis=1)
-    back = np.where(kinds, kinds / np.maximum(1, kinds + sums), 1.0)
-    p2 = pairs / np.maximum(1, kinds + sums)[:, None] + back[:, None] * p1[None, :]
-    sums3, kinds3 = np.bincount(context, counts, 65536), np.bincount(context, minlength=65536)
-    back3 = np.where(kinds3, kinds3 / np.maximum(1, kinds3 + sums3), 1.0).reshape(256, 256)
-    table = (back3[:, :, None].astype(np.float32) * p2[None, :, :].astype(np.float32)).reshape(-1)
-    table[grams] += (counts / (kinds3 + sums3)[context]).astype(np.float32)
-    return np.log(table, out=table)
-
-
-_TABLES: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _tables(name: str, counts) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of the model at hand, kept by the Python worker for its further tasks."""
-    if name not in _TABLES:
-        _TABLES.clear()
-        grams, target, background = counts
-        _TABLES[name] = log_table(grams, target), log_table(grams, background)
-    return _TABLES[name]
-
-
-def cross_entropy_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
-                             text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, target_loss, background_loss, score``."""
-    counted = count_trigrams(spark, docs, targets, id_col, text_col).orderBy("gram").toArrow()
-    grams, target, background = (counted.column(c).to_numpy() for c in ("gram", "target", "background"))
-    model, name = spark.sparkContext.broadcast((grams, target, background)), uuid.uuid4().hex
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def score(batches):
-        tables = _tables(name, model.value)
-        for batch in batches:
-            loss = np.zeros((2, batch.num_rows))
-            sizes = np.zeros(batch.num_rows, dtype=np.int64)
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                sizes[k] = len(text)
-                for part in trigrams(text):
-                    for m in (0, 1):
-                        loss[m, k] -= tables[m][part].sum(dtype=np.float64)
-            empty = sizes == 0
-            mean = loss / np.maximum(1, sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(mean[0], mask=empty),
-                 pa.array(mean[1], mask=empty), pa.array(mean[0] - mean[1], mask=empty)],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return map_arrow(rows, score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double")
-
-
 def token_blocks(spark: SparkSession, docs: DataFrame, targets: DataFrame, tokenizer: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Landed ``block, doc_ids, chosen, sizes, ids``: each row holds the ids of some
-    documents one after the other as unsigned 16-bit binary."""
+    documents one after the other as unsigned 16-bit binary.  The task's memory of
+    chunks goes with the task, as the stages after it need none."""
     rows = marked_rows(spark, docs, targets, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def write(batches):
         from pyspark import TaskContext
 
-        tok, block = encoder(tokenizer), TaskContext.get().partitionId() << 32
+        tok, block = ChunkEncoder(tokenizer), TaskContext.get().partitionId() << 32
         if tok.size > FRONT:
             raise ValueError(f"more than {FRONT} ids")
         for batch in batches:
@@ -194,28 +93,76 @@ def pairs(ids: bytes, sizes: np.ndarray) -> np.ndarray:
     return before << 16 | ids
 
 
+def bucket_of(grams: np.ndarray) -> np.ndarray:
+    """Bucket of each pair, as ``bucket_of_column``."""
+    return ((grams >> 16) * 40503 + (grams & FRONT) * 9973) % BUCKETS
+
+
+def bucket_of_column(gram: Column) -> Column:
+    return (F.shiftright(gram, 16) * 40503 + gram.bitwiseAND(FRONT) * 9973) % BUCKETS
+
+
+def bucketed(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs by bucket and number, the end of each bucket, and the place of every pair given."""
+    every, number = np.unique(grams, return_inverse=True)
+    bucket = bucket_of(every)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(every), dtype=np.int64)
+    place[order] = np.arange(len(every))
+    return every[order], np.cumsum(np.bincount(bucket, minlength=BUCKETS)), place[number]
+
+
 def block_pairs(spark: SparkSession, blocks: DataFrame) -> DataFrame:
-    """Landed ``block, gram, target, background``: each block's distinct pairs and their counts."""
+    """Landed ``block, bucket, grams, target, background``: each block's distinct pairs
+    (64-bit) and their counts (32-bit), packed in one row per bucket."""
 
     def count(batches):
         for batch in batches:
-            for block, chosen, sizes, ids in zip(*(batch.column(c).to_pylist() for c in ("block", "chosen", "sizes", "ids")),
-                                                 strict=True):
-                sizes = np.array(sizes, dtype=np.int64)
-                grams = pairs(ids, sizes)
-                every, background = np.unique(grams, return_counts=True)
-                own, n = np.unique(grams[np.repeat(np.array(chosen, dtype=bool), sizes)], return_counts=True)
-                target = np.zeros_like(background)
-                target[np.searchsorted(every, own)] = n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(every), block)), pa.array(every), pa.array(target), pa.array(background)],
-                    names=["block", "gram", "target", "background"])
+            for block, chosen, sizes, ids in zip(*(batch.column(c) for c in ("block", "chosen", "sizes", "ids")), strict=True):
+                sizes = sizes.values.to_numpy()
+                grams = pairs(ids.as_py(), sizes)
+                every, ends, place = bucketed(grams)
+                background = np.bincount(place, minlength=len(every)).astype("<i4")
+                own = np.repeat(chosen.values.to_numpy(zero_copy_only=False), sizes)
+                target = np.bincount(place[own], minlength=len(every)).astype("<i4")
+                bounds = list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+                packed = [pa.array([x[lo:hi].tobytes() for lo, hi in bounds], pa.binary()) for x in (every.astype("<i8"), target, background)]
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * BUCKETS, pa.int64()), pa.array(np.arange(BUCKETS, dtype=np.int32)),
+                                                  *packed], names=["block", "bucket", "grams", "target", "background"])
 
     counted = map_arrow(blocks.select("block", "chosen", "sizes", "ids"), count,
-                        "block long, gram long, target long, background long")
+                        "block long, bucket int, grams binary, target binary, background binary")
     return landed(spark, counted, "lm-block-pairs")
 
 
+def pair_counts(spark: SparkSession, held: DataFrame) -> DataFrame:
+    """Landed ``gram, target, background`` over all blocks."""
+
+    def add_up(batches):
+        parts, n = [], 0
+
+        def told():
+            grams, target, background = (np.concatenate(x) for x in zip(*parts, strict=True))
+            every, number = np.unique(grams, return_inverse=True)
+            sums = [np.zeros(len(every), dtype=np.int64) for _ in range(2)]
+            for total, x in zip(sums, (target, background), strict=True):
+                np.add.at(total, number, x)
+            return pa.RecordBatch.from_arrays([pa.array(every), *map(pa.array, sums)], names=["gram", "target", "background"])
+
+        for batch in batches:
+            for grams, *counts in zip(*(batch.column(c).to_pylist() for c in ("grams", "target", "background")), strict=True):
+                parts.append([np.frombuffer(grams, dtype="<i8"), *(np.frombuffer(c, dtype="<i4") for c in counts)])
+                n += len(parts[-1][0])
+                if n >= PAIRS_AT_ONCE:
+                    yield told()
+                    parts, n = [], 0
+        if parts:
+            yield told()
+
+    added = map_arrow(held.select("grams", "target", "background"), add_up, "gram long, target long, background long")
+    return landed(spark, added.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "lm-pairs")
+
+
 def pair_losses(spark: SparkSession, counts: DataFrame, n_ids: int) -> DataFrame:
     """``gram, target_loss, background_loss`` of landed counts, Witten-Bell smoothed."""
     context, last = F.shiftright("gram", 16).alias("context"), F.col("gram").bitwiseAND(FRONT).alias("last")
@@ -242,37 +189,63 @@ def subword_difference(spark: SparkSession, docs: DataFrame, targets: DataFrame,
     """One row per document: ``doc_id, n_tokens, target_loss, background_loss, score``."""
     blocks = token_blocks(spark, docs, targets, tokenizer, id_col, text_col)
     held = block_pairs(spark, blocks)
-    counts = landed(spark, held.groupBy("gram").agg(F.sum("target").alias("target"),
-                                                    F.sum("background").alias("background")), "lm-pairs")
-    losses = held.select("block", "gram").join(pair_losses(spark, counts, encoder(tokenizer).size), "gram")
+    losses = pair_losses(spark, pair_counts(spark, held), encoder(tokenizer).size)
+    # in each bucket the model's pairs come first, in order, and then the blocks' packed pairs
+    model = losses.withColumn("bucket", bucket_of_column(F.col("gram")).cast("int"))
+    met = model.unionByName(held.select("bucket", "block", "grams"), allowMissingColumns=True) \
+        .repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first(), "gram") \
+        .select("bucket", "block", "gram", "target_loss", "background_loss", "grams")
+
+    def look_up(batches):
+        at, parts, table = None, [], None
+        for batch in batches:
+            bucket, known = batch.column("bucket").to_numpy(), batch.column("block").is_null().to_numpy(zero_copy_only=False)
+            starts = [0, *(np.flatnonzero((np.diff(bucket) != 0) | (np.diff(known) != 0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                if lo == hi:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                if bucket[lo] != at:
+                    at, parts, table = bucket[lo], [], None
+                if known[lo]:
+                    parts.append([part.column(c).to_numpy() for c in ("gram", "target_loss", "background_loss")])
+                    continue
+                if table is None:
+                    table, parts = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else None, []
+                found = []
+                for grams in part.column("grams").to_pylist():
+                    place = np.searchsorted(table[0], np.frombuffer(grams, dtype="<i8")) if grams else np.zeros(0, dtype=np.int64)
+                    found.append([table[m][place].tobytes() for m in (1, 2)] if grams else [b"", b""])
+                yield pa.RecordBatch.from_arrays([part.column("block"), part.column("bucket"), *(pa.array(list(x), pa.binary())
+                                                                                                for x in zip(*found, strict=True))],
+                                                 names=["block", "bucket", "target_loss", "background_loss"])
+
+    packed = map_arrow(met, look_up, "block long, bucket int, target_loss binary, background_loss binary")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    # the losses of a block come first, in order of the pair, and then its texts
+    # the packed losses of a block come first, in order of the bucket, and then its texts
     # (empty arrays, as Spark's Arrow writer takes time with the square of the rows where lists are NULL)
     none = [F.array().cast(blocks.schema[c].dataType).alias(c) for c in ("doc_ids", "sizes")]
-    rows = losses.select("*", *none).unionByName(blocks.select("block", "doc_ids", "sizes", "ids"), allowMissingColumns=True) \
-        .repartition("block").sortWithinPartitions("block", F.col("gram").asc_nulls_last())
+    rows = packed.select("*", *none).unionByName(blocks.select("block", "doc_ids", "sizes", "ids"), allowMissingColumns=True) \
+        .repartition("block").sortWithinPartitions("block", F.col("bucket").asc_nulls_last())
 
     def score(batches):
         known = []
         for batch in batches:
-            lo = 0
-            ends = np.flatnonzero(batch.column("gram").is_null().to_numpy(zero_copy_only=False)).tolist()
-            for end in [*ends, batch.num_rows]:
-                part = batch.slice(lo, end - lo)
-                known.append([part.column(c).to_numpy() for c in ("gram", "target_loss", "background_loss")])
-                if end == batch.num_rows:
-                    break
-                grams, *loss = (np.concatenate(x) for x in zip(*known, strict=True))
-                known, lo = [], end + 1
-                sizes = batch.column("sizes")[end].values.to_numpy()
-                at = np.searchsorted(grams, pairs(batch.column("ids")[end].as_py(), sizes))
+            ended = batch.column("bucket").is_null().to_numpy(zero_copy_only=False)
+            for k in range(batch.num_rows):
+                if not ended[k]:
+                    known.append([np.frombuffer(batch.column(c)[k].as_py(), dtype="<f8") for c in ("target_loss", "background_loss")])
+                    continue
+                loss, known = [np.concatenate(x) for x in zip(*known, strict=True)], []
+                sizes = batch.column("sizes")[k].values.to_numpy()
+                place = bucketed(pairs(batch.column("ids")[k].as_py(), sizes))[2]
                 empty, starts = sizes == 0, np.cumsum(sizes) - sizes
                 mean = np.zeros((2, len(sizes)))
-                if len(at):
+                if len(place):
                     for m in (0, 1):
-                        mean[m, ~empty] = np.add.reduceat(loss[m][at], starts[~empty]) / sizes[~empty]
+                        mean[m, ~empty] = np.add.reduceat(loss[m][place], starts[~empty]) / sizes[~empty]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_ids")[end].values, pa.array(sizes), pa.array(mean[0], mask=empty),
+                    [batch.column("doc_ids")[k].values, pa.array(sizes), pa.array(mean[0], mask=empty),
                      pa.array(mean[1], mask=empty), pa.array(mean[0] - mean[1], mask=empty)],
                     names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
