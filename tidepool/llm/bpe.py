@@ -30,7 +30,11 @@ CHARS_PER_STEP = 4_000_000
 class ChunkEncoder:
     """``encode(texts)`` equals the tokenizer's own ids, text by text."""
 
-    def __init__(self, path: str):
+    max_chunks: int | None = None
+    step_chars: int | None = None
+
+    def __init__(self, path: str, max_chunks: int | None = None, step_chars: int | None = None):
+        self.max_chunks, self.step_chars = max_chunks, step_chars
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
         from tokenizers import Tokenizer
 
@@ -49,11 +53,14 @@ class ChunkEncoder:
         self.hits = np.zeros(1 << 14, dtype=np.int32)
         self.used = 0
 
+    def _bound(self) -> int:
+        return self.max_chunks or MAX_CHUNKS
+
     def _shrink(self) -> None:
         """Keep the chunks met more than once, at most half the bound, the most frequent first."""
         n = len(self.code)
         hits = self.hits[:n]
-        least = max(2, int(np.partition(hits, n - MAX_CHUNKS // 2)[n - MAX_CHUNKS // 2]) + 1)
+        least = max(2, int(np.partition(hits, n - self._bound() // 2)[n - self._bound() // 2]) + 1)
         kept = np.flatnonzero(hits >= least)
         words = list(self.code)
         begin, length = self.start[kept], self.length[kept]
@@ -145,7 +152,7 @@ class ChunkEncoder:
         return np.concatenate(parts), counts
 
     def _step(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.code) > MAX_CHUNKS:
+        if len(self.code) > self._bound():
             self._shrink()
         known = len(self.code)
         at, counts = self._codes(texts)
@@ -168,7 +175,7 @@ class ChunkEncoder:
         for k, text in enumerate(texts):
             step.append(text)
             chars += len(text)
-            if chars >= CHARS_PER_STEP or k == len(texts) - 1:
+            if chars >= (self.step_chars or CHARS_PER_STEP) or k == len(texts) - 1:
                 ids, n = self._step(step)
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(n), end_id)

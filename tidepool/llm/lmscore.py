@@ -27,14 +27,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.bpe import ChunkEncoder, encoder
 from tidepool.llm.common import join_keys, landed, map_arrow, text_or_empty
 
+#: Chunks a task remembers for the time it cuts texts into ids, and characters it cuts at once.
+MAX_CHUNKS = 150_000
+CHARS_PER_STEP = 600_000
 #: Characters of a block of texts; stands before the first id of a text.
-CHARS_PER_BLOCK = 4_000_000
+CHARS_PER_BLOCK = 2_500_000
 FRONT = (1 << 16) - 1
 #: Buckets of pairs; pairs that a task adds up before it tells their counts.
 BUCKETS = 256
@@ -61,17 +65,15 @@ def token_blocks(spark: SparkSession, docs: DataFrame, targets: DataFrame, token
     def write(batches):
         from pyspark import TaskContext
 
-        tok, block = ChunkEncoder(tokenizer), TaskContext.get().partitionId() << 32
+        tok, block = ChunkEncoder(tokenizer, MAX_CHUNKS, CHARS_PER_STEP), TaskContext.get().partitionId() << 32
         if tok.size > FRONT:
             raise ValueError(f"more than {FRONT} ids")
         for batch in batches:
-            texts, lo = batch.column("text").to_pylist(), 0
-            while lo < len(texts):
-                hi, chars = lo, 0
-                while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= CHARS_PER_BLOCK):
-                    chars += len(texts[hi])
-                    hi += 1
-                ids, sizes = tok.encode(texts[lo:hi])
+            size, lo = pc.utf8_length(batch.column("text")).to_numpy(), 0
+            while lo < len(size):
+                # as many texts as a block has room for, one at least
+                hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:]), CHARS_PER_BLOCK, side="right")))
+                ids, sizes = tok.encode(batch.column("text").slice(lo, hi - lo).to_pylist())
                 whole = np.array([0, hi - lo], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block]), pa.ListArray.from_arrays(whole, batch.column("doc_id").slice(lo, hi - lo)),
