@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -302,7 +303,7 @@ def test_language_id(spark, docs, empty):
     got = docs.select("doc_id", "text", "lang", langid.predict(spark, model, F.col("text")).alias("p")).collect()
     for r in got:
         text = r["text"] or ""
-        assert (r["p"]["lang_pred"] == "und") == (not re.search(r"[^\W\d_]", text))
+        assert (r["p"]["lang_pred"] == "und") == (not any(map(str.isalpha, text))) == (r["p"]["per_letter"] is None)
         assert 0 <= r["p"]["score"] <= 1
     judged = [r for r in got if r["lang"] and r["doc_id"] % 5 == 0 and r["doc_id"] < 200]
     assert judged and all(r["p"]["lang_pred"] == r["lang"] for r in judged)
@@ -310,6 +311,44 @@ def test_language_id(spark, docs, empty):
     assert {r["p"]["lang_pred"] for r in docs.select(langid.predict(spark, none, F.col("text")).alias("p")).collect()} == {"und"}
 
 
+def test_letters_are_letters(spark):
+    model = langid.LanguageModel(["a", "b"], ["▁", "x"], np.full((2, 2), .5))
+    texts = ["½ ²", "Ⅷ ⑤", "_ 12 ٣", "", "a", "日", "\u0301", "ǅ ʰ ª"]
+    got = langid.Scorer(model)(texts)["lang_pred"].tolist()
+    assert got == ["a" if any(unicodedata.category(c)[0] == "L" for c in t) else "und" for t in texts]
+
+
+def test_long_words_and_pieces_are_summed_whole(monkeypatch):
+    rnd, pieces = random.Random(2), ["▁", "a", "b", "ab", "▁a", "bab", "aaaabbbbaaaab", "abababababababab"]
+    prob = np.array([[rnd.random() / 9 for _ in range(2)] for _ in pieces])
+    lattice, table = langid.Lattice(pieces, prob), dict(zip(pieces, prob, strict=True))
+
+    def brute(word):  # sums from the right, in logarithms
+        logs = [None] * len(word) + [np.zeros(2)]
+        for i in range(len(word) - 1, -1, -1):
+            logs[i] = np.logaddexp.reduce([np.log(table[word[i:j]] if word[i:j] in table else np.full(2, langid.OUTSIDE)) + logs[j]
+                                           for j in range(i + 1, len(word) + 1) if j == i + 1 or word[i:j] in table], axis=0)
+        return logs[0]
+
+    words = ["▁" + "".join(rnd.choice("ab") for _ in range(n)) for n in (14, 60, 60, 400)] + ["▁aaaabbbbaaaab", "▁" + "xay" * 30, "▁" + "z" * 200]
+    assert np.allclose(lattice.log_prob(words), [brute(w) for w in words])
+    plain = lattice.expected(words[:3], np.ones((3, 2)))
+    monkeypatch.setattr(langid, "TINY", 1e-20)
+    monkeypatch.setattr(langid, "LIFT", 1e20)
+    assert np.allclose(lattice.expected(words[:3], np.ones((3, 2))), plain)
+    assert np.allclose(lattice.log_prob(words), [brute(w) for w in words])
+    uses = lattice.expected(words, np.ones((len(words), 2)))
+    outside = sum(c not in "▁ab" for w in words for c in w)
+    assert np.allclose((uses * np.array([len(p) for p in pieces])[:, None]).sum(axis=0), sum(map(len, words)) - outside)
+    assert any(len(p) > 12 for p in langid.vocabulary(PIECES))
+
+
+def test_more_languages_than_the_bound(spark):
+    rows = [(i, f"{'abcdefgh'[i % 5]} word" * 3, "vwxyz"[i % 5]) for i in range(40)] + [(50, "a word", "v"), (51, "b word", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(spark, docs, PIECES, rounds=1, max_languages=2).languages == ["v", "w"]
+
+
 def test_rows_without_id_are_drawn_one_by_one(spark, monkeypatch):
     docs = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("en").alias("lang"),
                                     F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij").alias("text"))

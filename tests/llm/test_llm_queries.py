@@ -1,5 +1,7 @@
 """Registered queries against SQL and the pipeline against a brute-force run."""
 
+import random
+
 import duckdb
 import numpy as np
 import pytest
@@ -55,6 +57,38 @@ def test_pipeline_stages(spark):
     assert sum(r["length"] for r in e) == sum(len(ids_of(rows[i]["text"])) + 1 for i in least.values())
 
 
+def test_language_stage_keeps_labelled_and_drops_unlikely_texts(spark):
+    rnd = random.Random(7)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = [r["text"] for r in docs.where("lang IS NOT NULL AND length(text) > 300").orderBy("doc_id").limit(60).collect()]
+
+    def shuffled(text):
+        letters = [c for c in text if c.isalpha()]
+        rnd.shuffle(letters)
+        return "".join(letters.pop() if c.isalpha() else c for c in text)
+
+    odd = ["это русский текст о погоде и жизни в большом городе", "qzx wvk pfd ghj klm nrt " * 20, "deadbeef cafe babe " * 40, "½ ² Ⅷ", None, ""]
+    odd += [shuffled(t) for t in clean]
+    more = spark.createDataFrame([(10**6 + k, t, None, "odd", 0) for k, t in enumerate(odd)], docs.schema)
+    out = corpus_pipeline.language(spark, docs.unionByName(more), "")
+    kept = {r["doc_id"] for r in out.collect()}
+    assert out.columns == docs.columns
+    labelled = [r["doc_id"] for r in docs.where("lang IS NOT NULL").collect()]
+    assert sum(i in kept for i in labelled) >= 0.999 * len(labelled)
+    assert not [odd[k] for k in range(len(odd)) if 10**6 + k in kept]
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark):
+    from tests.llm.conftest import SCHEMA, odd_rows
+
+    for docs in (spark.createDataFrame(odd_rows(), SCHEMA), spark.createDataFrame([], SCHEMA)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "")
+            n = out.count()
+            assert (n > 0) == (docs.count() > 0), name
+            assert name == "packing" or out.columns == docs.columns
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF_SMALL).toPandas()
     assert set(out.columns) == {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}

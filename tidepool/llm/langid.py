@@ -11,24 +11,27 @@ sample of labelled rows (``sample_rows`` per language, picked by a hash of the
 id and the text).  The model has one row per piece and language: the vocabulary and
 ``max_languages`` bound what is collected and broadcast.
 
-Words are runs of letters in lower case, opened by the vocabulary's word mark.
-A run of more than 32 letters is scored as consecutive parts of 32.
+Words are runs of letters (Unicode category L) in lower case, opened by the
+vocabulary's word mark.  Sums of long words are lifted as they go, so that a
+word of any length is summed over all its segmentations; a very long text is
+one row, at most Spark's 2 GiB.
 
 Defined results: a NULL text, or one without letters, is ``und`` with score 0,
-as is every text if no labelled row exists.  Ties go to the language that comes first
+as is every text if no labelled row exists.  Of more than ``max_languages`` labels
+those with the most rows are learnt.  Ties go to the language that comes first
 by code point.  Rows with a NULL label train nothing; repeated rows count
 repeatedly; an empty table gives no rows.  Other columns are passed through.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,15 +39,22 @@ from tidepool.llm.common import landed, ship_package
 
 UNKNOWN = "und"
 MARK = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
-PART = 32
+#: Runs of letters in the sense of Unicode's general category L.
+LETTERS = regex.compile(r"\p{L}+")
 #: Labelled rows per language that the fit reads, rounds of the fit, most languages.
 SAMPLE_ROWS = 400
+#: Labelled rows per language by which the least likelihood of a language is set, the share of them that may lie
+#: below it, and how much further than that share's quantile it lies from the median.
+FLOOR_ROWS = 2_000
+FLOOR_SHARE, FLOOR_REACH = 0.001, 1.25
 ROUNDS = 3
 MAX_LANGUAGES = 200
-#: Longest piece in characters; probability of a letter outside the vocabulary.
-PIECE_CHARS = 10
+#: Probability of a letter outside the vocabulary.
 OUTSIDE = 1e-7
+#: A forward or backward sum below the first is lifted by a power of ten, which is kept as a logarithm.
+TINY, LIFT = 1e-100, 1e100
+#: Letters of words that are summed at once.
+LETTERS_AT_ONCE = 150_000
 #: Tokens whose scores a task remembers.
 MEMORY = 250_000
 
@@ -55,17 +65,12 @@ def vocabulary(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= PIECE_CHARS and (
-        p == MARK or (LETTERS.fullmatch(p.removeprefix(MARK)) is not None)))
+    return sorted(p for p in pieces if p == MARK or LETTERS.fullmatch(p.removeprefix(MARK)) is not None)
 
 
 def word_parts(token: str) -> list[str]:
-    """Marked words of a token; long runs in parts of 32 letters."""
-    parts = []
-    for run in LETTERS.findall(token.lower()):
-        run = MARK + run
-        parts += [run[k:k + PART] for k in range(0, len(run), PART)]
-    return parts
+    """Marked words of a token."""
+    return [MARK + run for run in LETTERS.findall(token.lower())]
 
 
 class Lattice:
@@ -108,28 +113,42 @@ class Lattice:
         found[1] = np.where(one == self.none, self.outside, one)
         return found
 
-    def _forward(self, found: dict[int, np.ndarray], m: int, size: int) -> np.ndarray:
-        alpha = np.zeros((size + 1, m, self.prob.shape[1]))
-        alpha[0] = 1.0
-        for end in range(1, size + 1):
+    def _sums(self, found: dict[int, np.ndarray], m: int, size: int, backward: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Forward sums at every end (or backward sums at every begin) of ``m`` words, and
+        the logarithms by which each was lifted.  The sums of the longest piece's reach
+        are always lifted alike, so they can be added up."""
+        sums, lifted = np.zeros((2, size + 1, m, self.prob.shape[1]))
+        reach = max(found)
+        sums[size if backward else 0] = 1.0
+        for k in range(1, size + 1):
+            at = size - k if backward else k
             for n, number in found.items():
-                if n <= end:
-                    alpha[end] += alpha[end - n] * self.prob[number[:, end - n]]
-        return alpha
+                if n <= k:
+                    sums[at] += (sums[at + n] * self.prob[number[:, at]] if backward
+                                 else sums[at - n] * self.prob[number[:, at - n]])
+            lifted[at] = lifted[at + 1 if backward else at - 1]
+            low = (sums[at] < TINY) & (sums[at] > 0)
+            if low.any():
+                near = slice(at, min(size, at + reach) + 1) if backward else slice(max(0, at - reach), at + 1)
+                sums[near] *= np.where(low, LIFT, 1.0)
+                lifted[near] = np.where(low, lifted[at] + np.log(LIFT), lifted[near])
+        return sums, lifted
 
     def _groups(self, words: list[str]):
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         every = np.array(words, dtype=object)
         for size in np.unique(sizes).tolist():
             at = np.flatnonzero(sizes == size)
-            for lo in range(0, len(at), 8_192):
-                yield size, at[lo:lo + 8_192], every[at[lo:lo + 8_192]].astype(f"<U{size}")
+            step = max(1, min(8_192, LETTERS_AT_ONCE // size))
+            for lo in range(0, len(at), step):
+                yield size, at[lo:lo + step], every[at[lo:lo + step]].astype(f"<U{size}")
 
     def log_prob(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         out = np.zeros((len(words), self.prob.shape[1]))
         for size, at, some in self._groups(words):
-            out[at] = np.log(self._forward(self._pieces(some, size), len(some), size)[size])
+            sums, lifted = self._sums(self._pieces(some, size), len(some), size)
+            out[at] = np.log(sums[size]) - lifted[size]
         return out
 
     def expected(self, words: list[str], weight: np.ndarray) -> np.ndarray:
@@ -138,19 +157,17 @@ class Lattice:
         uses = np.zeros_like(self.prob)
         for size, at, some in self._groups(words):
             found = self._pieces(some, size)
-            alpha = self._forward(found, len(some), size)
-            beta = np.zeros_like(alpha)
-            beta[size] = 1.0
-            for begin in range(size - 1, -1, -1):
-                for n, number in found.items():
-                    if begin + n <= size:
-                        beta[begin] += beta[begin + n] * self.prob[number[:, begin]]
-            share = weight[at] / alpha[size]
+            (alpha, up), (beta, down) = self._sums(found, len(some), size), self._sums(found, len(some), size, backward=True)
+            share, plain = weight[at] / alpha[size], not (up.any() or down.any())
             for begin in range(size):
                 for n, number in found.items():
                     if begin + n <= size:
-                        np.add.at(uses, number[:, begin], alpha[begin] * self.prob[number[:, begin]]
-                                  * beta[begin + n] * share)
+                        use = alpha[begin] * self.prob[number[:, begin]] * beta[begin + n]
+                        if not plain:  # the three may be far apart, their product isn't
+                            with np.errstate(divide="ignore"):
+                                use = np.exp(np.log(alpha[begin]) + np.log(self.prob[number[:, begin]]) + np.log(beta[begin + n])
+                                             - up[begin] - down[begin + n] + up[size])
+                        np.add.at(uses, number[:, begin], use * share)
         return uses[:self.outside]
 
 
@@ -161,25 +178,46 @@ class LanguageModel:
     prob: np.ndarray  # piece x language
 
 
+def labelled(docs: DataFrame, training: Column | None, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``id, text, lang`` of the rows that may teach."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                       (F.lit(True) if training is None else training).alias("training"))
+    return rows.where(F.col("training") & F.col("lang").isNotNull() & F.col("text").isNotNull()).drop("training")
+
+
+def drawn(rows: DataFrame, sizes: dict[str, int], per_language: int) -> DataFrame:
+    """About ``per_language`` rows of each language in ``sizes``, by a hash of id and text."""
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.col("text"), F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
+    return rows.where(draw < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
+
+
+def least_likelihoods(spark: SparkSession, docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
+                      lang_col: str = "lang", rows_per_language: int = FLOOR_ROWS) -> dict[str, float]:
+    """For each language the mean log probability per letter below which a text is
+    not taken for that language, from a bounded sample of its labelled rows."""
+    if not model.languages:
+        return {}
+    rows = labelled(docs, None, id_col, text_col, lang_col).where(F.col("lang").isin(model.languages))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    seen = drawn(rows, sizes, rows_per_language).select("lang", predict(spark, model, F.col("text")).alias("p"))
+    of = seen.where("p.per_letter IS NOT NULL").groupBy("lang").agg(F.percentile("p.per_letter", [FLOOR_SHARE, 0.5]).alias("q")).collect()
+    return {r["lang"]: r["q"][1] + FLOOR_REACH * (r["q"][0] - r["q"][1]) for r in of}
+
+
 def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Column | None = None,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Fit on the labelled rows for which ``training`` holds."""
     ship_package(spark)
     pieces = vocabulary(vocabulary_path)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
-                       (F.lit(True) if training is None else training).alias("training"))
-    rows = rows.where(F.col("training") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1)
-             .collect()}
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    rows = labelled(docs, training, id_col, text_col, lang_col)
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["n"] for r in most.collect()}
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], pieces, np.zeros((len(pieces), 0)))
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_rows / n))])
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.col("text"), F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(draw < share[F.col("lang")])
+    sample = drawn(rows, sizes, sample_rows)
 
     def split(batches):
         for pdf in batches:
@@ -223,6 +261,7 @@ class Scorer:
     def _forget(self) -> None:
         self.code: dict[str, int] = {}
         self.score = np.zeros((0, len(self.languages)))
+        self.letters = np.zeros(0, dtype=np.int64)
 
     def _learn(self, tokens: list[str]) -> np.ndarray:
         parts = [word_parts(t) for t in tokens]
@@ -234,7 +273,7 @@ class Scorer:
         np.add.at(out, owner, logs[[place[p] for ps in parts for p in ps]])
         return out
 
-    def _some(self, texts: list[str]) -> np.ndarray:
+    def _some(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.code) > MEMORY:
             self._forget()
         code, known, codes, counts = self.code, len(self.code), [], np.zeros(len(texts), dtype=np.int64)
@@ -245,37 +284,38 @@ class Scorer:
         if len(code) > known:
             fresh = list(islice(reversed(code), len(code) - known))[::-1]
             self.score = np.vstack([self.score, self._learn(fresh)])
-        total = np.zeros((len(texts), len(self.languages)))
+            self.letters = np.append(self.letters, [sum(map(len, LETTERS.findall(t))) for t in fresh])
+        total, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), dtype=np.int64)
         filled = np.flatnonzero(counts)
         if len(filled):
             starts = np.cumsum(counts)[filled] - counts[filled]
             total[filled] = np.add.reduceat(self.score[np.array(codes)], starts, axis=0)
-        return total
+            letters[filled] = np.add.reduceat(self.letters[np.array(codes)], starts)
+        return total, letters
 
     def __call__(self, texts: list[str | None]) -> pd.DataFrame:
-        langs, scores, step, chars = [], [], [], 0
+        langs, scores, means, step, chars = [], [], [], [], 0
         for k, text in enumerate(texts):
             step.append(text or "")
             chars += len(text or "")
             if chars >= 2_000_000 or k == len(texts) - 1:
-                for own, total in zip(step, self._some(step) if self.languages else step, strict=True):
-                    if not self.languages or not LETTERS.search(own):
-                        langs.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    best = int(np.argmax(total))
-                    langs.append(self.languages[best])
-                    scores.append(float(1.0 / np.exp(total - total[best]).sum()))
+                total, letters = self._some(step) if self.languages else (None, [0] * len(step))
+                for i, n in enumerate(letters):
+                    best = int(np.argmax(total[i])) if n else -1
+                    langs.append(self.languages[best] if n else UNKNOWN)
+                    scores.append(float(1.0 / np.exp(total[i] - total[i, best]).sum()) if n else 0.0)
+                    means.append(float(total[i, best] / n) if n else None)
                 step, chars = [], 0
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+        return pd.DataFrame({"lang_pred": langs, "score": scores, "per_letter": pd.Series(means, dtype=float)})
 
 
 def predict(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
-    """Struct of ``lang_pred`` and ``score`` for a text column."""
+    """Struct of ``lang_pred``, ``score`` and ``per_letter`` (mean log probability of
+    the predicted language per letter; NULL where there is none) for a text column."""
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, per_letter double")
     def score_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for series in batches:
