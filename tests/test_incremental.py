@@ -43,3 +43,24 @@ def test_stream_dedupe_with_a_bounded_state(spark):
     rows.unionByName(rows).write.parquet(f"{src}/d1")
     INC.stream_dedupe(spark, f"{src}/*", "k bigint, ts timestamp", ["k"], out, ckpt, event_time="ts", delay="1 day")
     assert spark.read.parquet(out).count() == 50
+
+
+def test_a_batch_run_twice_adds_nothing(spark):
+    """Batches write by their id, keep no state, and match NULL keys."""
+    out = scratch_path(spark, "s_merge")
+    first = spark.createDataFrame([(1, "a"), (1, "a"), (None, "n"), (2, "b")], "k int, v string")
+    second = spark.createDataFrame([(2, "again"), (None, "again"), (3, "c"), (3, "c2")], "k int, v string")
+    for batch, number in ((first, 0), (second, 1), (second, 1), (first, 0), (second, 2)):
+        INC.merge_batch(batch, number, ["k"], out)
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r["k"] is not None, r["k"] or 0) for r in rows) == [(False, 0), (True, 1), (True, 2), (True, 3)]
+    assert {r["batch"] for r in rows} == {0, 1}
+
+
+def test_stream_keeps_no_state(spark):
+    import os
+
+    src, out, ckpt = (scratch_path(spark, n) for n in ("s_src", "s_out", "s_ck"))
+    spark.range(20).selectExpr("id AS k").write.parquet(f"{src}/d1")
+    INC.stream_dedupe(spark, f"{src}/*", "k bigint", ["k"], out, ckpt)
+    assert spark.read.parquet(out).count() == 20 and not os.path.exists(f"{ckpt.removeprefix('file:')}/state")

@@ -102,3 +102,20 @@ def test_relabel_gives_one_answer_at_any_size(spark):
     large = small | {f"k{i}": str(i) for i in range(200)}
     for mapping in (small, large):
         assert [r["c"] for r in relabel(df, "c", mapping).collect()] == ["A", None, "z", None]
+
+
+def test_join_counts_of_a_key_with_billions_of_rows(spark):
+    """Products beyond a bigint's half are added up as decimals."""
+    from tidepool.operators import joins as J
+
+    a = spark.range(1).select(F.lit(1).alias("p")).union(spark.createDataFrame([(None,)], "p int"))
+    got = {r["join_type"]: r["count"] for r in J.join_type_counts(a, "p", a.withColumnRenamed("p", "q"), "q").collect()}
+    assert got == {"inner": 1, "left": 2, "right": 2, "full outer": 3}
+
+
+def test_segments_hold_the_whole_order(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), (-F.col("id")).alias("o"), "id")
+    got = A.collect_segments(df, "k", ["o"], "id", 7, "ids").collect()
+    assert max(len(r["ids"]) for r in got) == 7
+    whole = [i for r in sorted((r for r in got if r["k"] == 0), key=lambda r: r["segment"]) for i in r["ids"]]
+    assert whole == sorted((r["id"] for r in df.where("k = 0").collect()), reverse=True)

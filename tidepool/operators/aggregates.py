@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators.windows import row_number_by_key
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -39,6 +41,20 @@ def collect_ordered(
     return df.groupBy(*keys).agg(F.transform(arr, lambda s: s["v"]).alias(out))
 
 
+def collect_segments(
+    df: DataFrame, keys: str | Sequence[str], order: Sequence[str], value: str, size: int, out: str, segment: str = "segment"
+) -> DataFrame:
+    """Per group, the values in ``order`` as arrays of at most ``size``: one row per
+    (group, segment), numbered from 0, which together are the group's whole order.
+
+    Positions come from :func:`row_number_by_key`, so a group of any length is
+    spread over its segments and never meets in one row or task."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    placed = row_number_by_key(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, out="__tp_at")
+    parts = placed.withColumn(segment, F.floor((F.col("__tp_at") - 1) / size).cast("bigint"))
+    return collect_ordered(parts, [*keys, segment], "__tp_at", value, out)
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """``SELECT DISTINCT *``."""
     return df.distinct()

@@ -39,8 +39,9 @@ def standard_scale(df: DataFrame, input_col: str = "features", output_col: str =
 
 
 def fit_kmeans(df: DataFrame, k: int, seed: int = 0, features_col: str = "features",
-               prediction_col: str = "prediction", max_iter: int = 20) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=prediction_col, maxIter=max_iter).fit(df)
+               prediction_col: str = "prediction", max_iter: int = 20, weight_col: str | None = None) -> KMeansModel:
+    km = KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=prediction_col, maxIter=max_iter)
+    return (km.setWeightCol(weight_col) if weight_col else km).fit(df)
 
 
 def kmeans(df: DataFrame, k: int, seed: int = 0, features_col: str = "features",

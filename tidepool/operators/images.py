@@ -9,11 +9,14 @@ encoding is spread over all tasks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.clustering import assemble, centers, kmeans
+from tidepool.operators.clustering import assemble, centers, fit_kmeans
+from tidepool.session import landed
 
 
 #: Bytes of a pixel that the decoder knows: grey, BGR, BGRA.
@@ -67,8 +70,24 @@ def pixel_features(pixels: DataFrame, out: str = "features") -> DataFrame:
 
 
 def cluster_pixels(pixels: DataFrame, k: int = 5, seed: int = 1, cluster_col: str = "cluster") -> tuple[KMeansModel, DataFrame]:
-    """KMeans over pixel colours; returns ``(model, pixels + cluster)``."""
-    return kmeans(pixel_features(pixels), k, seed, "features", cluster_col)
+    """KMeans over pixel colours; returns ``(model, pixels + cluster)``.
+
+    The fit reads each colour once, weighted by its number of pixels: at most
+    2^24 rows, whatever the images.  Every pixel then takes its nearest centre
+    in its own row."""
+    colours = landed(pixels.sparkSession, pixels.groupBy("r", "g", "b").agg(F.count("*").cast("double").alias("weight")), "colours")
+    model = fit_kmeans(pixel_features(colours), k, seed, "features", cluster_col, weight_col="weight")
+    return model, model.transform(pixel_features(pixels))
+
+
+def recolor_by_centers(pixels: DataFrame, centers: Sequence[Sequence[float]]) -> DataFrame:
+    """Each pixel takes the colour of the nearest given centre (the first on ties),
+    truncated toward zero."""
+    ctr = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
+    gap = F.transform(ctr, lambda c: sum((F.col(p).cast("double") - F.get(c, i)) * (F.col(p).cast("double") - F.get(c, i))
+                                         for i, p in enumerate(("r", "g", "b"))))
+    placed = pixels.withColumn("_gap", gap).withColumn("cluster", (F.array_position("_gap", F.array_min("_gap")) - 1).cast("int"))
+    return placed.select("origin", "y", "x", "cluster", F.transform(F.get(ctr, F.col("cluster")), lambda v: v.cast("int")).alias("new_pixel"))
 
 
 def recolor(spark: SparkSession, clustered: DataFrame, model: KMeansModel, cluster_col: str = "cluster") -> DataFrame:

@@ -27,7 +27,8 @@ def join_type_counts(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> Data
     unmatched keys (NULL keys never match, so they count as unmatched).
     Both sides are pre-aggregated before the shuffle, so a hot key that holds
     a third of the rows is one row, and the pair explosion of duplicate keys
-    is never built.
+    is never built.  The products are added up as decimals; only a total beyond
+    a bigint is an error, as ``COUNT(*)`` of that join would be.
     """
     ka = a.groupBy(F.col(a_key).alias("_k")).agg(F.count(F.lit(1)).alias("_ca"))
     kb = b.groupBy(F.col(b_key).alias("_k")).agg(F.count(F.lit(1)).alias("_cb"))
@@ -36,7 +37,7 @@ def join_type_counts(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> Data
     ca, cb = F.coalesce(F.col("_ca"), F.lit(0)), F.coalesce(F.col("_cb"), F.lit(0))
     matched = F.col("_ca").isNotNull() & F.col("_cb").isNotNull()
     sums = m.agg(
-        F.sum(F.when(matched, ca * cb).otherwise(0)).alias("inner"),
+        F.sum(F.when(matched, ca.cast("decimal(38,0)") * cb).otherwise(0)).alias("inner"),
         F.sum(F.when(~matched, ca).otherwise(0)).alias("a_only"),
         F.sum(F.when(~matched, cb).otherwise(0)).alias("b_only"),
     )

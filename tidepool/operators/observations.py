@@ -38,6 +38,16 @@ def features(raw: DataFrame, value: str = "value") -> DataFrame:
     return raw.select(F.explode(arr).alias("feature"))
 
 
+def document_rejects(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Documents that give no feature rows, ``value, reason``: text that is no JSON,
+    and JSON whose ``features`` is no readable array.  An empty array is no reject."""
+    listed = F.from_json(F.get_json_object(F.col(value), "$.features"), FEATURE_SCHEMA)
+    reason = (F.when(F.col(value).isNull(), F.lit("no document"))
+              .when(F.try_parse_json(value).isNull(), F.lit("malformed JSON"))
+              .when(listed.isNull(), F.lit("no features array")))
+    return raw.select(F.col(value).alias("value"), reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def clean_observations(raw: DataFrame, value: str = "value", timezone: str = "UTC") -> DataFrame:
     """Typed observation rows; features without a station are dropped.
     Readings are rounded to 2 decimals (half-up); coordinates are read with

@@ -70,6 +70,36 @@ def src_csv_infer(spark, sf):
     return FS.read_csv_typed(spark, path, sep=";")
 
 
+@register(
+    "src_csv_rejects",
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) || ';' || CAST(l_linenumber AS VARCHAR) || CASE WHEN l_orderkey % 50 = 0 THEN ';n/a' ELSE '' END AS line,
+           CASE WHEN l_orderkey % 50 = 0 THEN 'value of another type' ELSE 'other number of fields' END AS reason
+    FROM lineitem WHERE l_orderkey % 50 IN (0, 1)
+    """,
+)
+def src_csv_rejects(spark, sf):
+    return _spoiled_csv(spark, sf)[1]
+
+
+@register(
+    "src_csv_rescued",
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 50 > 1",
+)
+def src_csv_rescued(spark, sf):
+    return _spoiled_csv(spark, sf)[0]
+
+
+def _spoiled_csv(spark, sf):
+    """Lines of ``lineitem`` as CSV; some have a value of another type, some lack a field."""
+    path, key = scratch_path(spark, "csv_spoiled"), F.col("l_orderkey")
+    li = read_table(spark, sf, "lineitem").select(F.concat_ws(
+        ";", "l_orderkey", "l_linenumber",
+        F.when(key % 50 == 0, F.lit("n/a")).when(key % 50 != 1, F.col("l_quantity").cast("string"))).alias("value"))
+    T.write_path(li, path, fmt="text")
+    return FS.read_csv_rescue(spark, path, "l_orderkey bigint, l_linenumber int, l_quantity double", header=False)
+
+
 @register(
     "src_csv_folder_views",
     """

@@ -288,6 +288,25 @@ def img_recolor(spark, sf):
     return I.recolor(spark, clustered, model)
 
 
+_CENTERS = [[40.5, 200.0, 32.0], [128.9, 127.0, 128.0], [128.9, 127.0, 220.2], [210.0, 45.5, 60.0], [90.0, 165.0, 250.0]]
+
+
+@register(
+    "img_recolor_given",
+    f"""
+    WITH c AS (SELECT * FROM (VALUES {', '.join(f'({i}, {r}::DOUBLE, {g}::DOUBLE, {b}::DOUBLE)' for i, (r, g, b) in enumerate(_CENTERS))}) AS t(cluster, cr, cg, cb)),
+    d AS (SELECT origin, y, x, cluster, cr, cg, cb, (r - cr) * (r - cr) + (g - cg) * (g - cg) + (b - cb) * (b - cb) AS gap
+          FROM ({_PIXELS_SQL}), c)
+    SELECT origin, y, x, CAST(cluster AS INTEGER) AS cluster, CAST(trunc(cr) AS INTEGER) AS new_r, CAST(trunc(cg) AS INTEGER) AS new_g,
+           CAST(trunc(cb) AS INTEGER) AS new_b
+    FROM d QUALIFY row_number() OVER (PARTITION BY origin, y, x ORDER BY gap, cluster) = 1
+    """,
+)
+def img_recolor_given(spark, sf):
+    out = I.recolor_by_centers(embedding_pixels(spark, sf), _CENTERS)
+    return out.select("origin", "y", "x", "cluster", *[F.get("new_pixel", i).alias(f"new_{c}") for i, c in enumerate("rgb")])
+
+
 @register("img_recolor_size_check", _SIZES_SQL)
 def img_recolor_size_check(spark, sf):
     px = embedding_pixels(spark, sf)

@@ -86,6 +86,22 @@ def json_observations(spark, sf):
     return _clean(spark, sf)
 
 
+@register(
+    "json_rejects",
+    """
+    SELECT event_id // 100 AS doc, CASE WHEN event_id // 100 % 5 = 0 THEN 'malformed JSON' ELSE 'no features array' END AS reason
+    FROM events WHERE event_id // 100 % 5 < 2 GROUP BY ALL
+    """,
+)
+def json_rejects(spark, sf):
+    """Every fifth document cut off in the middle, every fifth without its features."""
+    raw = read_json_documents(spark, observation_documents(spark, sf))
+    doc = F.regexp_extract("value", '"doc":(\\d+)', 1).cast("bigint")
+    spoiled = raw.select(F.when(doc % 5 == 0, F.expr("left(value, length(value) - 9)"))
+                         .when(doc % 5 == 1, F.replace("value", F.lit('"features"'), F.lit('"feature"'))).otherwise(F.col("value")).alias("value"))
+    return O.document_rejects(spoiled).select(doc.alias("doc"), "reason")
+
+
 @register(
     "agg_distinct_observations",
     f"SELECT DISTINCT station_id, wind_speed FROM ({_CLEAN_SQL})",
@@ -141,7 +157,8 @@ def inc_append_new_only(spark, sf):
         "o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice").alias("o_totalprice")
     )
     name = f"tp_inc_{uuid.uuid4().hex[:8]}"
-    INC.create_keyed_table(o.where(F.col("o_orderstatus") == "F"), name, ["o_orderkey"], 8, scratch_path(spark, name))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    INC.create_keyed_table(o.where(F.col("o_orderstatus") == "F"), name, ["o_orderkey"], buckets, scratch_path(spark, name))
     batch = o.unionByName(o.where(F.col("o_orderstatus") == "O"))  # re-delivered rows inside the batch
     INC.append_new_only(spark, batch, name, ["o_orderkey"])
     INC.append_new_only(spark, batch, name, ["o_orderkey"])  # re-run: appends nothing

@@ -394,6 +394,52 @@ def join_type_counts_orders(spark, sf):
     return J.join_type_counts(a, "o_custkey", b, "c_custkey")
 
 
+@register(
+    "join_type_counts_null_keys",
+    """
+    WITH p AS (SELECT CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey END AS k FROM orders),
+         q AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey END AS k FROM customer)
+    SELECT 'inner' AS join_type, COUNT(*) AS count FROM p INNER JOIN q ON p.k = q.k
+    UNION ALL SELECT 'left', COUNT(*) FROM p LEFT JOIN q ON p.k = q.k
+    UNION ALL SELECT 'right', COUNT(*) FROM p RIGHT JOIN q ON p.k = q.k
+    UNION ALL SELECT 'full outer', COUNT(*) FROM p FULL OUTER JOIN q ON p.k = q.k
+    """,
+)
+def join_type_counts_null_keys(spark, sf):
+    p = _t(spark, sf, "orders").select(F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("p_key"))
+    q = _t(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("q_key"))
+    return J.join_type_counts(p, "p_key", q, "q_key")
+
+
+@register(
+    "join_right_outer",
+    """
+    SELECT o.o_orderkey, c.c_custkey, c.c_mktsegment
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS k FROM orders WHERE o_orderstatus = 'P') o
+    RIGHT JOIN (SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END AS c_custkey, c_mktsegment FROM customer) c ON o.k = c.c_custkey
+    """,
+)
+def join_right_outer(spark, sf):
+    o = _t(spark, sf, "orders").where(F.col("o_orderstatus") == "P")
+    o = o.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("k"))
+    c = _t(spark, sf, "customer").select(F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey")).alias("c_custkey"), "c_mktsegment")
+    return o.join(c, o["k"] == c["c_custkey"], "right").select("o_orderkey", "c_custkey", "c_mktsegment")
+
+
+@register(
+    "agg_collect_segments",
+    """
+    SELECT user_id, CAST((row_num - 1) // 16 AS BIGINT) AS segment, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY row_num) AS event_ids
+    FROM (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS row_num FROM events)
+    GROUP BY user_id, (row_num - 1) // 16
+    """,
+)
+def agg_collect_segments(spark, sf):
+    ev = _t(spark, sf, "events").select("user_id", "ts", "event_id")
+    parts = A.collect_segments(ev, "user_id", ["ts", "event_id"], "event_id", 16, "ids")
+    return parts.select("user_id", "segment", F.array_join(F.col("ids").cast("array<string>"), ",").alias("event_ids"))
+
+
 @register(
     "join_inner",
     """

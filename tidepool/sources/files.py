@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidepool.functions.strings import file_name, file_stem
+from tidepool.session import landed
 
 
 def read_csv_header(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -35,6 +36,24 @@ def read_csv_typed(
     return r.option("inferSchema", "true").option("samplingRatio", sampling_ratio).csv(path)
 
 
+def read_csv_rescue(spark: SparkSession, path: str, schema: str, sep: str = ";", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """CSV with types: the good rows, and a reject table ``line, reason``.
+
+    A line with a value that its type can't hold, or with another number of
+    fields than the schema, goes whole into the reject table; no good row is
+    lost and nothing is raised.
+    """
+    line = "__tp_line"
+    rows = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", line).schema(f"{schema}, {line} string").csv(path))
+    rows = landed(spark, rows, "csv_parsed")  # parsed once for both results
+    fields = [f.name for f in rows.schema.fields if f.name != line]
+    count = F.size(F.split(F.col(line), re.escape(sep), -1))
+    reason = F.when(count != len(fields), F.lit("other number of fields")).otherwise(F.lit("value of another type"))
+    return (rows.where(F.col(line).isNull()).select(*fields),
+            rows.where(F.col(line).isNotNull()).select(F.col(line).alias("line"), reason.alias("reason")))
+
+
 def list_files(
     spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False
 ) -> DataFrame:

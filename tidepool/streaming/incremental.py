@@ -8,17 +8,16 @@ duplicates":
   same batch twice appends nothing the second time.  When the target is
   bucketed on the key (:func:`create_keyed_table`), the anti-join reads the
   target without shuffling it; only the (small) batch is shuffled.
-* **streaming** (:func:`stream_dedupe`): a file-source stream with
-  ``dropDuplicates`` on the key, run with ``trigger(availableNow=True)``: each
-  run processes only files not seen by the checkpoint, and the keys seen so
-  far, held as state, drop re-delivered records.  A record that was never seen
-  is inserted however late it comes.  The file sink commits each micro-batch
-  exactly once through the checkpoint, so a lost executor or a re-run never
-  writes a batch twice.  The state holds one entry per key, spread over the
-  shuffle partitions of the first run; :func:`tidepool.session.build_session`
-  keeps it in RocksDB, outside the heap.  Where records can't come later than
-  some delay after the newest one, ``delay`` bounds the state by a watermark;
-  a record beyond it is then dropped, seen or not.
+* **streaming** (:func:`stream_dedupe`): a file-source stream run with
+  ``trigger(availableNow=True)``: each run processes only files not seen by the
+  checkpoint.  Every micro-batch is merged by an anti-join against the keys that
+  the batches before it have written, and written to a folder named by its
+  batch id; no state is kept, and a record that was never seen is inserted
+  however late it comes.  A batch that is run again reads the same earlier
+  batches and replaces its own folder, so a lost executor, driver or a re-run
+  never writes a record twice.  Where records can't come later than some delay
+  after the newest one, ``delay`` drops duplicates by a watermark instead, with
+  a state of that delay; a record beyond it is then dropped, seen or not.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidepool.session import checkpoint_root
 
@@ -46,7 +46,12 @@ def create_keyed_table(
 
 def new_rows(spark: SparkSession, batch: DataFrame, target: str, key: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in table ``target`` (one per key)."""
-    rows, known = batch.dropDuplicates(list(key)), spark.table(target).select(*key)
+    return rows_without(batch.dropDuplicates(list(key)), spark.table(target), key)
+
+
+def rows_without(rows: DataFrame, seen: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows whose key isn't among those of ``seen``; NULLs match."""
+    known = seen.select(*key)
     whole = reduce(and_, [F.col(k).isNotNull() for k in key])
     fresh = rows.where(whole).join(known, list(key), "left_anti")
     # keys with a NULL match null-safe, and apart: only such rows of the target are read for them
@@ -68,6 +73,17 @@ def append_new_only(spark: SparkSession, batch: DataFrame, target: str, key: Seq
     fresh.select(*cols).write.insertInto(target)
 
 
+def merge_batch(batch: DataFrame, batch_id: int, key: Sequence[str], target: str, fmt: str = "parquet") -> None:
+    """Write the batch's new records to ``target/batch=<id>``: those whose key no
+    earlier batch has, one per key.  Running a batch again changes nothing."""
+    rows = batch.dropDuplicates(list(key))
+    if batch_id > 0:
+        columns = StructType([*batch.schema.fields, StructField("batch", LongType())])
+        earlier = batch.sparkSession.read.format(fmt).schema(columns).load(target)
+        rows = rows_without(rows, earlier.where(F.col("batch") < batch_id), key)
+    rows.write.format(fmt).mode("overwrite").save(f"{target}/batch={batch_id}")
+
+
 def stream_dedupe(
     spark: SparkSession,
     source: str,
@@ -80,22 +96,17 @@ def stream_dedupe(
     delay: str | None = None,
 ) -> None:
     """Run one incremental pass over new files in ``source`` and append the
-    records whose ``key`` was not seen before to ``target``.  With
-    ``event_time`` and ``delay`` keys are remembered for that delay only."""
+    records whose ``key`` was not seen before to ``target``, one folder
+    ``batch=<id>`` per micro-batch.  With ``event_time`` and ``delay`` keys are
+    remembered for that delay only, and the files lie in ``target`` itself."""
     stream = spark.readStream.format(fmt).schema(schema).load(source)
     if event_time and delay:
         timed = stream.withColumn("_event_time", F.col(event_time).cast("timestamp")).withWatermark("_event_time", delay)
         stream = timed.dropDuplicatesWithinWatermark(list(key)).drop("_event_time")
+        writer = stream.writeStream.format(fmt).option("path", target)
     else:
-        stream = stream.dropDuplicates(list(key))
-    q = (
-        stream.writeStream.format(fmt)
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+        writer = stream.writeStream.foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, key, target, fmt))
+    q = writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
