@@ -5,10 +5,14 @@ by the SHA-256 of the whole text.  Each step looks only at the groups of two
 or more rows that the one before left, so the whole text is hashed only where
 length and beginning agree.  Only DataFrame functions run.
 
-Every group step is an aggregate that combines before its shuffle, and no
-text is shuffled: key tables are broadcast up to a counted size and joined
-through a shuffle beyond it.  A group of copies that holds a third of all rows
-is one row per task.
+Every group step is an aggregate that combines before its shuffle.  The shared
+(length, beginning) keys mark bits of a bitmap of bounded size, which is
+broadcast; a row whose bit is set has its text hashed, one without a partner
+too if its bit is shared, which the last step sets right.  ``exact_groups``
+moves no text, however many keys there are; ``exact_dedup`` moves the rows
+that share a hash with another one, or a bit.  A group of copies that holds a
+third of all rows is one row per task.  A very long text is read whole for its
+hash (one row, at most Spark's 2 GiB).
 
 Defined results: NULL equals the empty text.  Of equal texts the row with the
 largest id stays; a NULL id counts as the smallest.  Rows repeated with the
@@ -22,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import join_keys, landed, text_or_empty
+from tidepool.llm.common import MARK_BITS, join_keys, landed, landed_marks, text_or_empty, with_mark
 
 #: Characters of a text that the second step hashes.
 PREFIX_CHARS = 64
@@ -32,28 +36,30 @@ def _full_hash(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def _bit(length: Column, prefix: Column) -> Column:
+    return F.pmod(F.xxhash64(length, prefix), F.lit(MARK_BITS))
+
+
 def _suspects(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFrame:
-    """Landed (length, prefix) keys that two or more rows share."""
+    """Landed marks of the (length, prefix) keys that two or more rows share."""
     text = text_or_empty(text_col)
     lengths = landed(spark, docs.select(F.octet_length(text).alias("len1")).groupBy("len1")
                      .agg(F.count("*").alias("n")).where("n > 1").select("len1"), "exact-lengths")
     begin = docs.select(F.octet_length(text).alias("len"),
                         F.xxhash64(F.substring(text, 1, PREFIX_CHARS)).alias("prefix"))
     begin = join_keys(begin, lengths, F.col("len") == F.col("len1"), "left_semi")
-    return landed(spark, begin.groupBy("len", "prefix").agg(F.count("*").alias("n")).where("n > 1")
-                  .select(F.col("len").alias("len2"), F.col("prefix").alias("prefix2")), "exact-prefixes")
+    shared = begin.groupBy("len", "prefix").agg(F.count("*").alias("n")).where("n > 1")
+    return landed_marks(spark, shared, _bit(F.col("len"), F.col("prefix")), "exact-prefixes")
 
 
 def _marked(spark: SparkSession, docs: DataFrame, text_col: str, columns: list[Column]) -> DataFrame:
     """``columns`` (over the struct ``row``) plus ``hash``: the full hash where
     length and beginning are shared, else NULL."""
-    keys = _suspects(spark, docs, text_col).withColumn("found", F.lit(True))
+    marks = _suspects(spark, docs, text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text = F.coalesce(F.col("row")[text_col], F.lit(""))
-    same = (F.octet_length(text) == F.col("len2")) & (
-        F.xxhash64(F.substring(text, 1, PREFIX_CHARS)) == F.col("prefix2"))
-    joined = join_keys(rows, keys, same, "left")
-    return joined.select(*columns, F.when(F.col("found"), _full_hash(text)).alias("hash"))
+    bit = _bit(F.octet_length(text), F.xxhash64(F.substring(text, 1, PREFIX_CHARS)))
+    return with_mark(rows, marks, bit, "found").select(*columns, F.when(F.col("found"), _full_hash(text)).alias("hash"))
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

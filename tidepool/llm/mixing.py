@@ -2,7 +2,9 @@
 
 Sizes are summed per source, targets follow from the weights by water filling,
 and each document is emitted ``floor(rate)`` times plus one more copy with
-probability ``rate - floor(rate)``, drawn from a hash of its id.
+probability ``rate - floor(rate)``, drawn from a hash of its id and text.  What a
+source gives is near its target as sums of such draws are: within four times
+sqrt(sum of size^2 f (1 - f)), f being the fraction.
 
 Only DataFrame functions run.  The sums are combined before the shuffle, so a
 source that holds a third of all rows is one row per task.  The table of
@@ -10,7 +12,7 @@ sources is ranked in range partitions and levelled by aggregates; it never
 goes through one task, and it is broadcast only up to a counted size.
 
 Defined results: a NULL text has size 0; a NULL source is a source of its own,
-ranked last; NULL ids share one draw; repeated rows draw alike; a source of
+ranked last; rows without an id draw by their text; repeated rows draw alike; a source of
 size 0 has target 0; an empty table gives no rows.  Columns of the input that
 are named like those computed here are kept apart in a struct.
 """
@@ -33,9 +35,9 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def uniform_draw(id_col: Column, seed: int) -> Column:
-    """A number in [0, 1) from the id and the seed: 52 bits of an MD5."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("")))
+def uniform_draw(id_col: Column, text: Column, seed: int) -> Column:
+    """A number in [0, 1) from the id, the text and the seed: 52 bits of an MD5."""
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), F.md5(text.cast("binary")))
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
@@ -89,7 +91,8 @@ def mix_counts(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, max_repeat
     the whole input row as ``row`` if asked for)."""
     size = word_count(text_or_empty(text_col))
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_row else []
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), *row)
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
+                        uniform_draw(F.col(id_col), text_or_empty(text_col), seed).alias("draw"), *row)
     sums = (docs.select(F.col(source_col).alias("source"), size.alias("size"))
             .groupBy("source").agg(F.sum("size").alias("source_size")))
     goal = landed(spark, targets(spark, sums, weights, max_repeats), "mix-targets") \
@@ -97,7 +100,7 @@ def mix_counts(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, max_repeat
     out = join_keys(sized, goal, F.col("source").eqNullSafe(F.col("goal_source")), "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    copies = whole + F.when(uniform_draw(F.col("doc_id"), seed) < rate - whole, 1).otherwise(0)
+    copies = whole + F.when(F.col("draw") < rate - whole, 1).otherwise(0)
     return out.select("doc_id", "size", "source_size", "target",
                       F.least(copies, F.lit(max_repeats)).cast("long").alias("copies"), *["row"] * keep_row)
 

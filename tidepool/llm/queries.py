@@ -141,7 +141,7 @@ ORACLES = {
                  AND n_ellipsis <= 0.3 * n_lines AND n_bullets <= 0.9 * n_lines AS kept
         FROM f""",
     "op8_mixing": r"""
-        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+        WITH d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
                    FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
         r AS (SELECT *, ([5.0, 2.0, 1.0])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s),
@@ -155,7 +155,7 @@ ORACLES = {
         g AS (SELECT source, source_size, least(3.0 * source_size, level * weight)::DOUBLE AS target FROM r, l),
         x AS (SELECT d.doc_id, d.size, g.source_size, g.target,
                      CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
-                     ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 AS u
+                     ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, '') || ':' || digest), 1, 13))::BIGINT / 4503599627370496.0 AS u
               FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
         SELECT doc_id, size::BIGINT AS size, source_size, round(target, 4) AS target,
                (size * least(3, floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken

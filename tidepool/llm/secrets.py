@@ -12,13 +12,15 @@ copies in the text are reported when one is novel.
 Spans are in code points, end exclusive, over whole texts.  Defined results: a
 NULL text is empty and has no span; repeated rows are scanned alike; an empty
 table gives no rows; other columns of the input are passed over.  A novel span
-never overlaps one of the patterns.
+never overlaps one of the patterns.  A very long text is scanned whole, in time
+that grows with its length (one row, at most Spark's 2 GiB).
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,11 +41,19 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(
     r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|credential|private[_ -]?key|access[_-]?key|"
     r"bearer|signature|client[_-]?id|auth", re.I | re.A)
-LEAST_NOVEL = 16
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.A)
+LEAST_NOVEL = 8
+#: A candidate is a run without white space and quotes.  One of up to 15 characters, or with a sign that is
+#: not in PLAIN, must hold a letter and a digit.
+CANDIDATE = re.compile(r"[^\s\"'`]{8,}")
+PLAIN = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.A)
+MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])", re.A | re.S)
+#: Well-known runs that are no secrets: addresses of pages and mail, dates and times.
+PUBLIC = re.compile(r"\W*(?:(?:[a-z]+://|www\.)[^@?=]*|[\w.+-]+@[\w-]+\.[\w.-]+|\d{4}-\d\d-\d\d(?:T[\d:.]+(?:Z|[+-][\d:]+)?)?)\W*", re.A | re.I)
+OUTER = ".,;:!?()[]{}<>&|*"
+JOINTS = "=_/+-" + OUTER
 #: The text from a key's header to its END line is sensitive as a whole.
 HEADER = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z0-9 ]*-----")
-FOOTER = "-----END "
+FOOTER = re.compile("-----END ")
 #: Added bytes per character from which a token is novel; characters of text on either side.
 NOVELTY = 0.6
 AROUND = 256
@@ -63,7 +73,7 @@ IDENTIFIERS = (
 
 def core(token: str) -> str:
     """A token without the signs that join it to its neighbours."""
-    return token.strip("=_/+-") or token
+    return token.strip(JOINTS) or token
 
 
 def without(text: str, lo: int, hi: int, token: str, least: int, most: int) -> str:
@@ -117,10 +127,12 @@ def candidates(text: str) -> list[tuple[int, int]]:
     words = [m.span() for m in SENSITIVE.finditer(text)]
     if not words:
         return []
-    starts, keys, found = [w[0] for w in words], [], []
-    for m in HEADER.finditer(text):
-        end = text.find(FOOTER, m.end())
-        keys.append((m.end(), len(text) if end < 0 else end))
+    starts, found = [w[0] for w in words], []
+    footers = [m.start() for m in FOOTER.finditer(text)]
+    keys = [m.end() for m in HEADER.finditer(text)]
+    # how far the body of this key or one before it reaches
+    bodies = list(accumulate(((footers[k] if k < len(footers) else len(text))
+                              for k in (bisect_left(footers, s) for s in keys)), max))
 
     def near(start: int, end: int) -> bool:
         k = bisect_left(starts, start - AROUND)
@@ -129,32 +141,72 @@ def candidates(text: str) -> list[tuple[int, int]]:
             if e <= start or end <= s and e <= end + AROUND:
                 return True
             k += 1
-        return any(s <= start and end <= e for s, e in keys)
+        own = bisect_right(keys, start) - 1
+        return own >= 0 and end <= bodies[own]
+
+    def part(start: int, end: int) -> list[tuple[int, int]]:
+        """The place without the signs around it, if that is long and mixed enough; signs
+        of PLAIN at its ends are part of it."""
+        while end > start and text[end - 1] in OUTER:
+            end -= 1
+        while start < end and text[start] in OUTER:
+            start += 1
+        own = text[start:end]
+        return [(start, end)] if PLAIN.fullmatch(own) or len(own) >= LEAST_NOVEL and MIXED.match(own) else []
 
     for c in CANDIDATE.finditer(text):
+        if not PLAIN.search(c[0]) and not MIXED.match(c[0]) or PUBLIC.fullmatch(c[0]):
+            continue
         k = bisect_left(starts, c.start())
         for _, e in words[max(0, k - 1):bisect_left(starts, c.end())]:
-            if e > c.start() and c.end() - e >= LEAST_NOVEL:
-                found.append((e, c.end()))
+            if e > c.start():
+                found += part(e, c.end())
         if near(c.start(), c.end()):
-            found.append(c.span())
+            found += part(*c.span())
     return found
 
 
+class Taken:
+    """Disjoint spans in order; tells whether a place is free and takes it."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def free(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k == len(self.starts) or self.starts[k] >= end
+
+    def take(self, start: int, end: int) -> None:
+        k = bisect_right(self.ends, start)
+        self.starts.insert(k, start)
+        self.ends.insert(k, end)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     """Novel candidates, and wherever else in the text one of them stands."""
-    found, taken = [], [(s, e) for s, _, e in base]
+    found, taken = [], Taken((s, e) for s, _, e in base)
     for start, end in candidates(text):
-        if all(e <= start or end <= s for s, e in taken) and novelty(text, start, end) >= NOVELTY:
+        if taken.free(start, end) and novelty(text, start, end) >= NOVELTY:
             found.append((start, end))
-            taken.append((start, end))
-    for token in dict.fromkeys(core(text[s:e]) for s, e in found):
-        k = text.find(token)
-        while k >= 0:
-            if all(e <= k or k + len(token) <= s for s, e in taken):
-                found.append((k, k + len(token)))
-                taken.append(found[-1])
-            k = text.find(token, k + len(token))
+            taken.take(start, end)
+    if found:
+        import ahocorasick
+
+        tokens = ahocorasick.Automaton()
+        for s, e in found:
+            token = core(text[s:e])
+            tokens.add_word(token, len(token))
+        tokens.make_automaton()
+        for last, n in tokens.iter(text):  # all copies in one pass over the text
+            if taken.free(last + 1 - n, last + 1):
+                found.append((last + 1 - n, last + 1))
+                taken.take(*found[-1])
     return [(s, 3, e) for s, e in sorted(found)]
 
 
