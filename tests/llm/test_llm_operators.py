@@ -250,6 +250,21 @@ def test_token_files_round_trip(spark, docs, empty):
     assert token_files.read_token_files(token_files.write_token_files(spark, empty, TOKENIZER)).count() == 0
 
 
+def test_token_files_spread_one_id_and_keep_the_least(spark):
+    low = -2**63
+    rows = [(None, f"text {i}") for i in range(300)] + [(None, "same")] * 300 + [(low, "least"), (0, "zero"), (7, "seven")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is tiny
+    try:
+        parts = token_files.write_token_files(spark, docs, TOKENIZER)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts.where("n_docs > 0").count() >= 3 and parts.agg(F.max("n_docs")).first()[0] < 450
+    got = sorted(token_files.read_token_files(parts).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 600 + [low, 0, 7]
+    assert sorted(bytes(r["ids"]) for r in got) == sorted(np.array(ids_of(t) + [0], dtype="<u4").tobytes() for _, t in rows)
+
+
 # --- SimHash ----------------------------------------------------------------------------------------------------------
 
 def brute_fingerprint(text):

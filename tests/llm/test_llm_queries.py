@@ -1,6 +1,9 @@
 """Registered queries against SQL and the pipeline against a brute-force run."""
 
+import hashlib
 import random
+import zlib
+from collections import defaultdict
 
 import duckdb
 import numpy as np
@@ -29,6 +32,90 @@ def test_one_query_per_operator():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
+@pytest.fixture(scope="module")
+def small(spark):
+    return {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+
+
+def test_op1_query(spark, small):
+    got = QUERIES["op1_language_id"](spark, SF_SMALL).collect()
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in got) == sorted(small)
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert (r["lang_pred"] == "und") == (not any(map(str.isalpha, small[r["doc_id"]]))) and 0 <= r["score"] <= 1
+    judged = [r for r in got if r["held_out"] and langs[r["doc_id"]] and len(small[r["doc_id"]]) > 200]
+    assert judged and sum(r["lang_pred"] == langs[r["doc_id"]] for r in judged) >= 0.9 * len(judged)
+
+
+def test_op3_query(spark, small):
+    from tests.llm.test_llm_operators import ids_of
+
+    ids = {i: np.array(ids_of(t) + [1], dtype="<u4") for i, t in small.items()}
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in QUERIES["op3_packing"](spark, SF_SMALL).collect():
+        own = ids[r["doc_id"]]
+        assert r["ids_crc32"] == zlib.crc32(own[r["start"]:r["start"] + r["length"]].tobytes()) and r["doc_tokens"] == len(own)
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    for runs, ends in ((pieces, {i: len(x) for i, x in ids.items()}), (windows, None)):
+        for k, own in runs.items():
+            at = 0
+            for start, length in sorted(own):
+                assert start == at
+                at += length
+            assert at == ends[k] if ends else at <= 2048
+    assert len(pieces) == len(ids)
+    assert sum(map(len, ids.values())) / (2048 * len(windows)) > 0.95
+
+
+def test_op4_query(spark, small):
+    from tests.llm.test_llm_operators import ids_of
+
+    at, want = 0, []
+    for i in sorted(small):
+        ids = np.array(ids_of(small[i]) + [0], dtype="<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert sorted(tuple(r) for r in QUERIES["op4_token_files"](spark, SF_SMALL).collect()) == want
+
+
+def test_op5_query(spark, small):
+    from tests.llm.test_llm_operators import brute_components, brute_fingerprint
+
+    ids = sorted(small)
+    fps = [brute_fingerprint(small[i]) for i in ids]
+    roots, least = brute_components(fps, 2), {}
+    for i, r in zip(ids, roots, strict=True):
+        least[r] = min(i, least.get(r, i))
+    want = [(i, f"{f:016x}", least[r]) for i, f, r in zip(ids, fps, roots, strict=True)]
+    assert sorted(tuple(r) for r in QUERIES["op5_simhash"](spark, SF_SMALL).collect()) == want
+
+
+def test_op6_query(spark):
+    pages = {r["page_id"]: (r["html"] or "").encode() for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
+    first = {}
+    for i in sorted(pages):
+        first.setdefault(pages[i], i)
+    want = []
+    for i in sorted(pages):
+        again = len(pages[i]) >= 100 and first[pages[i]] != i
+        want.append((i, len(pages[i]), hashlib.sha256(pages[i]).hexdigest(), "revisit" if again else "response", first[pages[i]] if again else None))
+    assert sorted(tuple(r) for r in QUERIES["op6_warc"](spark, SF_SMALL).collect()) == want
+
+
+def test_op9_query(spark, small):
+    from tests.llm.test_llm_operators import brute_base
+
+    kinds = ("assign", "access", "hex")
+    for r in QUERIES["op9_secret_scan"](spark, SF_SMALL).collect():
+        base = brute_base(small[r["doc_id"]])
+        told = [f"{kinds[k]}:{a}:{b}" for a, k, b in base]
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+        assert r["base_sha256"] == hashlib.sha256(",".join(told).encode()).hexdigest()
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("novel")] == told
+
+
 def test_pipeline_stages(spark):
     """Each stage on what the one before kept, checked against plain Python."""
     from tests.llm.test_llm_operators import brute_components, brute_fingerprint, ids_of
