@@ -165,6 +165,20 @@ def inc_append_new_only(spark, sf):
     return spark.table(name)
 
 
+@register(
+    "inc_append_by_partition",
+    "SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus FROM orders",
+)
+def inc_append_by_partition(spark, sf):
+    """Three loads into a table by month: finished orders, all orders of one year (in part
+    again), and all orders."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", F.trunc("o_orderdate", "month").alias("month"), "o_orderstatus")
+    target = scratch_path(spark, "orders_by_month")
+    for batch in (o.where("o_orderstatus = 'F'"), o.where("year(month) = 1996"), o.unionByName(o.where("o_orderstatus = 'O'"))):
+        INC.append_new_by_partition(spark, batch, target, ["o_orderkey"], "month")
+    return spark.read.schema(o.schema).parquet(target).select("o_orderkey", "month", "o_orderstatus")
+
+
 @register(
     "inc_stream_dedupe",
     "SELECT event_id, user_id, event_type, value FROM events",

@@ -1,6 +1,6 @@
 """Incremental, duplicate-free loading.
 
-Two forms of "later runs insert only new records; re-running never
+Three forms of "later runs insert only new records; re-running never
 duplicates":
 
 * **batch** (:func:`append_new_only`): de-duplicate the incoming batch on the
@@ -8,6 +8,9 @@ duplicates":
   same batch twice appends nothing the second time.  When the target is
   bucketed on the key (:func:`create_keyed_table`), the anti-join reads the
   target without shuffling it; only the (small) batch is shuffled.
+* **by partition** (:func:`append_new_by_partition`): the same against a table
+  partitioned by date, say, of which only the partitions that may hold a key of
+  the batch are read; marks and bounds of each partition's keys lie beside it.
 * **streaming** (:func:`stream_dedupe`): a file-source stream run with
   ``trigger(availableNow=True)``: each run processes only files not seen by the
   checkpoint.  Every micro-batch is merged by an anti-join against the keys that
@@ -24,13 +27,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidepool.session import checkpoint_root
+from tidepool.operators.marks import bit_is_set, key_marks, mark_bit
+from tidepool.session import checkpoint_root, landed
 
 
 def create_keyed_table(
@@ -73,6 +77,47 @@ def append_new_only(spark: SparkSession, batch: DataFrame, target: str, key: Seq
     fresh.select(*cols).write.insertInto(target)
 
 
+#: Bits of the marks of one partition's keys (32 rows of 4 KB at most).
+PARTITION_BITS = 1 << 20
+
+
+def touched_partitions(batch: DataFrame, sketch: DataFrame, key: Sequence[str], partition: str) -> list:
+    """Partitions of the target that may hold a key of ``batch``: the key's bit is set in
+    the partition's marks and its first column lies within the partition's bounds (NULLs
+    within all).  One value per partition at most."""
+    asked = batch.select(F.col(key[0]).alias("_first"), mark_bit(list(key), PARTITION_BITS).alias("_bit")).distinct()
+    met = asked.join(sketch, F.bitmap_bucket_number("_bit") == F.col("marks_no")).where(bit_is_set("marks", "_bit"))
+    within = F.col("_first").isNull() | F.col("least").isNull() | F.col("_first").between(F.col("least"), F.col("most"))
+    return [r[0] for r in met.where(within).select(partition).distinct().collect()]
+
+
+def append_new_by_partition(spark: SparkSession, batch: DataFrame, target: str, key: Sequence[str], partition: str) -> list:
+    """Append the rows of ``batch`` whose key is new to the parquet table at ``target``,
+    partitioned by ``partition``; the partitions that had to be read.
+
+    Beside the table (``<target>_keys``) lie marks and bounds of the keys of each
+    partition.  Only partitions that may hold a key of the batch are read for the
+    anti-join, whatever the size of the table.  Marks are written before the
+    rows they stand for, so an append that broke off in between, or runs again,
+    leaves marks that are too many at worst.
+    """
+    rows, sketches = landed(spark, batch.dropDuplicates(list(key)), "batch"), f"{target}_keys"
+    first = rows.schema[key[0]].dataType.simpleString()
+    kind = rows.schema[partition].dataType.simpleString()
+    shape = f"{partition} {kind}, marks_no long, marks binary, least {first}, most {first}"
+    landed(spark, spark.createDataFrame([], shape), "none").write.mode("append").parquet(sketches)  # so that there is one to read
+    touched = touched_partitions(rows, spark.read.schema(shape).parquet(sketches), key, partition)
+    if touched:
+        same = reduce(or_, [F.col(partition).eqNullSafe(F.lit(v).cast(kind)) for v in touched])
+        rows = rows_without(rows, spark.read.schema(rows.schema).parquet(target).where(same), key)
+    fresh = landed(spark, rows, "fresh")
+    # bounds of the keys of each bitmap row: they hold for the keys whose bits it has
+    marks = key_marks(fresh, mark_bit(list(key), PARTITION_BITS), [partition], least=F.min(key[0]), most=F.max(key[0]))
+    marks.write.mode("append").parquet(sketches)
+    fresh.write.mode("append").partitionBy(partition).parquet(target)
+    return touched
+
+
 def merge_batch(batch: DataFrame, batch_id: int, key: Sequence[str], target: str, fmt: str = "parquet") -> None:
     """Write the batch's new records to ``target/batch=<id>``: those whose key no
     earlier batch has, one per key.  Running a batch again changes nothing."""
