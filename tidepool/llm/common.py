@@ -9,6 +9,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.operators.marks import key_marks, with_mark  # noqa: F401  (with_mark: for the operators)
 from tidepool.session import scratch_path
 
 #: Fixed pattern: a word is a run of anything but ASCII white space.
@@ -53,19 +54,7 @@ MARK_BITS = 1 << 27
 
 def landed_marks(spark: SparkSession, keys: DataFrame, bit: Column, name: str) -> DataFrame:
     """A landed bitmap with the bit of every key set, at most ``MARK_BITS`` long."""
-    marks = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("marks_no")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("marks"))
-    return landed(spark, marks, name)
-
-
-def with_mark(rows: DataFrame, marks: DataFrame, bit: Column, flag: str) -> DataFrame:
-    """Rows with ``flag``: whether their bit is set.  Every row that has a key is
-    flagged, and some that have none; no row moves."""
-    joined = rows.withColumn("__bit", bit).withColumn("__at", F.bitmap_bit_position("__bit")) \
-        .join(F.broadcast(marks), F.bitmap_bucket_number("__bit") == F.col("marks_no"), "left")
-    byte = "conv(hex(substr(marks, cast(__at div 8 as int) + 1, 1)), 16, 10)"
-    return joined.withColumn(flag, F.expr(f"coalesce(cast({byte} as int) & shiftleft(1, cast(__at % 8 as int)) <> 0, false)")) \
-        .drop("__bit", "__at", "marks", "marks_no")
+    return landed(spark, key_marks(keys, bit), name)
 
 
 _SHIPPED: set[str] = set()
