@@ -38,7 +38,7 @@ from tidepool.functions.strings import (
     starts_with_dollar,
     strip_leading_number,
 )
-from tidepool.operators.windows import running_sum_by_key
+from tidepool.operators.windows import running_sums_by_key
 from tidepool.session import landed as write_and_read
 
 # The amount-line pattern (label, blank(s), "$", amount, "$",
@@ -213,8 +213,10 @@ def _landed_pages(pages: DataFrame, marker: str, end_line: str, text: str = "tex
 
 
 def _with_offsets(landed: DataFrame, *columns: str) -> DataFrame:
-    """Narrow page rows with the lines of the document before each page (``off``)."""
-    return running_sum_by_key(landed.select("row", "path", "page", "n", *columns), "path", ["page", "row"], F.col("n"), "off")
+    """Narrow page rows with the lines and ``$`` lines of the document before each page
+    (``off``, ``dollars_before``)."""
+    narrow = landed.select("row", "path", "page", "n", F.size("dollars").alias("nd"), *columns)
+    return running_sums_by_key(narrow, "path", ["page", "row"], {"off": F.col("n"), "dollars_before": F.col("nd")}).drop("nd")
 
 
 def _sections(landed: DataFrame) -> DataFrame:
@@ -235,6 +237,9 @@ def _sections(landed: DataFrame) -> DataFrame:
     end = ends.groupBy("path").agg(F.min(F.array_min(F.filter("ends", lambda e: e > F.col("first")))).alias("end"))
     marks = s.where(F.size("marks") > 0).select("path", "marks").join(end.where(F.col("end").isNotNull()), "path")
     bounds = marks.groupBy("path", "end").agg((F.max(F.array_max(F.filter("marks", lambda m: m < F.col("end")))) + 3).alias("start"))
+    early = s.select("path", "off", "dollars").join(bounds, "path").select(
+        "path", "end", "start", F.size(F.filter("dollars", lambda i: i + F.col("off") + 1 < F.col("start"))).alias("early"))
+    bounds = early.groupBy("path", "end", "start").agg(F.sum("early").alias("before_start"))
     return s.join(bounds, "path", "left")
 
 
@@ -272,9 +277,12 @@ def _records(landed: DataFrame) -> DataFrame:
     lo = F.greatest(F.lit(0), F.col("start") - F.col("off") - 1)
     hi = F.least(F.col("n"), F.col("end") - F.col("off") - 1)
     s = s.withColumn("lo", lo).withColumn("hi", hi)
+    s = s.withColumn("skipped", F.size(F.filter("dollars", lambda i: i < F.col("lo"))))
     s = s.withColumn("dollars", F.filter("dollars", lambda i: (i >= F.col("lo")) & (i < F.col("hi"))))
+    # $ lines of the section before the page: those of the document, less those before the section
+    s = s.withColumn("nd", F.col("dollars_before") + F.col("skipped") - F.col("before_start"))
+    # landed, so that the counts and places are worked out once and not for every cut
     s = write_and_read(landed.sparkSession, s.drop("marks", "ends"), "statement_section")
-    s = running_sum_by_key(s, "path", ["page", "row"], F.size("dollars"), "nd")
     second = F.filter("dollars", lambda i, j: (F.col("nd") + j) % 2 == 1)
     cuts = F.transform(second, lambda i: (i + 1).cast("bigint"))
     s = s.where("hi > lo").withColumn("cuts", F.concat(F.array("lo"), cuts, F.array("hi")))

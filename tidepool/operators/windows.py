@@ -162,6 +162,26 @@ def max_consecutive_change(
     return ch.agg(F.max("_change").alias(out))
 
 
+def running_sums_by_key(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    order: Sequence[str],
+    amounts: dict[str, Column],
+    ranges: int | None = None,
+) -> DataFrame:
+    """For each name in ``amounts`` its sum over the rows of the same key strictly
+    before, in ``order`` (0 for the first row; NULL adds nothing), as a bigint."""
+    keys, order = _cols(keys), _cols(order)
+    edge = F.struct(*[F.sum(a).alias(n) for n, a in amounts.items()])
+    rows, carried = _ranged(df, keys, order, ranges, edge,
+                            lambda before: {f"__tp_before_{n}": F.sum(F.col("__tp_edge")[n]).over(before) for n in amounts})
+    w = Window.partitionBy(*keys, _RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"__tp_in_{n}": F.sum(a).over(w) for n, a in amounts.items()})
+    total = {n: (F.coalesce(f"__tp_in_{n}", F.lit(0)) + F.coalesce(f"__tp_before_{n}", F.lit(0))).cast("bigint") for n in amounts}
+    return _with_small(rows, carried, [*keys, _RANGE]).withColumns(total) \
+        .drop(_RANGE, *[f"__tp_{k}_{n}" for k in ("in", "before") for n in amounts])
+
+
 def running_sum_by_key(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -170,14 +190,8 @@ def running_sum_by_key(
     out: str = "sum_before",
     ranges: int | None = None,
 ) -> DataFrame:
-    """Sum of ``amount`` over the rows of the same key strictly before, in ``order``
-    (0 for the first row; NULL amounts add nothing), as a bigint."""
-    keys, order = _cols(keys), _cols(order)
-    rows, carried = _ranged(df, keys, order, ranges, F.sum(amount), lambda before: {"__tp_before": F.sum("__tp_edge").over(before)})
-    w = Window.partitionBy(*keys, _RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__tp_in", F.sum(amount).over(w))
-    total = F.coalesce("__tp_in", F.lit(0)) + F.coalesce("__tp_before", F.lit(0))
-    return _with_small(rows, carried, [*keys, _RANGE]).withColumn(out, total.cast("bigint")).drop(_RANGE, "__tp_in", "__tp_before")
+    """One running sum, as in :func:`running_sums_by_key`."""
+    return running_sums_by_key(df, keys, order, {out: amount}, ranges)
 
 
 def row_number_by_key(
