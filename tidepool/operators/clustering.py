@@ -10,7 +10,9 @@ Everything returned is a DataFrame.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -88,18 +90,23 @@ def metric_table(spark: SparkSession, metric: str, value: float) -> DataFrame:
 
 
 def k_sweep(spark: SparkSession, df: DataFrame, k_values: Sequence[int], seed: int = 0,
-            features_col: str = "features") -> DataFrame:
+            features_col: str = "features", at_once: int = 4) -> DataFrame:
     """WCSS (training cost) and silhouette per k, as ``(k, wcss, silhouette)``.
 
     The feature table is persisted once for all fits (the naive loop re-reads
-    the source for every fit and every evaluation).
+    the source for every fit and every evaluation), and ``at_once`` fits run side
+    by side, so that the short tasks of one fill the gaps of the others.
     """
     data = df.select(features_col).persist()
+
+    def fitted(k: int) -> tuple[int, float, float]:
+        model, pred = kmeans(data, k, seed, features_col)
+        return int(k), float(model.summary.trainingCost), float(silhouette(pred, features_col))
+
     try:
-        out = []
-        for k in k_values:
-            model, pred = kmeans(data, k, seed, features_col)
-            out.append((int(k), float(model.summary.trainingCost), float(silhouette(pred, features_col))))
+        data.count()  # filled by one pass, not by the first fits at once
+        with ThreadPoolExecutor(at_once) as pool:
+            out = list(pool.map(inheritable_thread_target(spark)(fitted), k_values))
     finally:
         data.unpersist()
     return spark.createDataFrame(out, "k int, wcss double, silhouette double")
