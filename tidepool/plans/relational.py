@@ -365,12 +365,12 @@ def cmp_string_vs_number(spark, sf):
 @register(
     "join_type_counts",
     """
-    WITH a AS (SELECT c_nationkey AS column_a FROM customer),
-         b AS (SELECT s_nationkey AS column_b FROM supplier)
-    SELECT 'inner' AS join_type, COUNT(*) AS count FROM a INNER JOIN b ON column_a = column_b
-    UNION ALL SELECT 'left', COUNT(*) FROM a LEFT JOIN b ON column_a = column_b
-    UNION ALL SELECT 'right', COUNT(*) FROM a RIGHT JOIN b ON column_a = column_b
-    UNION ALL SELECT 'full outer', COUNT(*) FROM a FULL OUTER JOIN b ON column_a = column_b
+    WITH a AS (SELECT c_nationkey AS customer_nation FROM customer),
+         b AS (SELECT s_nationkey AS supplier_nation FROM supplier)
+    SELECT 'inner' AS join_type, COUNT(*) AS count FROM a INNER JOIN b ON customer_nation = supplier_nation
+    UNION ALL SELECT 'left', COUNT(*) FROM a LEFT JOIN b ON customer_nation = supplier_nation
+    UNION ALL SELECT 'right', COUNT(*) FROM a RIGHT JOIN b ON customer_nation = supplier_nation
+    UNION ALL SELECT 'full outer', COUNT(*) FROM a FULL OUTER JOIN b ON customer_nation = supplier_nation
     """,
 )
 def join_type_counts(spark, sf):
@@ -380,12 +380,12 @@ def join_type_counts(spark, sf):
 @register(
     "join_type_counts_orders",
     """
-    WITH a AS (SELECT o_custkey AS column_a FROM orders WHERE o_orderstatus <> 'F'),
-         b AS (SELECT c_custkey AS column_b FROM customer WHERE c_mktsegment <> 'BUILDING')
-    SELECT 'inner' AS join_type, COUNT(*) AS count FROM a INNER JOIN b ON column_a = column_b
-    UNION ALL SELECT 'left', COUNT(*) FROM a LEFT JOIN b ON column_a = column_b
-    UNION ALL SELECT 'right', COUNT(*) FROM a RIGHT JOIN b ON column_a = column_b
-    UNION ALL SELECT 'full outer', COUNT(*) FROM a FULL OUTER JOIN b ON column_a = column_b
+    WITH a AS (SELECT o_custkey AS order_cust FROM orders WHERE o_orderstatus <> 'F'),
+         b AS (SELECT c_custkey AS cust FROM customer WHERE c_mktsegment <> 'BUILDING')
+    SELECT 'inner' AS join_type, COUNT(*) AS count FROM a INNER JOIN b ON order_cust = cust
+    UNION ALL SELECT 'left', COUNT(*) FROM a LEFT JOIN b ON order_cust = cust
+    UNION ALL SELECT 'right', COUNT(*) FROM a RIGHT JOIN b ON order_cust = cust
+    UNION ALL SELECT 'full outer', COUNT(*) FROM a FULL OUTER JOIN b ON order_cust = cust
     """,
 )
 def join_type_counts_orders(spark, sf):
