@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
+from tidepool.llm import warc
 from tidepool.llm.queries import ORACLES, QUERIES
 
 TABLES = ("documents", "pages", "labels", "benchmark", "conversations")
@@ -101,7 +102,11 @@ def test_op6_query(spark):
     for i in sorted(pages):
         again = len(pages[i]) >= 100 and first[pages[i]] != i
         want.append((i, len(pages[i]), hashlib.sha256(pages[i]).hexdigest(), "revisit" if again else "response", first[pages[i]] if again else None))
-    assert sorted(tuple(r) for r in QUERIES["op6_warc"](spark, SF_SMALL).collect()) == want
+    got = QUERIES["op6_warc"](spark, SF_SMALL).collect()
+    assert sorted(tuple(r)[:5] for r in got) == want
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
+    history = [(warc.url_key(urls[r["page_id"]]).encode(), r["page_id"]) for r in sorted(got, key=lambda r: (r["range_no"], r["position"]))]
+    assert history == sorted(history)  # one capture time per page id, ascending
 
 
 def test_op9_query(spark, small):

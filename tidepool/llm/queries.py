@@ -59,7 +59,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs, folder = warc.write_archives(spark, pages, captured)
     records = warc.read_archives(warc.merge_runs(spark, runs), folder)
     return records.select("page_id", "payload_bytes", warc.payload_digest().alias("payload_digest"),
-                          "record_type", "refers_to")
+                          "record_type", "refers_to", "range_no", "position")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
