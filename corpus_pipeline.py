@@ -24,11 +24,12 @@ LEAST_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language; texts without letters, undecided ones and
     those that are unlikely in every learned language go."""
-    model = langid.fit(spark, docs, PIECES)
-    least = langid.least_likelihoods(spark, docs, model)
-    floor = F.coalesce(*[F.when(F.col("p.lang_pred") == k, F.lit(v)) for k, v in least.items()], F.lit(float("-inf")))
+    model = langid.fit(spark, docs, PIECES, sample_rows=None)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    scored = docs.select(row, langid.predict(spark, model, F.col("text")).alias("p"))
+    # landed, as the bounds come from the scores of all labelled rows
+    scored = landed(spark, docs.select(row, langid.predict(spark, model, F.col("text")).alias("p")), "langid-scored")
+    least = langid.least_likelihoods(spark, scored.select("row.lang", "p"), model)
+    floor = F.coalesce(*[F.when(F.col("p.lang_pred") == k, F.lit(v)) for k, v in least.items()], F.lit(float("-inf")))
     return scored.where((F.col("p.lang_pred") != langid.UNKNOWN) & (F.col("p.score") >= LEAST_SCORE)
                         & (F.col("p.per_letter") >= floor)).select("row.*")
 

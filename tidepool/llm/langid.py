@@ -8,7 +8,7 @@ score of a prediction is the posterior under equal priors.
 
 The piece probabilities are fitted by expectation maximisation on a bounded
 sample of labelled rows (``sample_rows`` per language, picked by a hash of the
-id and the text).  The model has one row per piece and language: the vocabulary and
+id and the text), or on all of them.  The model has one row per piece and language: the vocabulary and
 ``max_languages`` bound what is collected and broadcast.
 
 Words are runs of letters (Unicode category L) in lower case, opened by the
@@ -25,6 +25,7 @@ repeatedly; an empty table gives no rows.  Other columns are passed through.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import landed, ship_package
+from tidepool.operators.windows import running_sums_by_key
 
 UNKNOWN = "und"
 MARK = "▁"
@@ -43,9 +45,8 @@ MARK = "▁"
 LETTERS = regex.compile(r"\p{L}+")
 #: Labelled rows per language that the fit reads, rounds of the fit, most languages.
 SAMPLE_ROWS = 400
-#: Labelled rows per language by which the least likelihood of a language is set, the share of them that may lie
-#: below it, and how much further than that share's quantile it lies from the median.
-FLOOR_ROWS = 2_000
+#: The share of a language's labelled rows that may lie below its least likelihood, and how much further than that
+#: share's quantile it lies from the median.
 FLOOR_SHARE, FLOOR_REACH = 0.001, 1.25
 ROUNDS = 3
 MAX_LANGUAGES = 200
@@ -192,23 +193,43 @@ def drawn(rows: DataFrame, sizes: dict[str, int], per_language: int) -> DataFram
     return rows.where(draw < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
 
 
-def least_likelihoods(spark: SparkSession, docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang", rows_per_language: int = FLOOR_ROWS) -> dict[str, float]:
-    """For each language the mean log probability per letter below which a text is
-    not taken for that language, from a bounded sample of its labelled rows."""
+def quantiles(spark: SparkSession, rows: DataFrame, key: str, value: str, shares: list[float]) -> dict[str, list[float]]:
+    """For each key the exact quantiles of ``value`` at ``shares``, interpolated as ``percentile``
+    does.  Equal values are counted first and ranked by a skew-safe running sum, so no task
+    holds the values of a key; the driver gets two values per share and key."""
+    counts = landed(spark, rows.groupBy(key, value).agg(F.count("*").alias("n")), "langid-values")
+    totals = {r[0]: r["n"] for r in counts.groupBy(key).agg(F.sum("n").alias("n")).collect()}
+    if not totals:
+        return {}
+    ranks = {k: sorted({int(x) for s in shares for x in (np.floor(s * (n - 1)), np.ceil(s * (n - 1)))}) for k, n in totals.items()}
+    asked = spark.createDataFrame([*ranks.items()], f"{key} string, ranks array<long>")
+    placed = running_sums_by_key(counts, key, [value], {"before": F.col("n")}).join(F.broadcast(asked), key)
+    met = F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
+    at = {(r[0], k): r[1] for r in placed.select(key, value, met.alias("met")).where(F.size("met") > 0).collect() for k in r["met"]}
+
+    def quantile(k: str, place: float) -> float:
+        low, high = at[k, int(np.floor(place))], at[k, int(np.ceil(place))]
+        return low if low == high else low + (high - low) * (place - np.floor(place))
+
+    return {k: [quantile(k, s * (n - 1)) for s in shares] for k, n in totals.items()}
+
+
+def least_likelihoods(spark: SparkSession, scored: DataFrame, model: LanguageModel, lang_col: str = "lang",
+                      prediction: str = "p") -> dict[str, float]:
+    """For each language the mean log probability per letter below which a text is not
+    taken for that language, from all of its labelled rows.  ``scored`` are rows with
+    their label and the struct of :func:`predict`."""
     if not model.languages:
         return {}
-    rows = labelled(docs, None, id_col, text_col, lang_col).where(F.col("lang").isin(model.languages))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    seen = drawn(rows, sizes, rows_per_language).select("lang", predict(spark, model, F.col("text")).alias("p"))
-    of = seen.where("p.per_letter IS NOT NULL").groupBy("lang").agg(F.percentile("p.per_letter", [FLOOR_SHARE, 0.5]).alias("q")).collect()
-    return {r["lang"]: r["q"][1] + FLOOR_REACH * (r["q"][0] - r["q"][1]) for r in of}
+    seen = scored.select(F.col(lang_col).alias("lang"), F.col(f"{prediction}.per_letter").alias("per_letter"))
+    seen = seen.where(F.col("lang").isin(model.languages) & F.col("per_letter").isNotNull())
+    return {k: q[1] + FLOOR_REACH * (q[0] - q[1]) for k, q in quantiles(spark, seen, "lang", "per_letter", [FLOOR_SHARE, 0.5]).items()}
 
 
 def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Column | None = None,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
-    """Fit on the labelled rows for which ``training`` holds."""
+        sample_rows: int | None = SAMPLE_ROWS, rounds: int = ROUNDS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+    """Fit on the labelled rows for which ``training`` holds, on all of them if ``sample_rows`` is None."""
     ship_package(spark)
     pieces = vocabulary(vocabulary_path)
     rows = labelled(docs, training, id_col, text_col, lang_col)
@@ -217,15 +238,22 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Co
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], pieces, np.zeros((len(pieces), 0)))
-    sample = drawn(rows, sizes, sample_rows)
+    learnt = rows.where(F.col("lang").isin(languages)) if sample_rows is None else drawn(rows, sizes, sample_rows)
 
     def split(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"lang": pdf["lang"], "word": [
-                [p for token in text.split() for p in word_parts(token)] for text in pdf["text"]]})
-
-    words = (sample.select("lang", "text").mapInPandas(split, "lang string, word array<string>")
-             .select("lang", F.explode("word").alias("word")).groupBy("word", "lang").agg(F.count("*").alias("n"))
+        for pdf in batches:  # words are counted per batch, so that each leaves it once
+            counts = {}
+            for lang, texts in pdf.groupby("lang")["text"]:
+                tokens = Counter()
+                for text in texts:
+                    tokens.update(text.split())
+                for token, n in tokens.items():
+                    for word in word_parts(token):
+                        counts[lang, word] = counts.get((lang, word), 0) + n
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "word", "n"])
+
+    words = (learnt.select("lang", "text").mapInPandas(split, "lang string, word string, n long")
+             .groupBy("word", "lang").agg(F.sum("n").alias("n"))
              .groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")))
     counts = [F.coalesce(F.col("by_lang")[k], F.lit(0)).cast("double") for k in languages]
     words = landed(spark, words.select("word", F.array(*counts).alias("n")), "langid-words")
