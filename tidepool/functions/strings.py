@@ -34,10 +34,14 @@ def strip_leading_number(s) -> Column:
     return F.trim(F.regexp_replace(_c(s), r"^[0-9]+", ""))
 
 
+#: Unicode white space (the characters of ``(?U)`` and ``\s``).
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def py_strip(s) -> Column:
     """Python ``str.strip()``: trim Unicode white space on both ends
-    (Spark's ``trim`` removes only the space character)."""
-    return F.regexp_replace(_c(s), r"(?U)^\s+|\s+$", "")
+    (Spark's ``trim`` removes only the space character unless told others)."""
+    return F.trim(_c(s), F.lit(WHITE_SPACE))
 
 
 def starts_with_dollar(s) -> Column:

@@ -50,6 +50,8 @@ SECTION_END = " "
 DATE_LINE = r"^\d{2}-\d{2}-\d{4}$"
 #: Amount lines of a page that are folded at once.
 BLOCK_LINES = 64
+#: Characters up to which a document is read in one row, and groups of documents whose sizes are added up first.
+ROW_CHARS, SIZE_GROUPS = 1 << 20, 1 << 16
 
 EXPENSE_COLUMNS = ["periodo", "concepto_principal", "concepto_secundario", "item", "valor_101", "valor_comunidad"]
 
@@ -76,17 +78,24 @@ def _amount_rows(text_lines: Column, reset_sub_on_category: bool) -> Column:
     Everything happens inside the page's row.  The fold over the lines goes in
     blocks of ``BLOCK_LINES``, so that appending stays cheap on long pages.
     """
-    stripped = F.transform(text_lines, lambda x: F.struct(x["line_no"].alias("line_no"), py_strip(x["line"]).alias("s")))
-    hits = F.filter(stripped, lambda x: x["s"].contains("$") & x["s"].rlike(AMOUNT_LINE))
-    parts = F.transform(hits, lambda x: F.struct(x["line_no"].alias("line_no"), *[
-        F.regexp_extract(x["s"], AMOUNT_LINE, k).alias(n) for k, n in enumerate(("label", "a1", "a2"), 1)]))
+    # one match per line; what matched begins with a line feed, as no stripped line does
+    money = F.filter(text_lines, lambda x: x["line"].contains("$"))
+    read = F.transform(money, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_replace(
+        py_strip(x["line"]), AMOUNT_LINE, "\n$1\n$2\n$3").alias("s")))
+    hits = F.transform(F.filter(read, lambda x: x["s"].startswith("\n")),
+                       lambda x: F.struct(x["line_no"].alias("line_no"), F.split(x["s"], "\n", -1).alias("p")))
+    # each test once a line: the next step reads its result
+    parts = F.transform(hits, lambda x: F.struct(
+        x["line_no"].alias("line_no"), x["p"][1].alias("label"), x["p"][2].alias("a1"), x["p"][3].alias("a2"),
+        is_upper(x["p"][1]).alias("header")))
+    parts = F.transform(parts, lambda x: F.struct(
+        x["line_no"].alias("line_no"), x["label"].alias("label"), x["a1"].alias("a1"), x["a2"].alias("a2"),
+        x["header"].alias("header"), (~x["header"] & starts_with_digit(x["label"])).alias("digit")))
 
     def classified(x: Column) -> Column:
-        header = is_upper(x["label"])
-        digit = ~header & starts_with_digit(x["label"])
         return F.struct(x["line_no"].alias("line_no"), parse_amount(x["a1"]).alias("v1"), parse_amount(x["a2"]).alias("v2"),
-                        header.alias("header"), digit.alias("digit"),
-                        F.when(digit, strip_leading_number(x["label"])).otherwise(x["label"]).alias("item"))
+                        x["header"].alias("header"), x["digit"].alias("digit"),
+                        F.when(x["digit"], strip_leading_number(x["label"])).otherwise(x["label"]).alias("item"))
 
     row = "struct<line_no:int,header:boolean,category:string,sub:string,item:string,v1:decimal(18,2),v2:decimal(18,2)>"
     no_rows, no_blocks = F.array().cast(f"array<{row}>"), F.array().cast(f"array<array<{row}>>")
@@ -178,6 +187,74 @@ def outline_rejects(pages: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+def _whole_pages(pages: DataFrame) -> DataFrame:
+    """``(path, page, text)``, put together from lines of :func:`page_lines` if those are given."""
+    if "line" not in pages.columns:
+        return pages
+    placed = pages.groupBy("path", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_ls"))
+    return placed.select("path", "page", F.array_join(F.transform("_ls", lambda x: x["line"]), "\n").alias("text"))
+
+
+def _by_size(pages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pages of the documents of at most ``ROW_CHARS`` characters, and those of the others
+    (None if there are none).  Sizes are added up by groups of documents first, so that only
+    groups above that size are counted document by document."""
+    spark = pages.sparkSession
+    pages = pages.where("path IS NOT NULL")  # lines without a path have no document
+    chars, group = F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1).alias("chars"), F.pmod(F.xxhash64("path"), F.lit(SIZE_GROUPS))
+    large = pages.groupBy(group.alias("g")).agg(chars).where(F.col("chars") > ROW_CHARS).select("g")
+    large = write_and_read(spark, large, "statement_large")
+    if large.isEmpty():
+        return pages, None
+    some = pages.withColumn("g", group).join(F.broadcast(large), "g", "left_semi")
+    long = write_and_read(spark, some.groupBy("path").agg(chars).where(F.col("chars") > ROW_CHARS).select("path"), "statement_long")
+    if long.isEmpty():
+        return pages, None
+    return pages.join(long, "path", "left_anti"), pages.join(long, "path", "left_semi")
+
+
+def _row_sections(pages: DataFrame, marker: str, end_line: str) -> DataFrame:
+    """``(path, start, end, inside)`` of documents that fit a row: the section's bounds as in
+    :func:`_sections` and the lines from the marker to the end, each with its line feed."""
+    place = F.struct("page", F.monotonically_increasing_id().alias("row"), "text")
+    docs = pages.select("path", place.alias("p")).groupBy("path").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    text = F.concat(F.lit("\n"), F.array_join(F.transform("ps", lambda p: p["text"]), "\n"), F.lit("\n"))
+    mark, stop = f"\n{marker}\n", f"\n{end_line}\n"
+    docs = docs.select("path", text.alias("t")).withColumn("first", F.locate(mark, F.col("t"))).where("first > 0")
+    # the line feed that ends the marker line may begin the end line
+    docs = docs.withColumn("at", F.call_function("locate", F.lit(stop), F.col("t"), F.col("first") + len(mark) - 1)).where("at > 0")
+    docs = docs.select("path", F.substring("t", F.lit(1), F.col("at")).alias("head"))
+    docs = docs.select("path", "head", F.substring_index("head", mark, -1).alias("inside"))
+
+    def line_feeds(c: str) -> Column:
+        return F.length(c) - F.length(F.replace(F.col(c), F.lit("\n"), F.lit("")))
+
+    return docs.select("path", (line_feeds("head") + 2 - line_feeds("inside")).cast("bigint").alias("start"),
+                       line_feeds("head").cast("bigint").alias("end"), "inside")
+
+
+def _row_records(sections: DataFrame) -> DataFrame:
+    """``(path, periodo, record, _lines, n_dollar)`` as in :func:`_records`."""
+    # the two lines after the marker and what follows the last line feed are no lines of the section
+    lines = F.split("inside", "\n", -1)
+    s = sections.where("end > start").select("path", F.slice(lines, F.lit(3), (F.col("end") - F.col("start")).cast("int")).alias("lines"))
+    s = s.withColumn("dollars", F.filter(F.transform("lines", lambda x, i: F.when(x.contains("$") & starts_with_dollar(x), i)),
+                                         lambda i: i.isNotNull()))
+    cuts = F.transform(F.filter("dollars", lambda i, j: j % 2 == 1), lambda i: i + 1)
+    s = s.withColumn("cuts", F.concat(F.array(F.lit(0)), cuts, F.array(F.size("lines"))))
+    pieces = F.transform(F.slice("cuts", F.lit(1), F.size("cuts") - 1), lambda a, k: F.struct(
+        k.cast("bigint").alias("record"), F.slice("lines", a + 1, F.get("cuts", k + 1) - a).alias("_lines"),
+        F.least(F.lit(2), F.size("dollars") - 2 * k).cast("bigint").alias("n_dollar")))
+    return s.select("path", period_from_name(F.col("path")).alias("periodo"), F.inline(pieces)).where(F.size("_lines") > 0)
+
+
+def _document_records(pages: DataFrame, marker: str, end_line: str) -> DataFrame:
+    """Records of all documents: of those that fit a row within it, of longer ones page by page."""
+    short, long = _by_size(_whole_pages(pages))
+    recs = _row_records(_row_sections(short, marker, end_line))
+    return recs if long is None else recs.unionByName(_records(_landed_pages(long, marker, end_line)))
+
+
 def _landed_pages(pages: DataFrame, marker: str, end_line: str, text: str = "text",
                   space_before_dollar: bool = False) -> DataFrame:
     """``(row, path, periodo, page, lines, n, marks, ends, dollars)``, landed in the
@@ -261,8 +338,12 @@ def numbered_lines(pages: DataFrame, text: str = "text", space_before_dollar: bo
 def section_bounds(pages: DataFrame, marker: str = SECTION_MARKER, end_line: str = SECTION_END) -> DataFrame:
     """Per document ``(path, start, end)``, as in :func:`positional_parse`;
     documents without both lines are absent."""
-    s = _sections(_landed_pages(pages, marker, end_line))
-    return s.where(F.col("start").isNotNull()).select("path", "start", "end").distinct()
+    short, long = _by_size(_whole_pages(pages))
+    bounds = _row_sections(short, marker, end_line).select("path", "start", "end")
+    if long is None:
+        return bounds
+    s = _sections(_landed_pages(long, marker, end_line))
+    return bounds.unionByName(s.where(F.col("start").isNotNull()).select("path", "start", "end").distinct())
 
 
 def _records(landed: DataFrame) -> DataFrame:
@@ -327,12 +408,13 @@ def positional_parse(
     A record may have any number of lines: all of them go into its one row.
     """
     key = ["path", "record"]
-    recs = _records(_landed_pages(pages, marker, SECTION_END))
+    recs = _document_records(pages, marker, SECTION_END)
     recs = recs.withColumn("n", F.size("_lines")).withColumn("_first", F.get(F.col("_lines"), 0))
     skip = lead_lines if isinstance(lead_lines, Column) else F.lit(lead_lines)
     recs = recs.withColumn("_skip", skip)
     n = F.col("n")
-    middle = F.slice(F.col("_lines"), F.col("_skip") + 3, F.greatest(n - F.col("_skip") - 4, F.lit(0)))
+    recs = recs.withColumn("_middle", F.slice(F.col("_lines"), F.col("_skip") + 3, F.greatest(n - F.col("_skip") - 4, F.lit(0))))
+    middle = F.col("_middle")
     cont_vals = F.array(*[F.lit(v) for v in continuation_values]) if continuation_values else None
 
     def is_cont(x: Column) -> Column:
@@ -345,7 +427,8 @@ def positional_parse(
 
     # the account is the last middle line that is not a continuation line;
     # every other middle line continues the description
-    acct_idx = F.array_max(F.transform(middle, lambda x, i: F.when(~is_cont(x), i)))
+    recs = recs.withColumn("_acct", F.array_max(F.transform(middle, lambda x, i: F.when(~is_cont(x), i))))
+    acct_idx = F.col("_acct")
     account = F.get(middle, acct_idx)
     extra = F.filter(middle, lambda x, i: acct_idx.isNull() | (i != acct_idx))
     description = F.get(F.col("_lines"), F.col("_skip") + 1)

@@ -129,13 +129,11 @@ def _positional_pages(spark, sf, layout: int = 1):
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", rec.alias("t")))).alias("ls")
     )
     path = _statement_name(F.concat(F.lit("positional/"), F.col("o_orderkey").cast("string"), F.lit("/")), F.col("o_orderdate"))
-    p1 = per_order.select(path.alias("path"), F.lit(1).alias("page"),
-                          F.lit("Edificio Central\nCONSUMOS BÁSICOS\nEmpresa\nDetalle").alias("text"))
-    p2 = per_order.select(
-        path.alias("path"), F.lit(2).alias("page"),
-        F.concat(F.array_join(F.transform("ls", lambda s: s["t"]), "\n"), F.lit("\n \nTotal\nfin")).alias("text"),
-    )
-    return p1.unionByName(p2)
+    first = F.lit("Edificio Central\nCONSUMOS BÁSICOS\nEmpresa\nDetalle")
+    second = F.concat(F.array_join(F.transform("ls", lambda s: s["t"]), "\n"), F.lit("\n \nTotal\nfin"))
+    # both pages of an order from its one row
+    pages = F.array(*[F.struct(F.lit(k).alias("page"), t.alias("text")) for k, t in ((1, first), (2, second))])
+    return per_order.select(path.alias("path"), F.inline(pages))
 
 
 # ----------------------------------------------------------------------------
