@@ -1,5 +1,6 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.session import scratch_path
@@ -80,3 +81,20 @@ def test_only_touched_partitions_are_read(spark):
     for _ in range(2):
         INC.append_new_by_partition(spark, odd, out, ["k"], "day")
         assert spark.read.parquet(out).count() == 3201
+
+
+def test_bitmaps_meet_not_keys(spark):
+    """The rows that the partitions' marks are compared with don't grow with the batch."""
+    from tidepool.operators.marks import key_marks, mark_bit
+
+    table = spark.range(40_000).selectExpr("id AS k", "CAST(id DIV 10000 AS INT) AS day")
+    sketch = key_marks(table, mark_bit(["k"], INC.PARTITION_BITS), ["day"], least=F.min("k"), most=F.max("k"))
+    asked = lambda *some: sorted(INC.touched_partitions(spark.createDataFrame([(k,) for k in some], "k long"), sketch, ["k"], "day"))
+    assert asked(15_000) == [1] and {0, 3} <= set(asked(5, 39_999)) and asked(70_000) == [] == asked()
+    # no key is joined: the batch is aggregated to bitmap rows first
+    joined = []
+    plain = type(sketch).join
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(sketch), "join", lambda a, b, *more: joined.append(min(a.count(), b.count())) or plain(a, b, *more))
+        assert sorted(INC.touched_partitions(table, sketch, ["k"], "day")) == [0, 1, 2, 3]
+    assert joined == [32]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidepool.operators.marks import bit_is_set, key_marks, mark_bit
+from tidepool.operators.marks import key_marks, mark_bit
 from tidepool.session import checkpoint_root, landed
 
 
@@ -82,13 +82,19 @@ PARTITION_BITS = 1 << 20
 
 
 def touched_partitions(batch: DataFrame, sketch: DataFrame, key: Sequence[str], partition: str) -> list:
-    """Partitions of the target that may hold a key of ``batch``: the key's bit is set in
-    the partition's marks and its first column lies within the partition's bounds (NULLs
-    within all).  One value per partition at most."""
-    asked = batch.select(F.col(key[0]).alias("_first"), mark_bit(list(key), PARTITION_BITS).alias("_bit")).distinct()
-    met = asked.join(sketch, F.bitmap_bucket_number("_bit") == F.col("marks_no")).where(bit_is_set("marks", "_bit"))
-    within = F.col("_first").isNull() | F.col("least").isNull() | F.col("_first").between(F.col("least"), F.col("most"))
-    return [r[0] for r in met.where(within).select(partition).distinct().collect()]
+    """Partitions of the target that may hold a key of ``batch``: the partition's marks share
+    a bit with those of the batch and the bounds of their first column overlap (NULLs within
+    all).  Bitmaps meet, not keys, so the work is that of one pass over the batch and
+    of the bitmaps of the partitions.  One value per partition at most."""
+    asked = batch.withColumn("_bit", mark_bit(list(key), PARTITION_BITS))
+    asked = asked.groupBy(F.bitmap_bucket_number("_bit").alias("marks_no")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_marks"), F.min(key[0]).alias("_least"), F.max(key[0]).alias("_most"),
+        F.bool_or(F.col(key[0]).isNull()).alias("_null"))
+    met = sketch.withColumn("_row", F.monotonically_increasing_id()).join(asked, "marks_no")
+    met = met.where(F.col("_null") | F.col("least").isNull() | ((F.col("_least") <= F.col("most")) & (F.col("_most") >= F.col("least"))))
+    both = met.select("_row", partition, F.explode(F.array("marks", "_marks")).alias("_bits"))
+    shared = both.groupBy("_row", partition).agg(F.bitmap_and_agg("_bits").alias("_bits")).where(F.bitmap_count("_bits") > 0)
+    return [r[0] for r in shared.select(partition).distinct().collect()]
 
 
 def append_new_by_partition(spark: SparkSession, batch: DataFrame, target: str, key: Sequence[str], partition: str) -> list:
