@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import exact_dedup, langid, mixing, simhash
-from tidepool.llm.common import landed
+from tidepool.llm.common import landed, small_batches
 from tidepool.llm.queries import PIECES, packed_digests
 from tidepool.session import read_table
 
@@ -27,7 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(spark, docs, PIECES, sample_rows=None)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     # landed, as the bounds come from the scores of all labelled rows
-    scored = landed(spark, docs.select(row, langid.predict(spark, model, F.col("text")).alias("p")), "langid-scored")
+    with small_batches(spark):
+        scored = landed(spark, docs.select(row, langid.predict(spark, model, F.col("text")).alias("p")), "langid-scored")
     least = langid.least_likelihoods(spark, scored.select("row.lang", "p"), model)
     floor = F.coalesce(*[F.when(F.col("p.lang_pred") == k, F.lit(v)) for k, v in least.items()], F.lit(float("-inf")))
     return scored.where((F.col("p.lang_pred") != langid.UNKNOWN) & (F.col("p.score") >= LEAST_SCORE)

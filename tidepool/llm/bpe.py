@@ -91,20 +91,24 @@ class ChunkEncoder:
         inner = [i for i, c in enumerate(chunks) if c[0] != "\n"] if heads else range(len(chunks))
         own = [chunks[i] for i in inner]
         size = pc.binary_length(pa.array(own, pa.string())).to_numpy() + 1
-        calls = self._ids([" " + " ".join(own[k:k + CHUNKS_PER_CALL]) for k in range(0, len(own), CHUNKS_PER_CALL)])
-        ids = np.concatenate([np.zeros(0, dtype=np.uint32), *[np.array(x, dtype=np.uint32) for x in calls]])
+        # call by call: the tokenizer's own record of an id takes far more room than the id
+        calls = [np.array(self._ids([" " + " ".join(own[k:k + CHUNKS_PER_CALL])])[0], dtype=np.uint32)
+                 for k in range(0, len(own), CHUNKS_PER_CALL)]
+        ids = np.concatenate([np.zeros(0, dtype=np.uint32), *calls])
+        del calls
         # each id stands for a known number of bytes, so the chunks' ends are found again among the ids
         ends, reach = np.cumsum(size), np.cumsum(self.token_bytes[ids])
         upto = np.searchsorted(reach, ends) + 1
         if not np.array_equal(reach[upto - 1], ends):
             raise ValueError("the tokenizer joins what the cut keeps apart: it is not byte-level")
-        front = self._ids([chunks[i][1:] for i in heads])
+        front = [np.array(x, dtype=np.uint32) for k in range(0, len(heads), CHUNKS_PER_CALL)
+                 for x in self._ids([chunks[i][1:] for i in heads[k:k + CHUNKS_PER_CALL]])]
         length = np.zeros(len(chunks), dtype=np.int64)
         begin = np.zeros(len(chunks), dtype=np.int64)
         length[inner], begin[inner] = np.diff(upto, prepend=0), upto - np.diff(upto, prepend=0)
         length[heads] = [len(x) for x in front]
         begin[heads] = len(ids) + np.cumsum(length[heads]) - length[heads]
-        ids = np.concatenate([ids, *[np.array(x, dtype=np.uint32) for x in front]])
+        ids = np.concatenate([ids, *front])
         self._room(self.used + len(ids), first + len(chunks))
         self.flat[self.used:self.used + len(ids)] = ids
         self.start[first:first + len(chunks)] = self.used + begin

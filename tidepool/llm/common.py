@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -81,6 +83,39 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+#: Bytes of rows in one Arrow batch where whole texts go to Python workers.
+BATCH_BYTES = 8 << 20
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Within it, jobs send rows to Python in batches of about ``BATCH_BYTES``.
+
+    A batch lies in the JVM, outside its heap, and twice in the worker; Spark's
+    own bound (10,000 rows or 64 MiB) is meant for narrow rows.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def release_memory() -> None:
+    """Give memory that is free in this Python process back to the system.
+
+    A worker outlives its task and waits beside the executor's JVM for the next
+    one; without this it would keep the most that any of its tasks took.
+    """
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError, TypeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship_package(df.sparkSession)

@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import landed, ship_package
+from tidepool.llm.common import landed, release_memory, ship_package, small_batches
 from tidepool.operators.windows import running_sums_by_key
 
 UNKNOWN = "und"
@@ -202,9 +202,9 @@ def quantiles(spark: SparkSession, rows: DataFrame, key: str, value: str, shares
     if not totals:
         return {}
     ranks = {k: sorted({int(x) for s in shares for x in (np.floor(s * (n - 1)), np.ceil(s * (n - 1)))}) for k, n in totals.items()}
-    asked = spark.createDataFrame([*ranks.items()], f"{key} string, ranks array<long>")
-    placed = running_sums_by_key(counts, key, [value], {"before": F.col("n")}).join(F.broadcast(asked), key)
-    met = F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
+    asked = F.create_map(*[x for k, at in ranks.items() for x in (F.lit(k), F.array(*[F.lit(r).cast("long") for r in at]))])
+    placed = running_sums_by_key(counts, key, [value], {"before": F.col("n")})
+    met = F.filter(F.try_element_at(asked, F.col(key)), lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
     at = {(r[0], k): r[1] for r in placed.select(key, value, met.alias("met")).where(F.size("met") > 0).collect() for k in r["met"]}
 
     def quantile(k: str, place: float) -> float:
@@ -251,12 +251,15 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Co
                     for word in word_parts(token):
                         counts[lang, word] = counts.get((lang, word), 0) + n
             yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "word", "n"])
+            del pdf, counts
+        release_memory()
 
     words = (learnt.select("lang", "text").mapInPandas(split, "lang string, word string, n long")
              .groupBy("word", "lang").agg(F.sum("n").alias("n"))
              .groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")))
     counts = [F.coalesce(F.col("by_lang")[k], F.lit(0)).cast("double") for k in languages]
-    words = landed(spark, words.select("word", F.array(*counts).alias("n")), "langid-words")
+    with small_batches(spark):
+        words = landed(spark, words.select("word", F.array(*counts).alias("n")), "langid-words")
     prob = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     for _ in range(rounds):
         model = spark.sparkContext.broadcast((pieces, prob))
@@ -269,6 +272,8 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary_path: str, training: Co
             if np.ndim(uses):
                 used = np.flatnonzero(uses.any(axis=1))
                 yield pd.DataFrame({"piece": used, "uses": list(uses[used])})
+            del lattice
+            release_memory()
 
         sums = [F.sum(F.col("uses")[k]) for k in range(len(languages))]
         uses = np.full_like(prob, 0.01)  # a trace for pieces the sample does not hold
@@ -348,5 +353,7 @@ def predict(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
         scorer = Scorer(shared.value)
         for series in batches:
             yield scorer([t if isinstance(t, str) else None for t in series.tolist()])
+        del scorer
+        release_memory()
 
     return score_texts.asNondeterministic()(text)  # so that a filter on it never runs it twice

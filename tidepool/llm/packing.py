@@ -18,14 +18,17 @@ gives no rows; other columns of the input are passed over.
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.bpe import encoder
-from tidepool.llm.common import landed, map_arrow, ship_package, text_or_empty
+from tidepool.llm.common import landed, map_arrow, release_memory, ship_package, small_batches, text_or_empty
 
 WINDOW = 2048
 PIECES_PER_SHARD = 50_000
+#: Characters whose ids are made at once.
+CHARS_AT_ONCE = 2_000_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW,
@@ -43,13 +46,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
         import numpy as np
 
         for batch in batches:
-            texts, lo = batch.column("text").to_pylist(), 0
-            while lo < len(texts):  # ids of about 4 million characters at once
+            sizes, lo = pc.utf8_length(batch.column("text")).to_pylist(), 0
+            while lo < len(sizes):  # ids of a bounded number of characters at once
                 hi, chars = lo, 0
-                while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 4_000_000):
-                    chars += len(texts[hi])
+                while hi < len(sizes) and (hi == lo or chars + sizes[hi] <= CHARS_AT_ONCE):
+                    chars += sizes[hi]
                     hi += 1
-                ids, n = encoder(tokenizer).encode(texts[lo:hi], end_id)
+                ids, n = encoder(tokenizer).encode(batch.column("text").slice(lo, hi - lo).to_pylist(), end_id)
                 pieces = -(-n // window)
                 doc = np.repeat(np.arange(len(n)), pieces)
                 start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
@@ -62,9 +65,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int =
                     [batch.column("doc_id").slice(lo, hi - lo).take(pa.array(doc)), pa.array(start),
                      pa.array(length), pa.array(n[doc]), blob.cast(pa.binary())],
                     names=["doc_id", "start", "length", "doc_tokens", "ids"])
+                del ids, ends, blob
                 lo = hi
-            del batch, texts
-            pa.default_memory_pool().release_unused()
+            del batch
+            release_memory()
 
     return map_arrow(rows, cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
 
@@ -124,7 +128,8 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = WINDOW,
          pieces_per_shard: int = PIECES_PER_SHARD) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces that have a ``length`` of
     1 to ``capacity``; all other columns stay."""
-    pieces = landed(spark, pieces, "pieces")
+    with small_batches(spark):
+        pieces = landed(spark, pieces, "pieces")
     shards = max(1, -(-pieces.count() // pieces_per_shard))
     dealt = pieces.withColumn("piece_row", F.monotonically_increasing_id())
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("piece_row"), F.lit(shards)))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import join_keys, landed, map_arrow, text_or_empty
+from tidepool.llm.common import join_keys, landed, map_arrow, release_memory, small_batches, text_or_empty
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -82,6 +82,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "d
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(fps.view(np.int64))],
                 names=["doc_id", "text_hash", "fp"])
+            del batch
+        release_memory()
 
     return map_arrow(rows, hashed, f"doc_id {kind}, text_hash long, fp long")
 
@@ -276,7 +278,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     shard_points: int = SHARD_POINTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, text_hash, fp, component_id`` (smallest id of the group)."""
-    rows = landed(spark, fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
+    with small_batches(spark):
+        rows = landed(spark, fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
     distinct = landed(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
     found = components(spark, linked_pairs(spark, distinct, max_bits, shard_points))
     joined = distinct.join(found, F.col("fp") == F.col("v")).select("fp", "p", "least_id")
