@@ -15,6 +15,8 @@ SPANISH_MONTHS = [
 # File-name pattern: "<word> - <4 digits>.pdf" at the end; (?U) makes \w
 # Unicode-aware as in Python.
 PERIOD_IN_NAME = r"(?U)(\w+) - (\d{4})\.pdf$"
+#: Characters at a name's end that tell its period: " - ", the year, ".pdf", a line end and more letters than any month has.
+PERIOD_CHARS = 24
 
 
 def _c(x) -> Column:
@@ -36,10 +38,16 @@ def month_name(d) -> Column:
 def period_from_name(path) -> Column:
     """``'... mayo - 2024.pdf'`` -> ``DATE '2024-05-01'``; NULL when the name
     has no period or the month is unknown."""
-    p = _c(path)
-    month = month_number(F.regexp_extract(p, PERIOD_IN_NAME, 1))
-    year = F.regexp_extract(p, PERIOD_IN_NAME, 2)
-    return F.when(month.isNotNull() & (year != ""), F.make_date(year.cast("int"), month, F.lit(1)))
+    # what the pattern finds, once and from the end only, as it would try every letter of the path as the word's first:
+    # a word that is cut there is too long for a month with what is left of it
+    found = F.regexp_extract(F.substring(_c(path), -PERIOD_CHARS, PERIOD_CHARS), PERIOD_IN_NAME, 0)
+
+    def period(m: Column) -> Column:
+        month = month_number(F.substring(m, F.lit(1), F.length(m) - len(" - 2024.pdf")))
+        year = F.substring(m, -len("2024.pdf"), 4).cast("int")
+        return F.transform(F.array(month), lambda k: F.when(k.isNotNull(), F.make_date(year, k, F.lit(1))))[0]
+
+    return F.transform(F.array(found), period)[0]
 
 
 def first_of_month(d) -> Column:

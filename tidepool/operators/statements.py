@@ -48,14 +48,18 @@ SECTION_MARKER = "CONSUMOS BÁSICOS"
 SECTION_END = " "
 # Continuation lines appended to a positional record's description: dates.
 DATE_LINE = r"^\d{2}-\d{2}-\d{4}$"
-#: Amount lines of a page that are folded at once.
-BLOCK_LINES = 64
 #: Characters up to which a document is read in one row, and groups of documents whose sizes are added up first.
 ROW_CHARS, SIZE_GROUPS = 1 << 20, 1 << 16
 
 EXPENSE_COLUMNS = ["periodo", "concepto_principal", "concepto_secundario", "item", "valor_101", "valor_comunidad"]
 
 
+def _once(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+    """``keep`` and new columns, each worked out once a row.  The optimizer moves filters below projections
+    and repeats there what they read, once for each use; they don't pass a generator, here of one row."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def page_lines(pages: DataFrame, text: str = "text", space_before_dollar: bool = True) -> DataFrame:
     """``(path, page, text)`` -> ``(path, page, line_no, line)``, one row per
     ``\\n``-separated line (trailing empty lines kept, as ``str.split``).
@@ -71,56 +75,38 @@ def page_lines(pages: DataFrame, text: str = "text", space_before_dollar: bool =
 # --------------------------------------------------------------------------
 
 
-def _amount_rows(text_lines: Column, reset_sub_on_category: bool) -> Column:
-    """Classified amount lines of one page, each with the category and
-    sub-category in force: ``array<struct>`` from an array of (line_no, line).
+def _last_before(starts: str, size: Column, value=lambda p: p) -> Column:
+    """For each place of an array of ``size``, ``value`` of the last of the places ``starts`` at or before it,
+    -1 before the first: runs of equal values, put one after another."""
+    runs = F.transform(starts, lambda p, k: F.array_repeat(value(p), F.coalesce(F.get(starts, k + 1), size) - p))
+    return F.concat(F.array_repeat(F.lit(-1), F.coalesce(F.get(starts, F.lit(0)), size)), F.flatten(runs))
+
+
+def _amount_lines(pages: DataFrame, key: Sequence[str], read: Column, reset_sub_on_category: bool) -> DataFrame:
+    """``key`` and ``(line_no, header, digit, s, category, sub)`` of the amount lines of a page, from an array of
+    (line_no, s) that has line feed, label, line feed, amount, line feed, amount of an amount line as ``s``;
+    ``category`` and ``sub`` are the labels of those in force (NULL before the first).
 
-    Everything happens inside the page's row.  The fold over the lines goes in
-    blocks of ``BLOCK_LINES``, so that appending stays cheap on long pages.
+    Everything happens inside the page's row, in as many steps as there are lines.
     """
-    # one match per line; what matched begins with a line feed, as no stripped line does
-    money = F.filter(text_lines, lambda x: x["line"].contains("$"))
-    read = F.transform(money, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_replace(
-        py_strip(x["line"]), AMOUNT_LINE, "\n$1\n$2\n$3").alias("s")))
-    hits = F.transform(F.filter(read, lambda x: x["s"].startswith("\n")),
-                       lambda x: F.struct(x["line_no"].alias("line_no"), F.split(x["s"], "\n", -1).alias("p")))
-    # each test once a line: the next step reads its result
-    parts = F.transform(hits, lambda x: F.struct(
-        x["line_no"].alias("line_no"), x["p"][1].alias("label"), x["p"][2].alias("a1"), x["p"][3].alias("a2"),
-        is_upper(x["p"][1]).alias("header")))
-    parts = F.transform(parts, lambda x: F.struct(
-        x["line_no"].alias("line_no"), x["label"].alias("label"), x["a1"].alias("a1"), x["a2"].alias("a2"),
-        x["header"].alias("header"), (~x["header"] & starts_with_digit(x["label"])).alias("digit")))
-
-    def classified(x: Column) -> Column:
-        return F.struct(x["line_no"].alias("line_no"), parse_amount(x["a1"]).alias("v1"), parse_amount(x["a2"]).alias("v2"),
-                        x["header"].alias("header"), x["digit"].alias("digit"),
-                        F.when(x["digit"], strip_leading_number(x["label"])).otherwise(x["label"]).alias("item"))
-
-    row = "struct<line_no:int,header:boolean,category:string,sub:string,item:string,v1:decimal(18,2),v2:decimal(18,2)>"
-    no_rows, no_blocks = F.array().cast(f"array<{row}>"), F.array().cast(f"array<array<{row}>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        category = F.when(x["header"], x["item"]).otherwise(acc["category"])
-        sub = F.when(x["digit"], x["item"]).otherwise(
-            F.when(x["header"] & F.lit(reset_sub_on_category), F.lit("")).otherwise(acc["sub"]))
-        told = F.struct(x["line_no"].alias("line_no"), x["header"].alias("header"), category.alias("category"),
-                        sub.alias("sub"), x["item"].alias("item"), x["v1"].alias("v1"), x["v2"].alias("v2"))
-        return F.struct(category.alias("category"), sub.alias("sub"), F.concat(acc["out"], F.array(told)).alias("out"))
-
-    def block_step(acc: Column, block: Column) -> Column:
-        start = F.struct(acc["category"].alias("category"), acc["sub"].alias("sub"), no_rows.alias("out"))
-        done = F.array(F.aggregate(block, start, step))  # an array of one, to be evaluated once
-        return F.transform(done, lambda d: F.struct(d["category"].alias("category"), d["sub"].alias("sub"),
-                                                    F.concat(acc["out"], F.array(d["out"])).alias("out")))[0]
-
-    def fold(rows: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(rows), F.lit(1)), F.lit(BLOCK_LINES))
-        blocks = F.transform(starts, lambda i: F.slice(rows, i, F.lit(BLOCK_LINES)))
-        empty = F.struct(F.lit("").alias("category"), F.lit("").alias("sub"), no_blocks.alias("out"))
-        return F.flatten(F.aggregate(blocks, empty, block_step)["out"])
-
-    return F.transform(F.array(F.transform(parts, classified)), fold)[0]
+    digit, header = 1, 2
+    df = _once(pages, key, hits=F.filter(read, lambda x: x["s"].startswith("\n")))
+    label = lambda x: F.substring(F.substring_index(x["s"], "\n", 2), F.lit(2), F.length(x["s"]))
+    df = _once(df, [*key, "hits"], labels=F.transform("hits", label))
+    kind = lambda x: F.when(is_upper(x), F.lit(header)).when(starts_with_digit(x), F.lit(digit)).otherwise(F.lit(0))
+    df = _once(df, [*key, "hits", "labels"], kinds=F.transform("labels", kind))
+
+    def places(test) -> Column:
+        return F.filter(F.transform("kinds", lambda k, i: F.when(test(k), i)), lambda i: i.isNotNull())
+
+    df = _once(df, [*key, "hits", "labels", "kinds"], headers=places(lambda k: k == header),
+               subs=places(lambda k: (k == digit) | ((k == header) & F.lit(reset_sub_on_category))))
+    size, sub = F.size("kinds"), lambda p: F.when(F.get("kinds", p) == digit, p).otherwise(F.lit(-1))
+    df = _once(df, [*key, "hits", "labels", "kinds"], categories=_last_before("headers", size), subs=_last_before("subs", size, sub))
+    rows = F.transform("hits", lambda x, i: F.struct(
+        x["line_no"].alias("line_no"), (F.get("kinds", i) == header).alias("header"), (F.get("kinds", i) == digit).alias("digit"),
+        x["s"].alias("s"), F.get("labels", F.get("categories", i)).alias("category"), F.get("labels", F.get("subs", i)).alias("sub")))
+    return _once(df, key, rows=rows).select(*key, F.inline("rows"))
 
 
 def outline_parse(pages: DataFrame, reset_sub_on_category: bool = False) -> DataFrame:
@@ -134,31 +120,31 @@ def outline_parse(pages: DataFrame, reset_sub_on_category: bool = False) -> Data
     statements' reading, a new category does *not* reset the sub-category
     unless ``reset_sub_on_category``.  A NULL text has no line.
     """
+    def read(line_no: Column, line: Column) -> Column:
+        # one match per line; what matched begins with a line feed, as no stripped line does
+        parts = F.when(line.contains("$"), F.regexp_replace(py_strip(line), AMOUNT_LINE, "\n$1\n$2\n$3"))
+        return F.struct(line_no.alias("line_no"), parts.alias("s"))
+
     if "line" in pages.columns:
-        placed = pages.groupBy("path", "page").agg(
-            F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_ls"))
+        pages = pages.groupBy("path", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_ls"))
+        lines = F.transform("_ls", lambda x: read(x["line_no"], x["line"]))
     else:
-        text = F.replace(F.col("text"), F.lit("$"), F.lit(" $"))
-        placed = pages.select("path", "page", F.transform(
-            F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))).alias("_ls"))
-    # period and amounts are read before the explode: once per page, once per line.  An outer explode, as
-    # Spark checks the array of a plain one for emptiness first, which would build it twice; the row of an
-    # empty page has a NULL header and goes with the headers.
-    placed = placed.withColumn("periodo", period_from_name(F.col("path")))
-    df = placed.select("path", "page", "periodo", F.explode_outer(
-        _amount_rows(F.col("_ls"), reset_sub_on_category)).alias("r"))
+        lines = F.transform(F.split(F.replace(F.col("text"), F.lit("$"), F.lit(" $")), "\n", -1), lambda x, i: read(i, x))
+    key = ["path", "page", "periodo"]
+    df = _amount_lines(pages.withColumn("periodo", period_from_name(F.col("path"))), key, lines, reset_sub_on_category)
+    df = df.where(~F.col("header"))
+    df = _once(df, [*key, "line_no", "digit", "category", "sub"], p=F.split("s", "\n", -1))
+    label, sub = F.col("p")[1], strip_leading_number("sub")
+    df = _once(df, [*key, "line_no"],
+               concepto_principal=F.coalesce("category", F.lit("")), concepto_secundario=F.coalesce(sub, F.lit("")),
+               item=F.when(F.col("digit"), strip_leading_number(label)).otherwise(label),
+               valor_101=parse_amount(F.col("p")[2]), valor_comunidad=parse_amount(F.col("p")[3]))
     reason = (
         F.when(F.col("periodo").isNull(), F.lit("no period in file name"))
-        .when(F.col("r.v1").isNull() | F.col("r.v2").isNull(), F.lit("unreadable amount"))
-    )
-    return df.where(~F.col("r.header")).select(
-        "path", "page", F.col("r.line_no").alias("line_no"),
-        "periodo",
-        F.col("r.category").alias("concepto_principal"), F.col("r.sub").alias("concepto_secundario"),
-        F.col("r.item").alias("item"),
-        F.col("r.v1").alias("valor_101"), F.col("r.v2").alias("valor_comunidad"),
-        reason.alias("reject_reason"),
+        .when(F.col("valor_101").isNull() | F.col("valor_comunidad").isNull(), F.lit("unreadable amount"))
     )
+    return df.select("path", "page", "line_no", "periodo", "concepto_principal", "concepto_secundario", "item",
+                     "valor_101", "valor_comunidad", reason.alias("reject_reason"))
 
 
 def pages_of(pages: DataFrame, keep: Column | None) -> DataFrame:
@@ -217,35 +203,38 @@ def _row_sections(pages: DataFrame, marker: str, end_line: str) -> DataFrame:
     """``(path, start, end, inside)`` of documents that fit a row: the section's bounds as in
     :func:`_sections` and the lines from the marker to the end, each with its line feed."""
     place = F.struct("page", F.monotonically_increasing_id().alias("row"), "text")
-    docs = pages.select("path", place.alias("p")).groupBy("path").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    text = F.concat(F.lit("\n"), F.array_join(F.transform("ps", lambda p: p["text"]), "\n"), F.lit("\n"))
+    docs = pages.select("path", place.alias("p")).groupBy("path").agg(F.sort_array(F.collect_list("p")).alias("ps"))
     mark, stop = f"\n{marker}\n", f"\n{end_line}\n"
-    docs = docs.select("path", text.alias("t")).withColumn("first", F.locate(mark, F.col("t"))).where("first > 0")
+    docs = _once(docs, ["path"], t=F.concat(F.lit("\n"), F.array_join("ps.text", "\n"), F.lit("\n")))
+    docs = _once(docs, ["path", "t"], first=F.locate(mark, F.col("t"))).where("first > 0")
     # the line feed that ends the marker line may begin the end line
-    docs = docs.withColumn("at", F.call_function("locate", F.lit(stop), F.col("t"), F.col("first") + len(mark) - 1)).where("at > 0")
-    docs = docs.select("path", F.substring("t", F.lit(1), F.col("at")).alias("head"))
-    docs = docs.select("path", "head", F.substring_index("head", mark, -1).alias("inside"))
+    at = F.call_function("locate", F.lit(stop), F.col("t"), F.col("first") + len(mark) - 1)
+    docs = _once(docs, ["path", "t"], at=at).where("at > 0")
+    docs = _once(docs, ["path"], head=F.substring("t", F.lit(1), F.col("at")))
+    docs = _once(docs, ["path", "head"], inside=F.substring_index("head", mark, -1))
 
     def line_feeds(c: str) -> Column:
         return F.length(c) - F.length(F.replace(F.col(c), F.lit("\n"), F.lit("")))
 
-    return docs.select("path", (line_feeds("head") + 2 - line_feeds("inside")).cast("bigint").alias("start"),
-                       line_feeds("head").cast("bigint").alias("end"), "inside")
+    docs = _once(docs, ["path", "inside"], of_head=line_feeds("head"), of_inside=line_feeds("inside"))
+    return docs.select("path", (F.col("of_head") + 2 - F.col("of_inside")).cast("bigint").alias("start"),
+                       F.col("of_head").cast("bigint").alias("end"), "inside")
 
 
 def _row_records(sections: DataFrame) -> DataFrame:
     """``(path, periodo, record, _lines, n_dollar)`` as in :func:`_records`."""
     # the two lines after the marker and what follows the last line feed are no lines of the section
     lines = F.split("inside", "\n", -1)
-    s = sections.where("end > start").select("path", F.slice(lines, F.lit(3), (F.col("end") - F.col("start")).cast("int")).alias("lines"))
-    s = s.withColumn("dollars", F.filter(F.transform("lines", lambda x, i: F.when(x.contains("$") & starts_with_dollar(x), i)),
-                                         lambda i: i.isNotNull()))
+    s = _once(sections.where("end > start"), ["path"], periodo=period_from_name(F.col("path")),
+              lines=F.slice(lines, F.lit(3), (F.col("end") - F.col("start")).cast("int")))
+    s = _once(s, ["path", "periodo", "lines"], dollars=F.filter(F.transform(
+        "lines", lambda x, i: F.when(x.contains("$") & starts_with_dollar(x), i)), lambda i: i.isNotNull()))
     cuts = F.transform(F.filter("dollars", lambda i, j: j % 2 == 1), lambda i: i + 1)
-    s = s.withColumn("cuts", F.concat(F.array(F.lit(0)), cuts, F.array(F.size("lines"))))
+    s = _once(s, ["path", "periodo", "lines", "dollars"], cuts=F.concat(F.array(F.lit(0)), cuts, F.array(F.size("lines"))))
     pieces = F.transform(F.slice("cuts", F.lit(1), F.size("cuts") - 1), lambda a, k: F.struct(
         k.cast("bigint").alias("record"), F.slice("lines", a + 1, F.get("cuts", k + 1) - a).alias("_lines"),
         F.least(F.lit(2), F.size("dollars") - 2 * k).cast("bigint").alias("n_dollar")))
-    return s.select("path", period_from_name(F.col("path")).alias("periodo"), F.inline(pieces)).where(F.size("_lines") > 0)
+    return s.select("path", "periodo", F.inline(pieces)).where(F.size("_lines") > 0)
 
 
 def _document_records(pages: DataFrame, marker: str, end_line: str) -> DataFrame:
@@ -407,14 +396,25 @@ def positional_parse(
     ``number_required``: the first line must be an integer.
     A record may have any number of lines: all of them go into its one row.
     """
-    key = ["path", "record"]
     recs = _document_records(pages, marker, SECTION_END)
-    recs = recs.withColumn("n", F.size("_lines")).withColumn("_first", F.get(F.col("_lines"), 0))
     skip = lead_lines if isinstance(lead_lines, Column) else F.lit(lead_lines)
-    recs = recs.withColumn("_skip", skip)
     n = F.col("n")
-    recs = recs.withColumn("_middle", F.slice(F.col("_lines"), F.col("_skip") + 3, F.greatest(n - F.col("_skip") - 4, F.lit(0))))
-    middle = F.col("_middle")
+    recs = recs.withColumn("n", F.size("_lines")).withColumn("_first", F.get(F.col("_lines"), 0))
+    a1, a2 = F.get(F.col("_lines"), n - 2), F.get(F.col("_lines"), n - 1)
+    recs = _once(recs, recs.columns, _skip=skip, valor_101=parse_amount(a1), valor_comunidad=parse_amount(a2))
+    number_ok = F.col("_first").try_cast("int").isNotNull() if number_required else F.lit(True)
+    reason = (
+        F.when(F.col("n_dollar") < 2, F.lit("incomplete record"))
+        .when(n < F.col("_skip") + 4, F.lit("record too short"))
+        .when(~number_ok, F.lit("record number is not an integer"))
+        .when(F.col("periodo").isNull(), F.lit("no period in file name"))
+        .when(F.col("valor_101").isNull() | F.col("valor_comunidad").isNull(), F.lit("unreadable amount"))
+    )
+    key = ["path", "record", "periodo", "valor_101", "valor_comunidad", "reject_reason"]
+    # a filter on the reason comes before the rest is read
+    recs = recs.withColumn("reject_reason", reason)
+    middle = F.slice(F.col("_lines"), F.col("_skip") + 3, F.greatest(n - F.col("_skip") - 4, F.lit(0)))
+    recs = _once(recs, [*key, "_lines", "_skip"], _middle=middle)
     cont_vals = F.array(*[F.lit(v) for v in continuation_values]) if continuation_values else None
 
     def is_cont(x: Column) -> Column:
@@ -427,33 +427,15 @@ def positional_parse(
 
     # the account is the last middle line that is not a continuation line;
     # every other middle line continues the description
-    recs = recs.withColumn("_acct", F.array_max(F.transform(middle, lambda x, i: F.when(~is_cont(x), i))))
     acct_idx = F.col("_acct")
-    account = F.get(middle, acct_idx)
-    extra = F.filter(middle, lambda x, i: acct_idx.isNull() | (i != acct_idx))
+    recs = _once(recs, [*key, "_lines", "_skip", "_middle"],
+                 _acct=F.array_max(F.transform("_middle", lambda x, i: F.when(~is_cont(x), i))))
+    extra = F.filter("_middle", lambda x, i: acct_idx.isNull() | (i != acct_idx))
     description = F.get(F.col("_lines"), F.col("_skip") + 1)
-    a1, a2 = F.get(F.col("_lines"), n - 2), F.get(F.col("_lines"), n - 1)
-    v1, v2 = parse_amount(a1), parse_amount(a2)
-    number_ok = F.col("_first").try_cast("int").isNotNull() if number_required else F.lit(True)
-    reason = (
-        F.when(F.col("n_dollar") < 2, F.lit("incomplete record"))
-        .when(n < F.col("_skip") + 4, F.lit("record too short"))
-        .when(~number_ok, F.lit("record number is not an integer"))
-        .when(F.col("periodo").isNull(), F.lit("no period in file name"))
-        .when(v1.isNull() | v2.isNull(), F.lit("unreadable amount"))
-    )
-    out = recs.select(
-        *key,
-        "periodo",
-        F.lit(marker).alias("concepto_principal"),
-        F.get(F.col("_lines"), F.col("_skip")).alias("concepto_secundario"),
-        F.array_join(F.concat(F.array(description), extra), " ").alias("item"),
-        account.alias("cuenta"),
-        v1.alias("valor_101"),
-        v2.alias("valor_comunidad"),
-        reason.alias("reject_reason"),
-    )
-    return out
+    recs = _once(recs, key, concepto_secundario=F.get(F.col("_lines"), F.col("_skip")),
+                 item=F.array_join(F.concat(F.array(description), extra), " "), cuenta=F.get(F.col("_middle"), acct_idx))
+    return recs.select("path", "record", "periodo", F.lit(marker).alias("concepto_principal"), "concepto_secundario", "item",
+                       "cuenta", "valor_101", "valor_comunidad", "reject_reason")
 
 
 def positional_expenses(pages: DataFrame, dedupe: bool = True, keep: Column | None = None, **kw) -> DataFrame:

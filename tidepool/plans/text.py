@@ -53,6 +53,13 @@ def _order_lines(spark, sf):
     return li.join(o, li.l_orderkey == o.o_orderkey)
 
 
+def _lines_by(x, keys, **lines):
+    """The ``lines`` of each group in order.  They are made before they are collected:
+    within the aggregate, their expressions would not be compiled."""
+    x = x.select(*keys, *[line.alias(k) for k, line in lines.items()])
+    return x.groupBy(*keys).agg(*[F.sort_array(F.collect_list(k)).alias(k) for k in lines])
+
+
 def _landed(spark, df, name):
     """Land generated pages as a parquet table (as extracted statements would
     land in storage) and read them back: the parsers then start from a file
@@ -66,8 +73,14 @@ def outline_pages(spark, sf):
     return _landed(spark, _outline_pages(spark, sf), "outline_pages")
 
 
-def positional_pages(spark, sf, layout: int = 1):
-    return _landed(spark, _positional_pages(spark, sf, layout), f"positional_pages_{layout}")
+def positional_pages(spark, sf, *layouts: int):
+    """The pages of each of ``layouts`` (the first by default), two a document: all from
+    one landed table with a document a row, as the layouts have the same documents."""
+    layouts = layouts or (1,)
+    docs = _landed(spark, _positional_documents(spark, sf, layouts), "positional_pages")
+    pages = [docs.select("path", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("page"), F.col(t).alias("text")) for k, t in ((1, "first"), (2, f"second_{n}"))]))) for n in layouts]
+    return pages[0] if len(pages) == 1 else pages
 
 
 def _outline_pages(spark, sf):
@@ -81,14 +94,13 @@ def _outline_pages(spark, sf):
     qty = F.when(bad, F.lit("1.2.3,4,5")).otherwise(S.format_amount("l_quantity"))
     line = F.concat(label, F.lit(" $ "), qty, F.lit(" $ "), S.format_amount("l_extendedprice"))
     line = F.when(F.col("l_linenumber") > 4, F.concat(F.lit("LATE LINES $ 0,00 $ 0,00\n"), line)).otherwise(line)
-    per_order = x.groupBy("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", line.alias("t")))).alias("ls")
-    )
+    keys = ["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"]
+    per_order = _lines_by(x, keys, ls=F.struct("l_linenumber", "l_partkey", line.alias("t")))
     total = S.format_amount("o_totalprice")
     text = F.concat_ws(
         "\n",
         F.concat(F.col("o_orderpriority"), F.lit(" $ "), total, F.lit(" $ "), total),
-        F.array_join(F.transform("ls", lambda s: s["t"]), "\n"),
+        F.array_join("ls.t", "\n"),
         F.concat(F.lit("Nota pedido "), F.col("o_orderkey").cast("string")),
     )
     return per_order.select(
@@ -98,18 +110,18 @@ def _outline_pages(spark, sf):
     )
 
 
-def _positional_pages(spark, sf, layout: int = 1):
-    """``(path, page, text)`` positional statement documents, two pages each."""
+def _positional_documents(spark, sf, layouts):
+    """``(path, first, second_1, ...)`` positional statement documents: the text of page 1 and,
+    for each layout, that of page 2."""
     x = _order_lines(spark, sf)
     d = F.col("l_shipdate")
     ln = F.col("l_linenumber")
-    if layout == 1:
-        number = F.when((F.col("o_orderstatus") == "P") & (ln == 3), F.lit("x3")).otherwise(ln.cast("string"))
-        lead = F.array(number)
-    else:  # digit-led number + three skipped lines, or one non-digit line
-        lead = F.when(ln % 2 == 1, F.array(ln.cast("string"), F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(
-            F.array(F.lit("Nro"))
-        )
+    number = F.when((F.col("o_orderstatus") == "P") & (ln == 3), F.lit("x3")).otherwise(ln.cast("string"))
+    leads = {
+        1: F.array(number),
+        # digit-led number + three skipped lines, or one non-digit line
+        2: F.when(ln % 2 == 1, F.array(ln.cast("string"), F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("Nro"))),
+    }
     fields = F.array(
         F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string")),
@@ -124,16 +136,12 @@ def _positional_pages(spark, sf, layout: int = 1):
     amounts = F.array(
         F.concat(F.lit("$"), S.format_amount("l_quantity")), F.concat(F.lit("$"), S.format_amount("l_extendedprice"))
     )
-    rec = F.array_join(F.concat(lead, fields, acct, cont, amounts), "\n")
-    per_order = x.groupBy("o_orderkey", "o_orderdate").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", rec.alias("t")))).alias("ls")
-    )
+    recs = {n: F.array_join(F.concat(leads[n], fields, acct, cont, amounts), "\n") for n in layouts}
+    per_order = _lines_by(x, ["o_orderkey", "o_orderdate"], **{
+        f"ls_{n}": F.struct("l_linenumber", "l_partkey", "l_suppkey", r.alias("t")) for n, r in recs.items()})
     path = _statement_name(F.concat(F.lit("positional/"), F.col("o_orderkey").cast("string"), F.lit("/")), F.col("o_orderdate"))
-    first = F.lit("Edificio Central\nCONSUMOS BÁSICOS\nEmpresa\nDetalle")
-    second = F.concat(F.array_join(F.transform("ls", lambda s: s["t"]), "\n"), F.lit("\n \nTotal\nfin"))
-    # both pages of an order from its one row
-    pages = F.array(*[F.struct(F.lit(k).alias("page"), t.alias("text")) for k, t in ((1, first), (2, second))])
-    return per_order.select(path.alias("path"), F.inline(pages))
+    second = [F.concat(F.array_join(f"ls_{n}.t", "\n"), F.lit("\n \nTotal\nfin")).alias(f"second_{n}") for n in layouts]
+    return per_order.select(path.alias("path"), F.lit("Edificio Central\nCONSUMOS BÁSICOS\nEmpresa\nDetalle").alias("first"), *second)
 
 
 # ----------------------------------------------------------------------------
@@ -314,7 +322,7 @@ def txt_position_accounts(spark, sf):
     """,
 )
 def txt_position_records_layout2(spark, sf):
-    pages = positional_pages(spark, sf, layout=2)
+    pages = positional_pages(spark, sf, 2)
     return ST.positional_expenses(pages, lead_lines=ST.layout2_lead_lines(), number_required=False)
 
 
@@ -379,8 +387,9 @@ def report_adjusted_expenses(spark, sf):
     e3 = ST.outline_expenses(outline_pages(spark, sf), min_period="1998-01-01", dedupe=True).where(named)
     e3 = SH.relabel(e3, "concepto_secundario", {"Part 1": "Parte Uno"})
     period, change = F.col("periodo"), F.lit("1997-12-01").cast("date")
-    e2 = ST.positional_expenses(positional_pages(spark, sf), keep=period == change)
-    e1 = ST.positional_expenses(positional_pages(spark, sf, layout=2), keep=period < change,
+    first, second = positional_pages(spark, sf, 1, 2)
+    e2 = ST.positional_expenses(first, keep=period == change)
+    e1 = ST.positional_expenses(second, keep=period < change,
                                 lead_lines=ST.layout2_lead_lines(), number_required=False)
     e1 = ST.swap_label_item(e1.where(named), "Supplier 4", "Riego")
     return ST.adjusted_expenses([e3, e2, e1], _RELABEL, ["Supplier 3"])
