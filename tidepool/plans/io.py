@@ -132,7 +132,7 @@ def src_file_listing(spark, sf):
 )
 def src_binary_files(spark, sf):
     b = FS.read_binary_files(spark, sf, glob="*.parquet")
-    return b.select(FS.file_name("path").alias("name"), F.lower(F.hex(F.substring("content", 1, 4))).alias("magic"))
+    return FS.file_heads(b, 4).select(FS.file_name("path").alias("name"), F.lower(F.hex("head")).alias("magic"))
 
 
 @register(
