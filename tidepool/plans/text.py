@@ -63,9 +63,10 @@ def _lines_by(x, keys, **lines):
 def _landed(spark, df, name):
     """Land generated pages as a parquet table (as extracted statements would
     land in storage) and read them back: the parsers then start from a file
-    scan instead of re-deriving the pages in every branch of their plan."""
+    scan instead of re-deriving the pages in every branch of their plan.
+    Texts repeat much, so zstandard takes less disk than the default."""
     path = scratch_path(spark, name)
-    write_path(df, path)
+    write_path(df, path, options={"compression": "zstd"})
     return spark.read.parquet(path)
 
 
