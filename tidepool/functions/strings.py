@@ -46,7 +46,7 @@ def py_strip(s) -> Column:
 
 def starts_with_dollar(s) -> Column:
     """First non-blank character is ``$``; blank or empty gives False."""
-    return F.coalesce(py_strip(s).startswith("$"), F.lit(False))
+    return F.coalesce(_c(s).startswith("$") | py_strip(s).startswith("$"), F.lit(False))
 
 
 def file_name(path) -> Column:

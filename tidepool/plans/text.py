@@ -53,13 +53,6 @@ def _order_lines(spark, sf):
     return li.join(o, li.l_orderkey == o.o_orderkey)
 
 
-def _lines_by(x, keys, **lines):
-    """The ``lines`` of each group in order.  They are made before they are collected:
-    within the aggregate, their expressions would not be compiled."""
-    x = x.select(*keys, *[line.alias(k) for k, line in lines.items()])
-    return x.groupBy(*keys).agg(*[F.sort_array(F.collect_list(k)).alias(k) for k in lines])
-
-
 def _landed(spark, df, name):
     """Land generated pages as a parquet table (as extracted statements would
     land in storage) and read them back: the parsers then start from a file
@@ -71,22 +64,50 @@ def _landed(spark, df, name):
 
 
 def outline_pages(spark, sf):
-    return _landed(spark, _outline_pages(spark, sf), "outline_pages")
+    """``(path, page, text)`` outline statement pages, one per order."""
+    return statement_pages(spark, sf, outline=True)[0]
 
 
-def positional_pages(spark, sf, *layouts: int):
-    """The pages of each of ``layouts`` (the first by default), two a document: all from
-    one landed table with a document a row, as the layouts have the same documents."""
-    layouts = layouts or (1,)
-    docs = _landed(spark, _positional_documents(spark, sf, layouts), "positional_pages")
-    pages = [docs.select("path", F.inline(F.array(*[
-        F.struct(F.lit(k).alias("page"), F.col(t).alias("text")) for k, t in ((1, "first"), (2, f"second_{n}"))]))) for n in layouts]
-    return pages[0] if len(pages) == 1 else pages
+def positional_pages(spark, sf, layout: int = 1):
+    """``(path, page, text)`` positional statement documents, two pages each."""
+    return statement_pages(spark, sf, layouts=[layout])[0]
 
 
-def _outline_pages(spark, sf):
-    """``(path, page, text)`` outline statement pages, one per order."""
+def statement_pages(spark, sf, outline: bool = False, layouts=()):
+    """The outline pages, if asked for, and the positional pages of each of ``layouts``: all
+    from one landed table with a row per order, as all are made of the lines of an order."""
+    docs = _landed(spark, _documents(spark, sf, outline, layouts), "statement_pages")
+    found = []
+    if outline:
+        found.append(docs.select(F.col("outline_path").alias("path"), F.col("o_orderkey").alias("page"), F.explode("outline").alias("text")))
+    for n in layouts:  # both pages of an order from its one row
+        pages = F.array(*[F.struct(F.lit(k).alias("page"), F.col(t).alias("text")) for k, t in ((1, "first"), (2, f"second_{n}"))])
+        found.append(docs.select("path", F.inline(pages)))
+    return found
+
+
+def _documents(spark, sf, outline, layouts):
+    """One row per order and date: ``(outline_path, o_orderkey, outline)`` with the texts of its outline pages, and
+    ``(path, first, second_1, ...)`` with the texts of its positional pages, the second for each layout."""
     x = _order_lines(spark, sf)
+    lines = {"outline": _outline_line()} if outline else {}
+    lines |= {f"second_{n}": _positional_record(n) for n in layouts}
+    # lines are made before they are collected: within the aggregate, their expressions would not be compiled
+    x = x.select("o_orderkey", "o_orderdate", *[line.alias(k) for k, line in lines.items()])
+    x = x.groupBy("o_orderkey", "o_orderdate").agg(*[F.sort_array(F.collect_list(k)).alias(k) for k in lines])
+    d, key = F.col("o_orderdate"), F.col("o_orderkey").cast("string")
+    columns = []
+    if outline:
+        columns += [_statement_name(F.lit("statements/"), d).alias("outline_path"), "o_orderkey", _outline_texts("outline", key).alias("outline")]
+    if layouts:
+        columns += [_statement_name(F.concat(F.lit("positional/"), key, F.lit("/")), d).alias("path"),
+                    F.lit("Edificio Central\nCONSUMOS BÁSICOS\nEmpresa\nDetalle").alias("first")]
+    columns += [F.concat(F.array_join(f"second_{n}.t", "\n"), F.lit("\n \nTotal\nfin")).alias(f"second_{n}") for n in layouts]
+    return x.select(*columns)
+
+
+def _outline_line():
+    """Line of an outline page, after what tells its page and its place."""
     bad = (F.col("o_orderstatus") == "P") & (F.col("l_linenumber") == 2)
     label = F.when(
         F.col("l_linenumber") % 2 == 1,
@@ -95,34 +116,38 @@ def _outline_pages(spark, sf):
     qty = F.when(bad, F.lit("1.2.3,4,5")).otherwise(S.format_amount("l_quantity"))
     line = F.concat(label, F.lit(" $ "), qty, F.lit(" $ "), S.format_amount("l_extendedprice"))
     line = F.when(F.col("l_linenumber") > 4, F.concat(F.lit("LATE LINES $ 0,00 $ 0,00\n"), line)).otherwise(line)
-    keys = ["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"]
-    per_order = _lines_by(x, keys, ls=F.struct("l_linenumber", "l_partkey", line.alias("t")))
-    total = S.format_amount("o_totalprice")
-    text = F.concat_ws(
-        "\n",
-        F.concat(F.col("o_orderpriority"), F.lit(" $ "), total, F.lit(" $ "), total),
-        F.array_join("ls.t", "\n"),
-        F.concat(F.lit("Nota pedido "), F.col("o_orderkey").cast("string")),
-    )
-    return per_order.select(
-        _statement_name(F.lit("statements/"), F.col("o_orderdate")).alias("path"),
-        F.col("o_orderkey").alias("page"),
-        text.alias("text"),
-    )
+    return F.struct("o_orderpriority", "o_totalprice", "l_linenumber", "l_partkey", line.alias("t"))
 
 
-def _positional_documents(spark, sf, layouts):
-    """``(path, first, second_1, ...)`` positional statement documents: the text of page 1 and,
-    for each layout, that of page 2."""
-    x = _order_lines(spark, sf)
+def _outline_texts(lines, key):
+    """Texts of the outline pages of sorted lines: one for each priority and total."""
+    def same(a, b):
+        return a["o_orderpriority"].eqNullSafe(b["o_orderpriority"]) & a["o_totalprice"].eqNullSafe(b["o_totalprice"])
+
+    def text(head, body):
+        total = S.format_amount(head["o_totalprice"] + F.lit(0))  # no negative zero
+        return F.concat_ws("\n", F.concat(head["o_orderpriority"], F.lit(" $ "), total, F.lit(" $ "), total),
+                           F.array_join(body, "\n"), F.concat(F.lit("Nota pedido "), key))
+
+    ls = F.col(lines)
+    first, last = F.get(ls, F.lit(0)), F.get(ls, F.size(ls) - 1)
+    heads = F.array_distinct(F.transform(ls, lambda x: F.struct(x["o_orderpriority"].alias("o_orderpriority"),
+                                                                x["o_totalprice"].alias("o_totalprice"))))
+    several = F.transform(heads, lambda h: text(h, F.transform(F.filter(ls, lambda x: same(x, h)), lambda x: x["t"])))
+    return F.when(same(first, last), F.array(text(first, ls["t"]))).otherwise(several)
+
+
+def _positional_record(layout):
+    """Record of a line in the positional layout, after what tells its place."""
     d = F.col("l_shipdate")
     ln = F.col("l_linenumber")
-    number = F.when((F.col("o_orderstatus") == "P") & (ln == 3), F.lit("x3")).otherwise(ln.cast("string"))
-    leads = {
-        1: F.array(number),
-        # digit-led number + three skipped lines, or one non-digit line
-        2: F.when(ln % 2 == 1, F.array(ln.cast("string"), F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("Nro"))),
-    }
+    if layout == 1:
+        number = F.when((F.col("o_orderstatus") == "P") & (ln == 3), F.lit("x3")).otherwise(ln.cast("string"))
+        lead = F.array(number)
+    else:  # digit-led number + three skipped lines, or one non-digit line
+        lead = F.when(ln % 2 == 1, F.array(ln.cast("string"), F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(
+            F.array(F.lit("Nro"))
+        )
     fields = F.array(
         F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string")),
@@ -137,12 +162,8 @@ def _positional_documents(spark, sf, layouts):
     amounts = F.array(
         F.concat(F.lit("$"), S.format_amount("l_quantity")), F.concat(F.lit("$"), S.format_amount("l_extendedprice"))
     )
-    recs = {n: F.array_join(F.concat(leads[n], fields, acct, cont, amounts), "\n") for n in layouts}
-    per_order = _lines_by(x, ["o_orderkey", "o_orderdate"], **{
-        f"ls_{n}": F.struct("l_linenumber", "l_partkey", "l_suppkey", r.alias("t")) for n, r in recs.items()})
-    path = _statement_name(F.concat(F.lit("positional/"), F.col("o_orderkey").cast("string"), F.lit("/")), F.col("o_orderdate"))
-    second = [F.concat(F.array_join(f"ls_{n}.t", "\n"), F.lit("\n \nTotal\nfin")).alias(f"second_{n}") for n in layouts]
-    return per_order.select(path.alias("path"), F.lit("Edificio Central\nCONSUMOS BÁSICOS\nEmpresa\nDetalle").alias("first"), *second)
+    rec = F.array_join(F.concat(lead, fields, acct, cont, amounts), "\n")
+    return F.struct("l_linenumber", "l_partkey", "l_suppkey", rec.alias("t"))
 
 
 # ----------------------------------------------------------------------------
@@ -323,7 +344,7 @@ def txt_position_accounts(spark, sf):
     """,
 )
 def txt_position_records_layout2(spark, sf):
-    pages = positional_pages(spark, sf, 2)
+    pages = positional_pages(spark, sf, layout=2)
     return ST.positional_expenses(pages, lead_lines=ST.layout2_lead_lines(), number_required=False)
 
 
@@ -385,10 +406,10 @@ _RELABEL = {"Supplier 1": "Luz", "Supplier 2": "Agua"}
 )
 def report_adjusted_expenses(spark, sf):
     named = F.col("concepto_secundario") != F.col("item")
-    e3 = ST.outline_expenses(outline_pages(spark, sf), min_period="1998-01-01", dedupe=True).where(named)
+    outline, first, second = statement_pages(spark, sf, outline=True, layouts=[1, 2])
+    e3 = ST.outline_expenses(outline, min_period="1998-01-01", dedupe=True).where(named)
     e3 = SH.relabel(e3, "concepto_secundario", {"Part 1": "Parte Uno"})
     period, change = F.col("periodo"), F.lit("1997-12-01").cast("date")
-    first, second = positional_pages(spark, sf, 1, 2)
     e2 = ST.positional_expenses(first, keep=period == change)
     e1 = ST.positional_expenses(second, keep=period < change,
                                 lead_lines=ST.layout2_lead_lines(), number_required=False)
