@@ -77,3 +77,39 @@ def test_outline_reads_as_a_plain_reading(spark, reset):
         got = [(r.page, r.line_no, r.concepto_principal, r.concepto_secundario, r.item)
                for r in ST.outline_parse(given, reset_sub_on_category=reset).collect()]
         assert sorted(got) == want
+
+
+def test_pages_of_orders_that_share_a_key(spark, tmp_path):
+    """Pages are made of one row per order and date, but an outline page is one per priority and total too."""
+    from tidepool.plans import text as T
+
+    d = date(1998, 2, 3)
+    orders = [(1, "O", 10.0, d, "1-URGENT"), (1, "P", 10.0, d, "2-HIGH"), (1, "O", 0.0, d, "1-URGENT"), (1, "O", -0.0, d, "1-URGENT"),
+              (1, "O", 10.0, d, None), (2, "P", 5.0, d, "3-LOW"), (2, "P", 5.0, None, "3-LOW"), (3, "O", 7.0, d, "3-LOW")]
+    lines = [(1, 8, 3, 2, 1.0, 9.0, "R", "F", d), (1, 7, 3, 1, 1.0, 9.5, "N", "O", d), (2, 7, 3, 2, 2.0, 1.0, "N", "O", d), (2, 6, 4, 3, 2.0, 1.0, "R", "O", d)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                 "l_returnflag string, l_linestatus string, l_shipdate date").write.parquet(str(tmp_path / "lineitem.parquet"))
+    outline, first, second = T.statement_pages(spark, str(tmp_path), outline=True, layouts=[1, 2])
+    pages = sorted((r.path or "", r.page, r.text) for r in outline.collect())
+    name = "statements/Boleta gastos comunes febrero - 1998.pdf"
+    part, item = "1Part 7 $ 1,00 $ 9,50", "Item 8 $ 1,00 $ 9,00"
+
+    def page(head, *of, key=1):
+        return "\n".join([*head, *of, f"Nota pedido {key}"])
+
+    low = ["Item 7 $ 1.2.3,4,5 $ 1,00", "3Part 6 $ 2,00 $ 1,00"]
+    assert pages == sorted([
+        (name, 1, page(["1-URGENT $ 10,00 $ 10,00"], part, item)),
+        (name, 1, page(["2-HIGH $ 10,00 $ 10,00"], part, "Item 8 $ 1.2.3,4,5 $ 9,00")),
+        (name, 1, page(["1-URGENT $ 0,00 $ 0,00"], part, part, item, item)),
+        (name, 1, page([], part, item)),
+        (name, 2, page(["3-LOW $ 5,00 $ 5,00"], *low, key=2)), ("", 2, page(["3-LOW $ 5,00 $ 5,00"], *low, key=2))])
+    for n, pages in ((1, first), (2, second)):
+        alone = T.positional_pages(spark, str(tmp_path), layout=n)
+        assert pages.exceptAll(alone).isEmpty() and alone.exceptAll(pages).isEmpty() and pages.count() == 6
+    text = {(r.path, r.page): r.text for r in first.collect()}["positional/1/Boleta gastos comunes febrero - 1998.pdf", 2]
+    assert text.count("Part 7") == text.count("Part 8") == 5 and text.index("Part 8") > text.rindex("Part 7")
+    alone = T.outline_pages(spark, str(tmp_path))
+    assert outline.exceptAll(alone).isEmpty() and alone.exceptAll(outline).isEmpty()
